@@ -100,6 +100,25 @@ def runs64(sums, lo: np.ndarray, hi: np.ndarray, kind: np.uint64) -> np.ndarray:
     return C.fold(C.fold((total[hi] - total[lo]) * inverse[lo], (hi - lo).astype(np.uint64)), kind)
 
 
+def smallest(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where the first smallest of x[a] to x[b - 1] is, for many ranges, none of them empty."""
+    if not len(a):
+        return np.zeros(0, np.int64)
+    tables = [np.arange(len(x))]
+    width = b - a
+    power = np.frexp(width)[1] - 1  # floor of the logarithm
+    for k in range(int(power.max())):
+        t = tables[-1]
+        i, j = t[: -(1 << k)], t[1 << k :]
+        tables.append(np.where(x[i] <= x[j], i, j))
+    out = np.empty(len(a), np.int64)
+    for k, t in enumerate(tables):
+        w = np.flatnonzero(power == k)
+        i, j = t[a[w]], t[b[w] - (1 << k)]
+        out[w] = np.where(x[i] <= x[j], i, j)
+    return out
+
+
 class Parse:
     """Words, chosen symbols and their windows for the documents of a block."""
 
@@ -119,16 +138,14 @@ class Parse:
         some = first <= last
         sym, lo, hi, first, last = sym[some], lo[some], hi[some], first[some], last[some]
         name = C.fold(C.fold(sym, runs64(self.sums, lo, hi, NAME)), NAME)
-        best = np.full(n, np.iinfo(np.uint64).max)
-        of, start = C.expand(first, last)
-        np.minimum.at(best, start, name[of])
-        chosen = np.zeros(len(name), bool)
-        chosen[of[best[start] == name[of]]] = True
-        self.name, self.first, self.last, self.lo = name[chosen], first[chosen], last[chosen], lo[chosen]
-        self.row = doc[self.lo] + block.first if len(self.lo) else self.lo
-        bare = self.whole.copy()
-        bare[start] = False
-        self.bare = np.flatnonzero(bare)
+        # contexts move to the right in order, so those inside a window are neighbours: from a to b, exclusive
+        b = np.cumsum(np.bincount(first, minlength=n + 1)[: n + 1])
+        a = np.cumsum(np.bincount(last + 1, minlength=n + 1)[: n + 1])
+        start = np.flatnonzero(self.whole & (a[:n] < b[:n]))
+        best = np.unique(smallest(name, a[start], b[start]))
+        self.name, self.first, self.last, self.lo = name[best], first[best], last[best], lo[best]
+        self.row = of[best] + block.first
+        self.bare = np.flatnonzero(self.whole & (a[:n] >= b[:n]))
 
     def around(self, i: np.ndarray) -> np.ndarray:
         wide = runs64(self.sums, self.first[i], self.last[i] + self.length, WIDE)

@@ -78,18 +78,17 @@ def padded(data: np.ndarray, by: int = 128) -> np.ndarray:
     return out
 
 
+_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
 def ranges64(view: np.ndarray, lo: np.ndarray, hi: np.ndarray, seed: int = 1) -> np.ndarray:
     """Fingerprints of the bytes lo to hi (their number included)."""
     n = (hi - lo).astype(np.int64)
-    out = mix(n.astype(np.uint64) + np.uint64((seed << 48) + 1))
-    live, at = np.flatnonzero(n > 0), 0
+    out = fold(mix(n.astype(np.uint64) + np.uint64((seed << 48) + 1)), view[lo] & _MASK[np.minimum(n, 8)])
+    live, at = np.flatnonzero(n > 8), 8
     while len(live):
         left = n[live] - at
-        w = view[lo[live] + at]
-        short = left < 8
-        if short.any():
-            w[short] &= (np.uint64(1) << (np.uint64(8) * left[short].astype(np.uint64))) - np.uint64(1)
-        out[live] = fold(out[live], w)
+        out[live] = fold(out[live], view[lo[live] + at] & _MASK[np.minimum(left, 8)])
         at += 8
         live = live[left > 8]
     return out
@@ -158,7 +157,7 @@ class Layout:
     buckets: int
 
 
-def layout(docs: DataFrame, chunk_bytes: int = 4 << 20, bucket_bytes: int = 64 << 20) -> Layout:
+def layout(docs: DataFrame, chunk_bytes: int = 4 << 20, bucket_bytes: int = 32 << 20) -> Layout:
     """Numbers of chunks and buckets for these texts: sizes grow with the square root beyond about 20 GB."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     root = math.sqrt(700.0 * total)
@@ -170,7 +169,7 @@ def in_chunks(docs: DataFrame, n: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(n)).cast("long").alias("chunk"))
 
 
-ASKED = "chunk long, bucket long, step int, n long, keys binary, more binary, docs binary"
+ASKED = "chunk long, bucket long, step int, n long, keys binary, more binary, docs binary, which binary"
 TOLD = "chunk long, bucket long, step int, told binary"
 
 
@@ -181,6 +180,9 @@ def ask(chunk: int, step: int, buckets: int, keys: np.ndarray, more: np.ndarray
     cuts = [0, *edge.tolist(), len(keys)] if len(keys) else [0]
     spans = list(zip(cuts[:-1], cuts[1:], strict=True))
     raw = lambda x: pa.array([x[a:b].tobytes() for a, b in spans] if x is not None else [None] * len(spans), pa.binary())
+    # the documents of a row once each, and which of them every key has: short numbers instead of long ids
+    once = [np.unique(docs[a:b], return_inverse=True) for a, b in spans] if docs is not None else []
+    short = lambda d, i: i.astype("<u2" if len(d) <= 1 << 16 else "<u4").tobytes()
     return pa.table(
         {
             "chunk": pa.array([chunk] * len(spans), pa.int64()),
@@ -189,7 +191,8 @@ def ask(chunk: int, step: int, buckets: int, keys: np.ndarray, more: np.ndarray
             "n": pa.array([b - a for a, b in spans], pa.int64()),
             "keys": raw(keys),
             "more": raw(more),
-            "docs": raw(docs),
+            "docs": pa.array([d.tobytes() for d, _ in once] if once else [None] * len(spans), pa.binary()),
+            "which": pa.array([short(d, i) for d, i in once] if once else [None] * len(spans), pa.binary()),
         }
     )
 
@@ -213,7 +216,10 @@ def told(replies: pa.Table, step: int) -> np.ndarray:
 def earliest(table: pa.Table, two: bool) -> pa.Table:
     """For every key (with `more`, every pair) bit 1: a chunk has it in a smaller document; bit 2: its key comes with another `more`."""
     keys = np.concatenate(asked(table, "keys", "<u8"))
-    docs = np.concatenate(asked(table, "docs", "<i8"))
+    docs = []
+    for d, w in zip(asked(table, "docs", "<i8"), table["which"].to_pylist(), strict=True):
+        docs.append(d[np.frombuffer(w, "<u2" if len(d) <= 1 << 16 else "<u4")])
+    docs = np.concatenate(docs)
     more = np.concatenate(asked(table, "more", "<u8")) if two else np.zeros(len(keys), np.uint64)
     order = np.lexsort((docs, more, keys)) if two else np.lexsort((docs, keys))
     k, m, d = keys[order], more[order], docs[order]

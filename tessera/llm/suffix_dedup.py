@@ -11,7 +11,8 @@ becomes a level, and levels of equal size merge, as in a binary counter: n batch
 
 Verification.  Only shared prefixes go on.  For each, the 76 bytes around it that hold all its 50-byte strings are
 compared (as fingerprints beside the name, 128 bits together): a copy whose whole surrounding also stands in a
-smaller document is settled at once; where surroundings differ, the 50-byte strings themselves are compared.
+smaller document is settled at once.  Where surroundings differ, a string needs the prefix and either some bytes
+before it or some behind it in common: those halves are compared next, and the strings around shared halves last.
 """
 
 from __future__ import annotations
@@ -105,6 +106,16 @@ class Sampler:
         """Fingerprints of all bytes of the strings that hold suffix i, and of its place among them."""
         return C.fold(C.ranges64(self.view, self.lo[i], self.hi[i] + self.length, 5), (self.at[i] - self.lo[i]).astype(np.uint64))
 
+    def halves(self, i: np.ndarray):
+        """Ranges of starts, and a name of what all strings of a range hold: more before the prefix, or more behind."""
+        left = self.at[i] - self.reach // 2
+        a, b = self.lo[i], np.minimum(self.hi[i], left)
+        c, d = np.maximum(self.lo[i], left + 1), self.hi[i]
+        u, v = a <= b, c <= d
+        before = C.ranges64(self.view, left[u], self.at[i][u] + self.prefix, 8)
+        behind = C.ranges64(self.view, self.at[i][v], left[v] + 1 + self.length, 9)
+        return np.r_[a[u], c[v]], np.r_[b[u], d[v]], np.r_[before, behind], np.r_[self.row[i][u], self.row[i][v]]
+
     def strings(self, s: np.ndarray) -> np.ndarray:
         return C.ranges64(self.view, s, s + self.length, 7)
 
@@ -120,11 +131,30 @@ def slide(x: np.ndarray, width: int, best, fill: int | None = None) -> np.ndarra
     return out
 
 
+class Names:
+    """Names with their documents: each once, in order, and which of them are shared."""
+
+    def __init__(self, names: np.ndarray, docs: np.ndarray) -> None:
+        self.order = np.argsort(names, kind="stable")
+        s, d = names[self.order], docs[self.order]
+        new = np.r_[True, s[1:] != s[:-1]] if len(s) else np.zeros(0, bool)
+        self.unique, self.group = s[new], np.cumsum(new) - 1
+        other = d != d[new][self.group] if len(s) else np.zeros(0, bool)
+        self.here = np.bincount(self.group, weights=other, minlength=len(self.unique)) > 0  # in two documents of this chunk
+
+    def shared(self, replies: pa.Table, step: int) -> np.ndarray:
+        out = np.zeros(len(self.order), bool)
+        if len(out):
+            out[self.order] = (C.told(replies, step).astype(bool) | self.here)[self.group]
+        return out
+
+
 def chunk_state(docs: pa.Table, replies: pa.Table | None, length: int, prefix: int, upto: int):
     """What a chunk knows after the answers of `upto` steps.
 
     1: all names, each once.  2: the pairs (name, surroundings) of shared names, each once with its smallest
-    document.  3: the strings still open, each once with its smallest document.  4: cover of removed bytes.
+    document.  3: the halves of those still open, each once.  4: the strings around shared halves, each once with its
+    smallest document.  5: cover of removed bytes.
     """
     ids = C.ids_of(docs["doc_id"])
     parts = [Sampler(b, length, prefix) for b in C.blocks(docs["text"])]
@@ -133,19 +163,10 @@ def chunk_state(docs: pa.Table, replies: pa.Table | None, length: int, prefix: i
     names = [p.names() for p in parts]
     all_names = np.concatenate(names)
     rows = np.concatenate([p.row for p in parts])
-    order = np.argsort(all_names, kind="stable")
-    s, d = all_names[order], ids[rows[order]]
-    new = np.r_[True, s[1:] != s[:-1]] if len(s) else np.zeros(0, bool)
-    uniq = s[new]
+    known = Names(all_names, ids[rows] if len(rows) else rows)
     if upto == 1:
-        return uniq
-    shared = C.told(replies, 1).astype(bool)
-    group = np.cumsum(new) - 1
-    if len(s):
-        first = d[np.flatnonzero(new)][group]
-        shared = shared | (np.bincount(group, weights=d != first, minlength=len(uniq)) > 0)
-    hit = np.zeros(len(all_names), bool)
-    hit[order] = shared[group] if len(s) else False
+        return known.unique
+    hit = known.shared(replies, 1)
     # shared suffixes and their surroundings
     cut = np.cumsum([0, *(len(p.at) for p in parts)])
     picks = [np.flatnonzero(hit[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
@@ -165,23 +186,30 @@ def chunk_state(docs: pa.Table, replies: pa.Table | None, length: int, prefix: i
         copied[order] = (bits[group] & 1).astype(bool) | (d > least[group])
         open_[order] = ((bits[group] & 2) > 0)
     open_ &= ~copied
-    # strings whose prefix is shared while their surroundings are not
+    # prefixes that are shared while their surroundings are not
     cut = np.cumsum([0, *(len(i) for i in picks)])
-    lists = []
-    for p, i, a, b in zip(parts, picks, cut[:-1], cut[1:], strict=True):
-        j = i[open_[a:b]]
-        of, start = C.expand(p.lo[j], p.hi[j])
+    halves = [p.halves(i[open_[a:b]]) for p, i, a, b in zip(parts, picks, cut[:-1], cut[1:], strict=True)]
+    row = np.concatenate([x[3] for x in halves])
+    known = Names(np.concatenate([x[2] for x in halves]), ids[row] if len(row) else row)
+    if upto == 3:
+        return known.unique
+    hit = known.shared(replies, 3)
+    lists, at = [], 0
+    for p, (a, b, _, row) in zip(parts, halves, strict=True):
+        own = hit[at : at + len(a)]
+        at += len(a)
+        of, start = C.expand(a[own], b[own])
         start, keep = np.unique(start, return_index=True)
-        lists.append((start, p.row[j][of[keep]], p.strings(start)))
+        lists.append((start, row[own][of[keep]], p.strings(start)))
     whole = np.concatenate([x[2] for x in lists])
     doc = np.concatenate([ids[x[1]] for x in lists])
     order = np.lexsort((doc, whole))
     w, d = whole[order], doc[order]
     new = np.r_[True, w[1:] != w[:-1]] if len(w) else np.zeros(0, bool)
     least = d[new]
-    if upto == 3:
+    if upto == 4:
         return w[new], least
-    bits = C.told(replies, 3)
+    bits = C.told(replies, 4)
     again = np.zeros(len(w), bool)
     if len(w):
         group = np.cumsum(new) - 1
@@ -221,14 +249,18 @@ def remove_repeats(docs: DataFrame, length: int = 50, prefix: int = 24, with_tex
 
     def step2(key, table, replies):
         got = chunk_state(table, replies, length, prefix, 2)
-        return C.ask(chunk_of(key, table), 2, buckets, *(got or [np.zeros(0, np.uint64)]))
+        return C.ask(key[0].as_py(), 2, buckets, *(got or [np.zeros(0, np.uint64)]))
 
     def step3(key, table, replies):
-        got = chunk_state(table, replies, length, prefix, 3)
-        return C.ask(chunk_of(key, table), 3, buckets, got[0] if got else np.zeros(0, np.uint64), None, got[1] if got else None)
+        names = chunk_state(table, replies, length, prefix, 3)
+        return C.ask(key[0].as_py(), 3, buckets, names if names is not None else np.zeros(0, np.uint64))
 
-    def last(key, table, replies):
+    def step4(key, table, replies):
         got = chunk_state(table, replies, length, prefix, 4)
+        return C.ask(key[0].as_py(), 4, buckets, got[0] if got else np.zeros(0, np.uint64), None, got[1] if got else None)
+
+    def last(key, table, replies):
+        got = chunk_state(table, replies, length, prefix, 5)
         n_bytes, n_removed, n_spans, sha, kept = [], [], [], [], []
         for p, cover in zip(*got, strict=True) if got else []:
             b = p.block
@@ -249,12 +281,10 @@ def remove_repeats(docs: DataFrame, length: int = 50, prefix: int = 24, with_tex
     pair = lambda replies, f, out: base.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(f, out)
     told2 = pair(told1, step2, C.ASKED).groupBy("bucket").applyInArrow(lambda t: C.earliest(t, True), C.TOLD)
     sofar = told1.unionByName(told2)
-    told3 = pair(sofar, step3, C.ASKED).groupBy("bucket").applyInArrow(lambda t: C.earliest(t, False), C.TOLD)
-    return pair(sofar.unionByName(told3), last, OUT + (", kept binary" if with_text else ""))
-
-
-def chunk_of(key, table: pa.Table) -> int:
-    return key[0].as_py()
+    told3 = pair(sofar, step3, C.ASKED).groupBy("bucket").applyInArrow(lambda t: scan_levels(t), C.TOLD)
+    sofar = sofar.unionByName(told3)
+    told4 = pair(sofar, step4, C.ASKED).groupBy("bucket").applyInArrow(lambda t: C.earliest(t, False), C.TOLD)
+    return pair(sofar.unionByName(told4), last, OUT + (", kept binary" if with_text else ""))
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from .plans import market
+
 
 def queries() -> dict:
-    return {}
+    return dict(market.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(market.SQL)
+
+
+SQL_NAMES = tuple(market.SQL)

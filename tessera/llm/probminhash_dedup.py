@@ -6,12 +6,13 @@ and a register keeps the shingle that arrives first.  Processes end early, at th
 document have been hit.  Two documents agree on a register with a probability equal to their probability Jaccard
 similarity.
 
-Copies (equal word sequences) collapse first and count once.  Bands of registers name buckets.  A first round links
-the members of the first bands' buckets to one another, and leaves components; the second looks only at buckets that
-still hold several components, and compares what could join them.  Large buckets are split: members are dealt to
-parts, and what isn't yet linked to the bucket's smallest document meets every part.  Similarities are computed from
-the whole shingle sets, and only they decide.  So every link between different texts that shares a band is either
-found or lies within a component already.
+Copies (equal word sequences) collapse first and count once.  Bands of registers name buckets.  In cells of bounded
+size, registers are compared: a pair that agrees on less than `similarity` minus four standard errors is dismissed,
+the others are proposed.  Whole shingle sets decide on what is proposed.  A first round looks at the first bands'
+buckets and leaves components; later rounds look only at buckets that still hold several components, and at pairs
+that would join them.  In the first two, a proposal that is all but certain makes others between its components
+needless and the best few of a document come first; the last round proposes every pair that is left.  Large buckets are split: members are dealt to parts, and what
+isn't linked to the bucket's smallest document meets every part.
 """
 
 from __future__ import annotations
@@ -30,7 +31,11 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4  # a pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^24 = 3e-6
 FIRST_BANDS = 4
 PART = 100  # members of a bucket that meet in one task
-FEATURES = "doc_id long, h1 long, h2 long, shingles long, bands array<long>"
+REGISTERS = 384  # of which the bands take the first; a byte of each is kept to estimate similarities by
+ERRORS, SURE = 4.0, 0.84  # standard errors of an estimate that is given the benefit; agreement taken for a link meanwhile
+FEW = 3  # proposals for a document of a cell in the rounds before the last, which proposes all
+BROADCAST_IDS = 500_000  # ids up to this number (8 MB) go to all executors
+FEATURES = "doc_id long, h1 long, h2 long, shingles long, bands array<long>, registers binary"
 SETS = "doc long, keys binary, counts binary"
 
 
@@ -101,11 +106,13 @@ def features(batches):
             n = block.last - block.first
             doc, key, weight = shingles_of(block)
             count = np.bincount(doc, minlength=n)
-            bands = bands_of(signatures(doc, key, weight, n, BANDS * ROWS), BANDS, ROWS).view(np.int64)
+            registers = signatures(doc, key, weight, n, REGISTERS)
+            bands = bands_of(registers, BANDS, ROWS).view(np.int64)
+            short = (registers >> np.uint64(56)).astype(np.uint8)
             full = [hashlib.blake2b(b" ".join(block.data[a:e].tobytes().split()), digest_size=16).digest() for a, e in zip(block.off[:-1].tolist(), block.off[1:].tolist(), strict=True)]
             h = np.frombuffer(b"".join(full), np.int64).reshape(n, 2)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS), pa.int32()), pa.array(bands.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.first, n), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(count), lists], names=["doc_id", "h1", "h2", "shingles", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.first, n), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(count), lists, pa.array([x.tobytes() for x in short], pa.binary())], names=["doc_id", "h1", "h2", "shingles", "bands", "registers"])
 
 
 def sets(batches):
@@ -129,6 +136,8 @@ def probability_jaccard(a, b) -> float:
     x, y = xa[both].astype(float), yb[at[both]].astype(float)
     if not len(x):
         return 0.0
+    if xa.max() == 1 and yb.max() == 1:
+        return len(x) / (len(ka) + len(kb) - len(x))
     only_a, only_b = float(xa.sum()) - x.sum(), float(yb.sum()) - y.sum()
     total = 0.0
     pairs, n = np.unique(np.stack([x, y]), axis=1, return_counts=True)
@@ -137,15 +146,26 @@ def probability_jaccard(a, b) -> float:
     return total
 
 
-def verify(table: pa.Table, similarity: float) -> pa.Table:
-    """Links (a, b) that join different components, among the pairs of which one is a probe (if there are any)."""
-    order = np.argsort(table["doc"].to_numpy(), kind="stable")
-    docs = table["doc"].to_numpy()[order].tolist()
-    comp = table["comp"].to_numpy()[order].tolist()
-    probe = table["probe"].to_numpy(zero_copy_only=False)[order].tolist()
-    keys, counts = table["keys"].to_pylist(), table["counts"].to_pylist()
-    have = [(np.frombuffer(keys[i], np.uint64), np.frombuffer(counts[i], np.uint32)) for i in order.tolist()]
-    parent: dict[int, int] = {c: c for c in comp}
+def propose(table: pa.Table, similarity: float, sure: float) -> pa.Table:
+    """Pairs (a, b) of different components, one of them a probe, whose registers agree enough."""
+    docs, first = np.unique(table["doc"].to_numpy(), return_index=True)
+    comp, probe = table["comp"].to_numpy()[first], np.zeros(len(docs), bool)
+    flagged = table["doc"].to_numpy()[table["probe"].to_numpy(zero_copy_only=False)]
+    probe[np.searchsorted(docs, flagged)] = True
+    raw = table["registers"].to_pylist()
+    registers = np.stack([np.frombuffer(raw[i], np.uint8) for i in first.tolist()])
+    m = registers.shape[1]
+    least = similarity - ERRORS * np.sqrt(similarity * (1 - similarity) / m)
+    where, agree = [], []
+    for i in np.flatnonzero(probe).tolist():
+        other = np.flatnonzero((comp != comp[i]) & (~probe | (np.arange(len(docs)) > i)))
+        same = (registers[other] == registers[i]).mean(1)
+        same = (same - 1 / 256) / (1 - 1 / 256)  # without the bytes that agree by chance
+        keep = same >= least
+        where.append(np.stack([np.full(keep.sum(), i), other[keep]], 1))
+        agree.append(same[keep])
+    where, agree = np.concatenate([np.zeros((0, 2), np.int64), *where]), np.concatenate([np.zeros(0), *agree])
+    parent: dict[int, int] = {c: c for c in comp.tolist()}
 
     def root(c: int) -> int:
         while parent[c] != c:
@@ -154,27 +174,63 @@ def verify(table: pa.Table, similarity: float) -> pa.Table:
         return c
 
     a, b = [], []
-    for i in range(len(docs)):
-        for j in range(i + 1, len(docs)):
-            if docs[i] == docs[j] or not (probe[i] or probe[j]):
-                continue
-            r, s = root(comp[i]), root(comp[j])
-            if r != s and probability_jaccard(have[i], have[j]) >= similarity:
+    proposed = np.zeros(len(docs), np.int64)
+    for k in np.argsort(-agree, kind="stable").tolist():
+        i, j = where[k].tolist()
+        if sure <= 1 and min(proposed[i], proposed[j]) >= FEW:
+            continue  # while there are rounds to come, the best few are enough
+        r, s = root(int(comp[i])), root(int(comp[j]))
+        if r != s:
+            proposed[[i, j]] += 1
+            a.append(min(docs[i], docs[j]))
+            b.append(max(docs[i], docs[j]))
+            if agree[k] >= sure:
                 parent[s] = r
-                a.append(docs[i])
-                b.append(docs[j])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def compare(cells: DataFrame, docs: DataFrame, similarity: float, tag: str) -> DataFrame:
-    """Links found in cells (members array<struct<doc, comp, probe>>); whole sets only for documents in cells."""
+def decide(similarity: float):
+    def run(batches):
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("keys_a", "counts_a", "keys_b", "counts_b")]
+            ok = [probability_jaccard((np.frombuffer(k, np.uint64), np.frombuffer(x, np.uint32)), (np.frombuffer(q, np.uint64), np.frombuffer(y, np.uint32))) >= similarity for k, x, q, y in zip(*cols, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
+
+    return run
+
+
+def compare(cells: DataFrame, registers: DataFrame, docs: DataFrame, tested: DataFrame | None, similarity: float, sure: float, tag: str) -> DataFrame:
+    """Pairs proposed in cells (members array<struct<doc, comp, probe>>) and not tested yet: a, b, ok."""
     cells = C.save(cells.where(F.size("members") > 1).distinct().withColumn("cell", F.xxhash64("members")), f"{tag}-cells")
-    flat = cells.select("cell", F.inline("members"))
-    wanted = flat.select(F.col("doc").alias("doc_id")).distinct()
-    texts = docs.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
+    flat = cells.select("cell", F.inline("members")).join(registers, "doc")
+    pairs = flat.groupBy("cell").applyInArrow(lambda t: propose(t, similarity, sure), "a long, b long").distinct()
+    if tested is not None:
+        pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = C.save(pairs, f"{tag}-pairs")
+    wanted = C.save(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), f"{tag}-wanted")
+    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    texts = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
     whole = C.save(texts.mapInArrow(sets, SETS), f"{tag}-sets")
-    found = flat.join(whole, "doc").groupBy("cell").applyInArrow(lambda t: verify(t, similarity), "a long, b long")
-    return C.save(found, f"{tag}-links")
+    side = lambda x: whole.select(F.col("doc").alias(x), F.col("keys").alias(f"keys_{x}"), F.col("counts").alias(f"counts_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "keys_a", "counts_a", "keys_b", "counts_b")
+    return C.save(both.mapInArrow(decide(similarity), "a long, b long, ok boolean"), f"{tag}-tested")
+
+
+def mixed_cells(banded: DataFrame, parts: DataFrame, tag: str) -> DataFrame:
+    """Cells for the buckets that hold more than one component: whole small ones, grids of parts for large ones."""
+    comps = banded.select("doc", "value").join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
+    mixed = comps.groupBy("value").agg(F.count("*").alias("n"), F.min(F.struct("doc", "comp")).alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    mixed = C.save(comps.join(mixed, "value").select("value", "doc", "comp", "n", (F.col("comp") != F.col("c.comp")).alias("apart")), f"{tag}-mixed")
+    small = mixed.where(F.col("n") <= PART).groupBy("value").agg(F.array_sort(F.collect_list(member(F.col("comp"), F.lit(True)))).alias("members")).select("members")
+    large = mixed.where(F.col("n") > PART)
+    apart = large.where("apart").groupBy("value").agg(F.count("*").alias("r"))
+    grid = large.join(apart, "value").withColumns({"parts": F.ceil(F.col("n") / PART).cast("long"), "slices": F.ceil(F.col("r") / PART).cast("long")})
+    deal = lambda of, salt: F.pmod(F.xxhash64("doc", F.lit(salt)), F.col(of))
+    all_of = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+    members = grid.select("value", deal("parts", 10).alias("part"), all_of("slices").alias("slice"), member(F.col("comp"), F.lit(False)).alias("x"))
+    probes = grid.where("apart").select("value", all_of("parts").alias("part"), deal("slices", 11).alias("slice"), member(F.col("comp"), F.lit(True)).alias("x"))
+    crossed = members.unionByName(probes).groupBy("value", "part", "slice").agg(F.array_sort(F.collect_set("x")).alias("members")).select("members")
+    return small.unionByName(crossed)
 
 
 def member(comp, probe):
@@ -192,33 +248,24 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     feats = C.save(rows.mapInArrow(features, FEATURES), "features")
     known = feats.where("doc_id is not null and shingles > 0")
-    reps = C.save(known.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")), "reps")
-    banded = reps.select(F.col("rep").alias("doc"), F.posexplode("bands").alias("band", "value"))
+    reps = C.save(known.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "registers"), "doc_id").alias("s")), "reps")
+    registers = reps.select(F.col("rep").alias("doc"), "s.registers")
+    # buckets of one document are left out of everything that follows
+    banded = reps.select(F.col("rep").alias("doc"), F.posexplode("s.bands").alias("band", "value"))
+    held = banded.groupBy("value").agg(F.count("*").alias("n"), F.min("doc").alias("center")).where("n > 1")
+    banded = C.save(banded.join(held, "value"), "banded")
     texts = rows.where("doc_id is not null")
 
     # first round: each member of a bucket of the first bands meets a part of it and its smallest document
-    some = banded.where(F.col("band") < FIRST_BANDS).select("doc", "value")
-    buckets = some.groupBy("value").agg(F.count("*").alias("n"), F.min("doc").alias("center")).where("n > 1")
-    dealt = some.join(buckets, "value").withColumn("part", F.pmod(F.xxhash64("doc", F.lit(9)), F.ceil(F.col("n") / PART).cast("long")))
-    whole = dealt.groupBy("value", "part").agg(F.collect_set(member(F.col("doc"), F.lit(True))).alias("m"), F.collect_set(F.struct(F.col("center").alias("doc"), F.col("center").alias("comp"), F.lit(True).alias("probe"))).alias("c"))
-    links = compare(whole.select(F.array_sort(F.array_union("m", "c")).alias("members")), texts, similarity, "near1")
-    parts = C.connected_components(links, "near1-components")
-
-    # second round: buckets of any band that hold more than one component
-    comps = banded.select("doc", "value").join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
-    mixed = comps.groupBy("value").agg(F.count("*").alias("n"), F.min(F.struct("doc", "comp")).alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    mixed = C.save(comps.join(mixed, "value").select("value", "doc", "comp", "n", (F.col("comp") != F.col("c.comp")).alias("apart")), "mixed")
-    small = mixed.where(F.col("n") <= PART).groupBy("value").agg(F.array_sort(F.collect_set(member(F.col("comp"), F.lit(True)))).alias("members")).select("members")
-    large = mixed.where(F.col("n") > PART)
-    apart = large.where("apart").groupBy("value").agg(F.count("*").alias("r"))
-    grid = large.join(apart, "value").withColumns({"parts": F.ceil(F.col("n") / PART).cast("long"), "slices": F.ceil(F.col("r") / PART).cast("long")})
-    deal = lambda of, salt: F.pmod(F.xxhash64("doc", F.lit(salt)), F.col(of))
-    all_of = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
-    members = grid.select("value", deal("parts", 10).alias("part"), all_of("slices").alias("slice"), member(F.col("comp"), F.lit(False)).alias("x"))
-    probes = grid.where("apart").select("value", all_of("parts").alias("part"), deal("slices", 11).alias("slice"), member(F.col("comp"), F.lit(True)).alias("x"))
-    crossed = members.unionByName(probes).groupBy("value", "part", "slice").agg(F.array_sort(F.collect_set("x")).alias("members")).select("members")
-    more = compare(small.unionByName(crossed), texts, similarity, "near2")
-    parts = C.connected_components(links.unionByName(more), "near2-components")
+    dealt = banded.where(F.col("band") < FIRST_BANDS).withColumn("part", F.pmod(F.xxhash64("doc", F.lit(9)), F.ceil(F.col("n") / PART).cast("long")))
+    whole = dealt.groupBy("value", "part").agg(F.collect_list(member(F.col("doc"), F.lit(True))).alias("m"), F.min("center").alias("c"))
+    center = F.array(F.struct(F.col("c").alias("doc"), F.col("c").alias("comp"), F.lit(True).alias("probe")))
+    tested = compare(whole.select(F.array_sort(F.array_union("m", center)).alias("members")), registers, texts, None, similarity, SURE, "near1")
+    parts = C.connected_components(tested.where("ok").select("a", "b"), "near1-components")
+    for tag, sure in (("near2", SURE), ("near3", 2.0)):
+        more = compare(mixed_cells(banded, parts, tag), registers, texts, tested, similarity, sure, tag)
+        tested = tested.unionByName(more)
+        parts = C.connected_components(tested.where("ok").select("a", "b"), f"{tag}-components")
 
     told = known.select("doc_id", "h1", "h2", "shingles").join(reps.select("h1", "h2", "rep"), ["h1", "h2"]).join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     out = told.select("doc_id", F.coalesce("component", "rep").alias("class_id"), F.col("shingles").alias("n_shingles"))

@@ -26,14 +26,14 @@ def query(name: str, sql: str | None = None):
 
 
 def bars(spark: SparkSession, sf: str) -> DataFrame:
-    """sec, d, volume, amount, close, high, low for each supplier and ship date."""
+    """sec, d, volume, amount, close (whole cents, cut), high, low for each supplier and ship date."""
     price = F.col("l_extendedprice") / F.col("l_quantity")
     grouped = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("sec"), F.to_date("l_shipdate").alias("d"))
-    return grouped.agg(F.sum("l_quantity").alias("volume"), F.round(F.sum("l_extendedprice"), 2).alias("amount"), F.max(price).alias("high"), F.min(price).alias("low")).withColumn("close", F.round(F.col("amount") / F.col("volume"), 2))
+    return grouped.agg(F.sum("l_quantity").alias("volume"), F.round(F.sum("l_extendedprice"), 2).alias("amount"), F.max(price).alias("high"), F.min(price).alias("low")).withColumn("close", F.expr("cast(round(amount * 100) as bigint) div cast(volume as bigint)") / F.lit(100.0))
 
 
 BARS = """bars AS (
-  SELECT *, round(amount / volume, 2) AS close FROM (
+  SELECT *, (round(amount * 100)::BIGINT // volume::BIGINT) / 100.0::DOUBLE AS close FROM (
     SELECT l_suppkey AS sec, l_shipdate::DATE AS d, sum(l_quantity) AS volume, round(sum(l_extendedprice), 2) AS amount,
       max(l_extendedprice / l_quantity) AS high, min(l_extendedprice / l_quantity) AS low FROM lineitem GROUP BY 1, 2))"""
 CAL = "cal AS (SELECT d, row_number() OVER (ORDER BY d) AS seq FROM (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem))"
@@ -48,9 +48,9 @@ def _(spark, sf):
     return calendar(spark, sf).select("d", "seq", "prev_d", "next_d")
 
 
-@query("d5_gap_return", f"WITH {BARS} SELECT sec, d, round(close / lag(close) OVER (PARTITION BY sec ORDER BY d) - 1, 4) AS ret FROM bars")
+@query("d5_gap_return", f"WITH {BARS} SELECT sec, d, round(close / lag(close) OVER (PARTITION BY sec ORDER BY d) - 1, 7) AS ret FROM bars")
 def _(spark, sf):
-    return rounded(panel.gap_return(bars(spark, sf), "sec", "d", "close").select("sec", "d", "ret"))
+    return rounded(panel.gap_return(bars(spark, sf), "sec", "d", "close").select("sec", "d", "ret"), 7)
 
 
 @query(
@@ -68,16 +68,16 @@ def _(spark, sf):
 
 @query(
     "d11_price_features",
-    f"""WITH {BARS} SELECT sec, d, round(close / lag(close, 1) OVER w - 1, 4) AS ret_1, round(close / lag(close, 5) OVER w - 1, 4) AS ret_5, round(close / lag(close, 20) OVER w - 1, 4) AS ret_20,
-    round(avg(close) OVER r20, 6) AS ma_20, round(stddev_samp(close) OVER r20, 4) AS vol_20, round(close / max(close) OVER r60 - 1, 4) AS dd_60, count(close) OVER r60 AS obs_60,
-    round((close - min(close) OVER r20) / NULLIF(max(close) OVER r20 - min(close) OVER r20, 0), 4) AS range_20 FROM bars
+    f"""WITH {BARS} SELECT sec, d, round(close / lag(close, 1) OVER w - 1, 6) AS ret_1, round(close / lag(close, 5) OVER w - 1, 6) AS ret_5, round(close / lag(close, 20) OVER w - 1, 6) AS ret_20,
+    round(avg(close) OVER r20, 6) AS ma_20, round(stddev_samp(close) OVER r20, 6) AS vol_20, round(close / max(close) OVER r60 - 1, 6) AS dd_60, count(close) OVER r60 AS obs_60,
+    round((close - min(close) OVER r20) / NULLIF(max(close) OVER r20 - min(close) OVER r20, 0), 6) AS range_20 FROM bars
     WINDOW w AS (PARTITION BY sec ORDER BY d), r20 AS (PARTITION BY sec ORDER BY d ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), r60 AS (PARTITION BY sec ORDER BY d ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)""",
 )
 def _(spark, sf):
     x = panel.lags(bars(spark, sf), "sec", "d", "close", (1, 5, 20))
     x = panel.rolling(x, "sec", "d", {"ma_20": ("avg", "close", 20), "vol_20": ("std", "close", 20), "hi_60": ("max", "close", 60), "obs_60": ("count", "close", 60), "hi_20": ("max", "close", 20), "lo_20": ("min", "close", 20)})
     rets = [(safe_divide("close", f"close_lag{k}") - 1).alias(f"ret_{k}") for k in (1, 5, 20)]
-    return rounded(x.select("sec", "d", *rets, F.col("ma_20").cast("decimal(18,6)").alias("ma_20"), "vol_20", (safe_divide("close", "hi_60") - 1).alias("dd_60"), "obs_60", safe_divide(F.col("close") - F.col("lo_20"), F.col("hi_20") - F.col("lo_20")).alias("range_20"))).withColumn("ma_20", F.col("ma_20").cast("double"))
+    return rounded(x.select("sec", "d", *rets, F.col("ma_20").cast("decimal(18,6)").alias("ma_20"), "vol_20", (safe_divide("close", "hi_60") - 1).alias("dd_60"), "obs_60", safe_divide(F.col("close") - F.col("lo_20"), F.col("hi_20") - F.col("lo_20")).alias("range_20")), 6).withColumn("ma_20", F.col("ma_20").cast("double"))
 
 
 @query("wn22_shifted_rolling", f"WITH {BARS} SELECT sec, d, round(CASE WHEN count(close) OVER w = 20 THEN avg(close) OVER w END, 6) AS ma_before FROM bars WINDOW w AS (PARTITION BY sec ORDER BY d ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)")

@@ -1,0 +1,297 @@
+"""The ten operators and the pipeline on small and odd inputs, against brute force."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+
+from tessera.llm import common, html_text, language_id, maxscore, mixing, packing, pii, probminhash_dedup, rabitq_dedup, recompression_dedup, suffix_dedup
+
+SF = "/root/testdata/sf0.001"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", 0, 7) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, chunk int")
+
+
+def odd_texts():
+    rng = np.random.default_rng(5)
+    base = [str(x) for x in rng.integers(0, 4, 400)]
+    out = []
+    for i in range(80):
+        k = rng.random()
+        if k < 0.3:
+            a = int(rng.integers(0, 300))
+            out.append((i, " ".join(base[a : a + int(rng.integers(18, 90))]) + " tail" * int(rng.integers(0, 3))))
+        elif k < 0.5:
+            out.append((i, "a " * int(rng.integers(0, 100)) + "b\t\n" * int(rng.integers(0, 60))))
+        elif k < 0.6:
+            out.append((i, None if i % 2 else ""))
+        elif k < 0.7:
+            out.append((i, "é" * 30 + "x" * (i % 3) + " y z" * 12))
+        else:
+            out.append((i, " ".join(map(str, rng.integers(0, 2, 220)))))
+    out += [(100, "word " * 30_000), (101, "word " * 30_000), (102, "z" * 40_000)]
+    return out
+
+
+def sha(b):
+    return hashlib.sha256(b).hexdigest()
+
+
+def words_brute(rows, n=20):
+    first, out = set(), {}
+    for i, t in sorted(rows):
+        w = WORDS.findall(t or "")
+        gone = [False] * len(w)
+        for s in range(len(w) - n + 1):
+            k = tuple(w[s : s + n])
+            if k in first:
+                gone[s : s + n] = [True] * n
+            first.add(k)
+        out[i] = (len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone) if not g).encode()))
+    return out
+
+
+def bytes_brute(rows, n=50):
+    first, out = {}, {}
+    for i, t in sorted(rows):
+        b = (t or "").encode()
+        for s in range(len(b) - n + 1):
+            first.setdefault(b[s : s + n], i)
+    for i, t in rows:
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for s in range(len(b) - n + 1):
+            if first[b[s : s + n]] < i:
+                gone[s : s + n] = True
+        spans = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
+        out[i] = (len(b), int(gone.sum()), spans, sha(bytes(np.frombuffer(b, np.uint8)[~gone])))
+    return out
+
+
+def test_recompression_equals_brute_force(spark):
+    rows = odd_texts()
+    got = {r.doc_id: tuple(r)[1:] for r in recompression_dedup.remove_repeats(docs(spark, rows)).collect()}
+    assert got == words_brute(rows)
+
+
+def test_suffix_arrays_equal_brute_force(spark):
+    rows = odd_texts()
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(docs(spark, rows)).collect()}
+    assert got == bytes_brute(rows)
+
+
+def test_substring_dedup_of_nulls_and_repeats(spark):
+    text = "one two three four five " * 8
+    df = docs(spark, [(1, text), (1, text), (None, text), (2, text)])
+    got = collections.Counter((r.doc_id, r.n_removed > 0) for r in suffix_dedup.remove_repeats(df).collect())
+    assert got == {(1, False): 2, (None, True): 1, (2, True): 1}
+    assert suffix_dedup.remove_repeats(df.limit(0)).count() == recompression_dedup.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_level_family_finds_names_of_any_two_batches():
+    rng = np.random.default_rng(1)
+    batches = [np.unique(rng.integers(0, 5000, 300).astype(np.uint64)) for _ in range(13)]
+    family = suffix_dedup.LevelFamily()
+    for b in batches:
+        family.add(b)
+    n = collections.Counter(x for b in batches for x in b.tolist())
+    assert sorted(family.shared_names().tolist()) == sorted(x for x, k in n.items() if k > 1)
+    assert len(family.levels) == bin(len(batches)).count("1")
+
+
+def test_top_k_equals_sql(spark):
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    assert collections.Counter(map(tuple, maxscore.op1_maxscore_top_k(spark, SF).collect())) == collections.Counter(c.sql(maxscore.SQL).fetchall())
+
+
+def test_top_k_grid_ties_and_odd_vectors(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.integers(-2, 3, 6)]) for i in range(120)] + [(200, None), (201, [None, 1.0]), (202, [float("inf")]), (203, []), (None, [1.0])]
+    df = maxscore.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = collections.defaultdict(list)
+    for r in maxscore.top_k(df.where("vec_id % 20 = 0"), df, 5, shard_rows=20, block_rows=3).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    have = {i: [int(64 * x) for x in v] for i, v in rows[:120]} | {203: []}
+    for q in (0, 20, 40, 60, 80, 100):
+        want = sorted(((-sum(a * b for a, b in zip(have[q], v)), i) for i, v in have.items() if i != q))[:5]
+        assert got[q] == [(i, -s) for s, i in want]
+
+
+def test_vector_links(spark):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((20, 16))
+    x = np.concatenate([base[rng.integers(0, 20, 150)] + 0.12 * rng.standard_normal((150, 16)), base[:5]])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(900, x[3].tolist()), (901, None), (902, [0.0] * 16), (903, [float("nan")] * 16), (904, [])]
+    got = {r.vec_id: r for r in rabitq_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block_rows=40).collect()}
+    ids = [*range(len(x)), 900]
+    u = np.array([*x, x[3]])
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    link = u @ u.T >= 0.95
+    np.fill_diagonal(link, False)
+    comp = dict(zip(ids, ids))
+    for _ in ids:
+        for a in range(len(ids)):
+            for b in np.flatnonzero(link[a]):
+                comp[ids[a]] = min(comp[ids[a]], comp[ids[b]])
+    for k, i in enumerate(ids):
+        assert (got[i].n_links, got[i].component_id) == (link[k].sum(), comp[i])
+    assert all(got[i].n_links == 0 and got[i].kept for i in (901, 902, 903, 904))
+
+
+def probability_jaccard(x, y):
+    keys = x.keys() | y.keys()
+    return sum(1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in keys) for i in x.keys() & y.keys())
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows, base = [], [[f"w{x}" for x in rng.integers(0, 500, 80)] for _ in range(6)]
+    for i in range(90):
+        w = list(base[i % 6])
+        for _ in range(int(rng.integers(0, 4))):
+            w[int(rng.integers(0, 80))] = f"n{rng.integers(0, 1 << 30)}"
+        rows.append((i, " ".join(w)))
+    rows += [(200, None), (201, ""), (202, " \n"), (203, "two words"), (204, "two  words"), (205, rows[0][1])]
+    got = {r.doc_id: r.class_id for r in probminhash_dedup.near_duplicates(docs(spark, rows)).collect()}
+    sets = {}
+    for i, t in rows:
+        w = WORDS.findall(t or "")
+        sets[i] = collections.Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else collections.Counter()
+    comp = {i: i for i, _ in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and probability_jaccard(sets[a], sets[b]) >= 0.8]
+    for _ in range(20):
+        for a, b in links:
+            comp[a] = comp[b] = min(comp[a], comp[b])
+    assert got == comp
+    kept = probminhash_dedup.one_of_each(docs(spark, [*rows, rows[0]]))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in comp if comp[i] == i)
+    assert kept.columns == docs(spark, rows).columns
+
+
+def test_propose_in_large_buckets_is_whole(spark, monkeypatch):
+    monkeypatch.setattr(probminhash_dedup, "PART", 4)
+    test_near_duplicates_equal_brute_force(spark)
+
+
+def test_signatures_estimate_probability_jaccard():
+    x, y = {1: 3, 2: 1, 3: 2, 4: 1}, {1: 1, 2: 1, 3: 2, 5: 4}
+    keys = np.array([*x, *y], np.uint64)
+    reg = probminhash_dedup.signatures(np.array([0] * 4 + [1] * 4), common.mix(keys.copy()), np.array([*x.values(), *y.values()]), 2, 4096)
+    assert abs((reg[0] == reg[1]).mean() - probability_jaccard(collections.Counter(x), collections.Counter(y))) < 0.04
+
+
+def test_pseudonyms_keep_format_and_links(spark):
+    text = 'mail a.b1@x.org card 4111 1111 1111 1111 ip 10.20.30.40 iban DE89370400440532013000 ssn 123-45-6789 on 2001-02-28, +1 (988) 555-2485, token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae"'
+    plain = "Nothing here: 12 apples, version 1.2.3.4.5, 4111111111111112."
+    rows = pii.pseudonyms(docs(spark, [(1, text), (2, "again 4111111111111111"), (3, plain), (4, None), (5, "")])).collect()
+    got = {r.doc_id: r for r in rows}
+    assert got[3].text == plain and got[4].text is None and got[5].text == "" and got[1].n_found == 8
+    for old in ("a.b1@", "4111 1111", "10.20.30.40", "DE89", "123-45-6789", "2001-02-28", "555-2485", "1beb58"):
+        assert old not in got[1].text
+    card = re.search(r"card ([\d ]{19}) ip", got[1].text)[1]
+    assert pii.luhn(card.replace(" ", "")) % 10 == 0 and card.replace(" ", "") in got[2].text
+    assert re.sub(r"[A-Za-z0-9]", "x", got[1].text) == re.sub(r"[A-Za-z0-9]", "x", text)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 100, 1000])
+def test_feistel_is_a_permutation(size):
+    assert sorted(pii.permute(i, size, b"k") for i in range(size)) == list(range(size))
+
+
+def test_packing_is_whole_and_gapless(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.tokenizer_path())
+    rows = [(i, "word " * int(n)) for i, n in enumerate(np.random.default_rng(6).integers(0, 900, 60))] + [(70, None), (71, ""), (72, "long text " * 3000), (73, "x<|endoftext|>y"), (73, "x<|endoftext|>y")]
+    out = packing.pack_documents(docs(spark, rows)).collect()
+    seqs = collections.defaultdict(list)
+    for r in out:
+        seqs[r.sequence_id].append((r.offset, r.length))
+    for s in seqs.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    by = collections.defaultdict(list)
+    for r in out:
+        by[r.doc_id].append((r.piece, r.start, r.length, r.ids_crc32))
+    for i, t in dict(rows).items():
+        ids, at = np.array(tok.encode(t or "", add_special_tokens=False).ids + [2], "<u4"), 0
+        for _, start, length, crc in sorted(set(by[i])):
+            assert start == at and zlib.crc32(ids[at : at + length].tobytes()) == crc and (length == 1024 or start == 0)
+            at += length
+        assert at == len(ids)
+    total = sum(r.length for r in out)
+    assert len(seqs) <= -(-total // 1024) * 1.15 + 1
+
+
+def test_plan_uses_each_piece_once():
+    rng = np.random.default_rng(7)
+    for _ in range(20):
+        counts = {int(k): int(n) for k, n in zip(rng.integers(1, 65, 30), rng.integers(1, 50, 30))}
+        used = collections.Counter()
+        for pattern, n in packing.plan(counts, 64):
+            assert sum(pattern) <= 64 and n > 0
+            used.update({k: v * n for k, v in collections.Counter(pattern).items()})
+        assert used == counts
+
+
+def test_language_held_out(spark):
+    got = language_id.op5_language_id(spark, "/root/testdata/sf0.01").join(common.documents(spark, "/root/testdata/sf0.01").select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert np.mean([r.lang_pred == r.lang for r in got]) > 0.95
+    learned = {"en": b"the cat and the dog " * 20, "de": "der hund und die katze ".encode() * 20}
+    judged = list(language_id.judge([None, "", "123 !", "the cat", "DIE KATZE"], learned))
+    assert [x[0] for x in judged] == ["und", "und", "und", "en", "de"]
+
+
+def test_page_text(spark):
+    tree = html_text.train(spark)
+    page = "<nav><a href=x>Menu</a></nav><script>var a='</p>'</script><article><h1>T &amp; U</h1><p>One  two\nthree.<p>Four <a href=y>five</a> six seven eight.</article><div class='comments'>I like it very much indeed.</div><footer>&copy; us</footer>"
+    df = spark.createDataFrame([(1, "u", page, 1), (2, "u", None, 1), (3, "u", "", 1), (4, None, "plain words without any tag at all in here, but many of them in one line", 1), (5, "u", "<p>" * 5000, 1)], "page_id long, url string, html string, text int")
+    got = {r.page_id: r for r in html_text.extract(df, tree).collect()}
+    assert got[1].text == "T & U\n\nOne two three.\n\nFour five six seven eight."
+    assert [got[i].text for i in (2, 3, 5)] == ["", "", ""] and got[4].n_chars == len(got[4].text) > 0
+
+
+def test_mixing_equals_sql(spark):
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    got = [tuple(r) for r in mixing.op9_mixing(spark, SF).collect()]
+    assert collections.Counter(got) == collections.Counter(c.sql(mixing.SQL).fetchall())
+
+
+def test_mixing_odd_rows(spark):
+    rows = [(1, "a b", "x"), (1, "a b", "x"), (2, None, None), (3, "c " * 50, None), (4, "", "y"), (5, "d " * 40, "z")]
+    df = spark.createDataFrame([(*r, 9) for r in rows], "doc_id long, text string, source string, size int")
+    out = mixing.rates(df).collect()
+    assert len(out) == 6 and all(r.taken <= 2 * r.size for r in out)
+    targets = {r.doc_id: r.target for r in out}
+    assert abs(targets[1] + targets[3] + targets[4] + targets[5] - 1.5 * 94) < 1e-6
+    assert mixing.mix(df).columns == df.columns and mixing.rates(df.limit(0)).count() == 0
+
+
+def test_components_of_a_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
+    got = dict(map(tuple, common.connected_components(edges).collect()))
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_pipeline_keeps_columns(spark):
+    import corpus_pipeline
+
+    frame = common.documents(spark, SF)
+    columns = frame.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = common.save(stage(spark, frame, SF), name.replace(" ", "-"))
+        assert frame.columns == columns
+    packed = corpus_pipeline.STAGES[-1][1](spark, frame, SF)
+    assert packed.select("doc_id").distinct().count() == frame.select("doc_id").distinct().count()

@@ -11,8 +11,11 @@ size, registers are compared: a pair that agrees on less than `similarity` minus
 the others are proposed.  Whole shingle sets decide on what is proposed.  A first round looks at the first bands'
 buckets and leaves components; later rounds look only at buckets that still hold several components, and at pairs
 that would join them.  In the first two, a proposal that is all but certain makes others between its components
-needless and the best few of a document come first; the last round proposes every pair that is left.  Large buckets are split: members are dealt to parts, and what
-isn't linked to the bucket's smallest document meets every part.
+needless and the best few of a document come first.  The last round decides on every pair that is left, where its
+cell is: the shingle sets of documents with such a pair come to the cell, and only links that join components leave
+it, so that rows grow with the members of a cell, not with its pairs.  A pair is decided on in the cell of the first
+band that it shares.  Large buckets are split: members are dealt to parts, and what isn't linked to the bucket's
+smallest document meets every part.
 """
 
 from __future__ import annotations
@@ -30,10 +33,11 @@ from .recompression_dedup import words_of
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4  # a pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^24 = 3e-6
 FIRST_BANDS = 4
-PART = 100  # members of a bucket that meet in one task
+PART = 1000  # members of a bucket that meet in one task with their registers, of half a kilobyte
+SET_BYTES, SET_PART = 64 << 20, 400  # whole shingle sets that meet in one task: bytes and members
 REGISTERS = 384  # of which the bands take the first; a byte of each is kept to estimate similarities by
 ERRORS, SURE = 4.0, 0.84  # standard errors of an estimate that is given the benefit; agreement taken for a link meanwhile
-FEW = 3  # proposals for a document of a cell in the rounds before the last, which proposes all
+FEW = 3  # proposals for a document of a cell in the rounds before the last, which looks at all
 BROADCAST_IDS = 500_000  # ids up to this number (8 MB) go to all executors
 FEATURES = "doc_id long, h1 long, h2 long, shingles long, bands array<long>, registers binary"
 SETS = "doc long, keys binary, counts binary"
@@ -146,8 +150,12 @@ def probability_jaccard(a, b) -> float:
     return total
 
 
-def propose(table: pa.Table, similarity: float, sure: float) -> pa.Table:
-    """Pairs (a, b) of different components, one of them a probe, whose registers agree enough."""
+def agreeing(table: pa.Table, similarity: float):
+    """Members of a cell (doc, first row, component) and the pairs of them, one a probe, that registers don't dismiss.
+
+    Pairs are of different components, as places in the members, with their agreement.  If the table has bands and
+    the band of the cell, pairs that share an earlier band are left to the cell of that.
+    """
     docs, first = np.unique(table["doc"].to_numpy(), return_index=True)
     comp, probe = table["comp"].to_numpy()[first], np.zeros(len(docs), bool)
     flagged = table["doc"].to_numpy()[table["probe"].to_numpy(zero_copy_only=False)]
@@ -156,36 +164,77 @@ def propose(table: pa.Table, similarity: float, sure: float) -> pa.Table:
     registers = np.stack([np.frombuffer(raw[i], np.uint8) for i in first.tolist()])
     m = registers.shape[1]
     least = similarity - ERRORS * np.sqrt(similarity * (1 - similarity) / m)
-    where, agree = [], []
+    bands = None
+    if "bands" in table.column_names:
+        lists, band = table["bands"].to_pylist(), table["band"][0].as_py()
+        bands = np.array([lists[i] for i in first.tolist()], np.int64)
+    where, agree = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
     for i in np.flatnonzero(probe).tolist():
         other = np.flatnonzero((comp != comp[i]) & (~probe | (np.arange(len(docs)) > i)))
+        if bands is not None:
+            shared = bands[other] == bands[i]
+            other = other[shared[:, band] & (shared.argmax(1) == band)]
         same = (registers[other] == registers[i]).mean(1)
         same = (same - 1 / 256) / (1 - 1 / 256)  # without the bytes that agree by chance
         keep = same >= least
         where.append(np.stack([np.full(keep.sum(), i), other[keep]], 1))
         agree.append(same[keep])
-    where, agree = np.concatenate([np.zeros((0, 2), np.int64), *where]), np.concatenate([np.zeros(0), *agree])
-    parent: dict[int, int] = {c: c for c in comp.tolist()}
+    return docs, first, comp, np.concatenate(where), np.concatenate(agree)
 
-    def root(c: int) -> int:
-        while parent[c] != c:
-            parent[c] = parent[parent[c]]
-            c = parent[c]
+
+class Roots(dict):
+    """Components of a cell that links have joined."""
+
+    def of(self, c: int) -> int:
+        while self[c] != c:
+            self[c] = self[self[c]]
+            c = self[c]
         return c
 
+
+def propose(table: pa.Table, similarity: float, sure: float) -> pa.Table:
+    """Pairs (a, b) of different components, one of them a probe, whose registers agree enough: a document's best few."""
+    docs, _, comp, where, agree = agreeing(table, similarity)
+    roots = Roots((c, c) for c in comp.tolist())
     a, b = [], []
     proposed = np.zeros(len(docs), np.int64)
     for k in np.argsort(-agree, kind="stable").tolist():
         i, j = where[k].tolist()
-        if sure <= 1 and min(proposed[i], proposed[j]) >= FEW:
-            continue  # while there are rounds to come, the best few are enough
-        r, s = root(int(comp[i])), root(int(comp[j]))
+        if min(proposed[i], proposed[j]) >= FEW:
+            continue  # there are rounds to come
+        r, s = roots.of(int(comp[i])), roots.of(int(comp[j]))
         if r != s:
             proposed[[i, j]] += 1
             a.append(min(docs[i], docs[j]))
             b.append(max(docs[i], docs[j]))
             if agree[k] >= sure:
-                parent[s] = r
+                roots[s] = r
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def in_question(table: pa.Table, similarity: float) -> pa.Table:
+    """Members of a cell that stand in a pair to be decided on."""
+    docs, _, comp, where, _ = agreeing(table, similarity)
+    at = np.unique(where)
+    probe = np.isin(docs, table["doc"].to_numpy()[table["probe"].to_numpy(zero_copy_only=False)])
+    n = len(at)
+    return pa.table({"cell": pa.array([table["cell"][0].as_py()] * n, pa.int64()), "band": pa.array([table["band"][0].as_py()] * n, pa.int32()), "doc": pa.array(docs[at]), "comp": pa.array(comp[at]), "probe": pa.array(probe[at])})
+
+
+def settle(table: pa.Table, similarity: float) -> pa.Table:
+    """Links (a, b) that join components of a cell, after whole shingle sets; every pair left is looked at."""
+    docs, first, comp, where, agree = agreeing(table, similarity)
+    keys, counts = table["keys"].to_pylist(), table["counts"].to_pylist()
+    whole = [(np.frombuffer(keys[i], np.uint64), np.frombuffer(counts[i], np.uint32)) for i in first.tolist()]
+    roots = Roots((c, c) for c in comp.tolist())
+    a, b = [], []
+    for k in np.argsort(-agree, kind="stable").tolist():
+        i, j = where[k].tolist()
+        r, s = roots.of(int(comp[i])), roots.of(int(comp[j]))
+        if r != s and probability_jaccard(whole[i], whole[j]) >= similarity:
+            roots[s] = r
+            a.append(min(docs[i], docs[j]))
+            b.append(max(docs[i], docs[j]))
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
@@ -199,37 +248,57 @@ def decide(similarity: float):
     return run
 
 
-def compare(cells: DataFrame, registers: DataFrame, docs: DataFrame, tested: DataFrame | None, similarity: float, sure: float, tag: str) -> DataFrame:
+def sets_of(wanted: DataFrame, docs: DataFrame, tag: str) -> DataFrame:
+    """Shingle sets of the documents named by wanted's doc_id."""
+    wanted = C.save(wanted.distinct(), f"{tag}-wanted")
+    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    texts = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
+    return C.save(texts.mapInArrow(sets, SETS), f"{tag}-sets")
+
+
+def compare(cells: DataFrame, reps: DataFrame, docs: DataFrame, tested: DataFrame | None, similarity: float, sure: float, tag: str) -> DataFrame:
     """Pairs proposed in cells (members array<struct<doc, comp, probe>>) and not tested yet: a, b, ok."""
-    cells = C.save(cells.where(F.size("members") > 1).distinct().withColumn("cell", F.xxhash64("members")), f"{tag}-cells")
-    flat = cells.select("cell", F.inline("members")).join(registers, "doc")
+    cells = C.save(cells.where(F.size("members") > 1).select("members").distinct().withColumn("cell", F.xxhash64("members")), f"{tag}-cells")
+    flat = cells.select("cell", F.inline("members")).join(reps.select("doc", "registers"), "doc")
     pairs = flat.groupBy("cell").applyInArrow(lambda t: propose(t, similarity, sure), "a long, b long").distinct()
     if tested is not None:
         pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
     pairs = C.save(pairs, f"{tag}-pairs")
-    wanted = C.save(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), f"{tag}-wanted")
-    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    texts = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
-    whole = C.save(texts.mapInArrow(sets, SETS), f"{tag}-sets")
+    whole = sets_of(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))), docs, tag)
     side = lambda x: whole.select(F.col("doc").alias(x), F.col("keys").alias(f"keys_{x}"), F.col("counts").alias(f"counts_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "keys_a", "counts_a", "keys_b", "counts_b")
     return C.save(both.mapInArrow(decide(similarity), "a long, b long, ok boolean"), f"{tag}-tested")
 
 
-def mixed_cells(banded: DataFrame, parts: DataFrame, tag: str) -> DataFrame:
-    """Cells for the buckets that hold more than one component: whole small ones, grids of parts for large ones."""
-    comps = banded.select("doc", "value").join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
-    mixed = comps.groupBy("value").agg(F.count("*").alias("n"), F.min(F.struct("doc", "comp")).alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    mixed = C.save(comps.join(mixed, "value").select("value", "doc", "comp", "n", (F.col("comp") != F.col("c.comp")).alias("apart")), f"{tag}-mixed")
-    small = mixed.where(F.col("n") <= PART).groupBy("value").agg(F.array_sort(F.collect_list(member(F.col("comp"), F.lit(True)))).alias("members")).select("members")
-    large = mixed.where(F.col("n") > PART)
+def last_links(cells: DataFrame, reps: DataFrame, docs: DataFrame, similarity: float, tag: str) -> DataFrame:
+    """All links (a, b) that are left between components, found in cells (members and their band)."""
+    # equal cells of several bands are one, of the first: a pair in it shares no earlier band
+    cells = cells.where(F.size("members") > 1).groupBy("members").agg(F.min("band").alias("band"))
+    cells = C.save(cells.withColumn("cell", F.xxhash64("members", "band")), f"{tag}-cells")
+    flat = cells.select("cell", "band", F.inline("members")).join(reps.select("doc", "registers", "bands"), "doc")
+    asked = C.save(flat.groupBy("cell").applyInArrow(lambda t: in_question(t, similarity), "cell long, band int, doc long, comp long, probe boolean"), f"{tag}-asked")
+    whole = sets_of(asked.select(F.col("doc").alias("doc_id")), docs, tag)
+    met = asked.join(reps.select("doc", "registers", "bands"), "doc").join(whole, "doc")
+    return C.save(met.groupBy("cell").applyInArrow(lambda t: settle(t, similarity), "a long, b long").distinct(), f"{tag}-links")
+
+
+def mixed_cells(banded: DataFrame, parts: DataFrame, whole: bool, tag: str) -> DataFrame:
+    """Cells (members, band) for the buckets that hold more than one component: whole small ones, grids of parts for large ones."""
+    comps = banded.select("doc", "value", "band", "shingles").join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
+    mixed = comps.groupBy("value").agg(F.count("*").alias("n"), F.max("shingles").alias("most"), F.min(F.struct("doc", "comp")).alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    # where whole sets are to meet, parts are the smaller the longer the bucket's longest document is
+    fit = F.greatest(F.least(F.lit(SET_BYTES) / (12 * F.col("most")), F.lit(min(SET_PART, PART))), F.lit(2)).cast("long") if whole else F.lit(PART).cast("long")
+    mixed = mixed.withColumn("size", fit)
+    mixed = C.save(comps.join(mixed, "value").select("value", "band", "doc", "comp", "n", "size", (F.col("comp") != F.col("c.comp")).alias("apart")), f"{tag}-mixed")
+    small = mixed.where("n <= size").groupBy("value").agg(F.array_sort(F.collect_list(member(F.col("comp"), F.lit(True)))).alias("members"), F.min("band").alias("band")).select("members", "band")
+    large = mixed.where("n > size")
     apart = large.where("apart").groupBy("value").agg(F.count("*").alias("r"))
-    grid = large.join(apart, "value").withColumns({"parts": F.ceil(F.col("n") / PART).cast("long"), "slices": F.ceil(F.col("r") / PART).cast("long")})
+    grid = large.join(apart, "value").withColumns({"parts": F.ceil(F.col("n") / F.col("size")).cast("long"), "slices": F.ceil(F.col("r") / F.col("size")).cast("long")})
     deal = lambda of, salt: F.pmod(F.xxhash64("doc", F.lit(salt)), F.col(of))
     all_of = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
-    members = grid.select("value", deal("parts", 10).alias("part"), all_of("slices").alias("slice"), member(F.col("comp"), F.lit(False)).alias("x"))
-    probes = grid.where("apart").select("value", all_of("parts").alias("part"), deal("slices", 11).alias("slice"), member(F.col("comp"), F.lit(True)).alias("x"))
-    crossed = members.unionByName(probes).groupBy("value", "part", "slice").agg(F.array_sort(F.collect_set("x")).alias("members")).select("members")
+    members = grid.select("value", "band", deal("parts", 10).alias("part"), all_of("slices").alias("slice"), member(F.col("comp"), F.lit(False)).alias("x"))
+    probes = grid.where("apart").select("value", "band", all_of("parts").alias("part"), deal("slices", 11).alias("slice"), member(F.col("comp"), F.lit(True)).alias("x"))
+    crossed = members.unionByName(probes).groupBy("value", "part", "slice").agg(F.array_sort(F.collect_set("x")).alias("members"), F.min("band").alias("band")).select("members", "band")
     return small.unionByName(crossed)
 
 
@@ -248,10 +317,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     feats = C.save(rows.mapInArrow(features, FEATURES), "features")
     known = feats.where("doc_id is not null and shingles > 0")
-    reps = C.save(known.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "registers"), "doc_id").alias("s")), "reps")
-    registers = reps.select(F.col("rep").alias("doc"), "s.registers")
+    reps = C.save(known.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "registers", "shingles"), "doc_id").alias("s")), "reps")
+    signed = reps.select(F.col("rep").alias("doc"), "s.registers", "s.bands")
     # buckets of one document are left out of everything that follows
-    banded = reps.select(F.col("rep").alias("doc"), F.posexplode("s.bands").alias("band", "value"))
+    banded = reps.select(F.col("rep").alias("doc"), "s.shingles", F.posexplode("s.bands").alias("band", "value"))
     held = banded.groupBy("value").agg(F.count("*").alias("n"), F.min("doc").alias("center")).where("n > 1")
     banded = C.save(banded.join(held, "value"), "banded")
     texts = rows.where("doc_id is not null")
@@ -260,12 +329,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     dealt = banded.where(F.col("band") < FIRST_BANDS).withColumn("part", F.pmod(F.xxhash64("doc", F.lit(9)), F.ceil(F.col("n") / PART).cast("long")))
     whole = dealt.groupBy("value", "part").agg(F.collect_list(member(F.col("doc"), F.lit(True))).alias("m"), F.min("center").alias("c"))
     center = F.array(F.struct(F.col("c").alias("doc"), F.col("c").alias("comp"), F.lit(True).alias("probe")))
-    tested = compare(whole.select(F.array_sort(F.array_union("m", center)).alias("members")), registers, texts, None, similarity, SURE, "near1")
+    tested = compare(whole.select(F.array_sort(F.array_union("m", center)).alias("members")), signed, texts, None, similarity, SURE, "near1")
     parts = C.connected_components(tested.where("ok").select("a", "b"), "near1-components")
-    for tag, sure in (("near2", SURE), ("near3", 2.0)):
-        more = compare(mixed_cells(banded, parts, tag), registers, texts, tested, similarity, sure, tag)
-        tested = tested.unionByName(more)
-        parts = C.connected_components(tested.where("ok").select("a", "b"), f"{tag}-components")
+    more = compare(mixed_cells(banded, parts, False, "near2"), signed, texts, tested, similarity, SURE, "near2")
+    links = tested.unionByName(more).where("ok").select("a", "b")
+    parts = C.connected_components(links, "near2-components")
+    links = links.unionByName(last_links(mixed_cells(banded, parts, True, "near3"), signed, texts, similarity, "near3"))
+    parts = C.connected_components(links, "near3-components")
 
     told = known.select("doc_id", "h1", "h2", "shingles").join(reps.select("h1", "h2", "rep"), ["h1", "h2"]).join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     out = told.select("doc_id", F.coalesce("component", "rep").alias("class_id"), F.col("shingles").alias("n_shingles"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import market
+from .plans import market, research  # noqa: F401  research adds its queries to market's
 
 
 def queries() -> dict:

@@ -13,6 +13,13 @@ def safe_divide(a, b) -> Column:
     return F.try_divide(a, b)
 
 
+def safe_corr(a: str, b: str) -> Column:
+    """Correlation, null where either is constant or there are fewer than two rows."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def strict_greatest(*cols) -> Column:
     """The greatest, null if any is null."""
     known = reduce(lambda x, y: x & y, (F.col(c).isNotNull() if isinstance(c, str) else c.isNotNull() for c in cols))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import safe_corr
+
 
 def lags(df: DataFrame, key: str, order: str, col: str, ks) -> DataFrame:
     w = Window.partitionBy(key).orderBy(order)
@@ -80,7 +82,7 @@ def rank_ic(df: DataFrame, by: str, score: str, target: str, tiebreak: str, meth
     """Correlation of the ranks of score and target for each by with enough rows."""
     both = df.where(F.col(score).isNotNull() & F.col(target).isNotNull())
     r = xs_rank(xs_rank(both, by, score, method, tiebreak, "_s"), by, target, method, tiebreak, "_t")
-    return r.groupBy(by).agg(F.count("*").alias("n"), F.corr("_s", "_t").alias("ic")).where(F.col("n") >= min_n)
+    return r.groupBy(by).agg(F.count("*").alias("n"), safe_corr("_s", "_t").alias("ic")).where(F.col("n") >= min_n)
 
 
 def neutralize(df: DataFrame, by: str, y: str, x: str, out: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tessera.functions import scalar
-from tessera.operators import calendar, joins, ledger, panel
+from tessera.operators import calendar, joins, ledger, panel, quality, research
 from tessera.sources import tables
 
 D = dt.date
@@ -70,3 +70,33 @@ def test_refresh_window(spark):
     cal = days(spark, *(D(2021, 1, x) for x in range(1, 21)))
     w = calendar.plan_refresh_window(cal, D(2021, 1, 15), D(2021, 1, 18), read_back=5, label_back=2)
     assert (w.write_from, w.write_to, w.read_from, w.label_from) == (D(2021, 1, 15), D(2021, 1, 18), D(2021, 1, 10), D(2021, 1, 13))
+
+
+def test_hysteresis_and_two_state(spark):
+    regimes = ["risk_on", "risk_off", "risk_off", "neutral", "risk_on", "risk_on"]
+    df = spark.createDataFrame([(1, i, r, i in (1, 2)) for i, r in enumerate(regimes)], "k int, o int, regime string, off boolean")
+    assert [r.exposure for r in research.hysteresis(df, "k", "o", "regime", 0.5).orderBy("o").collect()] == [1, 1, 0.5, 0.5, 0.5, 1]
+    assert [r.exposure for r in research.two_state(df, "k", "o", F.col("off"), 0.3).orderBy("o").collect()] == [1, 1, 0.3, 0.3, 1, 1]
+
+
+def test_folds_and_lots(spark):
+    assert [y for _, y in research.cv_folds(list(range(2015, 2020)))] == [2017, 2018, 2019]
+    got = spark.createDataFrame([(10.0,), (80.0,)], "p double").select(research.min_buy_shares(F.lit(100_000.0), F.lit(0.05), F.col("p"))).collect()
+    assert [r[0] for r in got] == [500, 100]
+
+
+def test_winsor_zscore_fits_on_training_rows_only(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(101)], "x double")
+    out = research.WinsorZScore(("x",)).fit(df).transform(spark.createDataFrame([(None,), (50.0,), (1e9,), (99.0,)], "x double")).collect()
+    assert abs(out[0].x) < 1e-9 and abs(out[1].x) < 1e-9 and out[2].x == out[3].x
+    raw = research.WinsorZScore(("x",), zscore=False).fit(df).transform(spark.createDataFrame([(None,), (1e9,)], "x double")).collect()
+    assert raw[0].x is None and raw[1].x == 99.0
+
+
+def test_expectations_find_seeded_violations(spark):
+    df = spark.createDataFrame([(1, 0.5), (1, 2.0), (2, None)], "k int, v double")
+    assert [r.k for r in quality.expect_unique(df, ["k"]).collect()] == [1]
+    assert quality.expect_between(df, "v", 0, 1).count() == 2
+    assert [r.k for r in quality.expect_covered(df, spark.createDataFrame([(1,), (3,)], "k int"), ["k"]).collect()] == [3]
+    assert [r.k for r in quality.expect_ratio(df, ["k"], F.col("v").isNotNull(), 0.5).collect()] == [2]
+    quality.assert_empty(df.limit(0), "none")

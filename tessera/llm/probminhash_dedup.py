@@ -34,7 +34,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4  # a pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^24 = 3e-6
 FIRST_BANDS = 4
 PART = 1000  # members of a bucket that meet in one task with their registers, of half a kilobyte
-SET_BYTES, SET_PART = 64 << 20, 400  # whole shingle sets that meet in one task: bytes and members
+SET_BYTES = 64 << 20  # where whole shingle sets meet, parts are smaller if they might hold more than this
 REGISTERS = 384  # of which the bands take the first; a byte of each is kept to estimate similarities by
 ERRORS, SURE = 4.0, 0.84  # standard errors of an estimate that is given the benefit; agreement taken for a link meanwhile
 FEW = 3  # proposals for a document of a cell in the rounds before the last, which looks at all
@@ -287,7 +287,7 @@ def mixed_cells(banded: DataFrame, parts: DataFrame, whole: bool, tag: str) -> D
     comps = banded.select("doc", "value", "band", "shingles").join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
     mixed = comps.groupBy("value").agg(F.count("*").alias("n"), F.max("shingles").alias("most"), F.min(F.struct("doc", "comp")).alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
     # where whole sets are to meet, parts are the smaller the longer the bucket's longest document is
-    fit = F.greatest(F.least(F.lit(SET_BYTES) / (12 * F.col("most")), F.lit(min(SET_PART, PART))), F.lit(2)).cast("long") if whole else F.lit(PART).cast("long")
+    fit = F.greatest(F.least(F.lit(SET_BYTES) / (12 * F.col("most")), F.lit(PART)), F.lit(2)).cast("long") if whole else F.lit(PART).cast("long")
     mixed = mixed.withColumn("size", fit)
     mixed = C.save(comps.join(mixed, "value").select("value", "band", "doc", "comp", "n", "size", (F.col("comp") != F.col("c.comp")).alias("apart")), f"{tag}-mixed")
     small = mixed.where("n <= size").groupBy("value").agg(F.array_sort(F.collect_list(member(F.col("comp"), F.lit(True)))).alias("members"), F.min("band").alias("band")).select("members", "band")

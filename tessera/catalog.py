@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import market, research  # noqa: F401  research adds its queries to market's
+from .plans import market, research, runs  # noqa: F401  the others add their queries to those of market
 
 
 def queries() -> dict:

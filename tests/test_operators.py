@@ -100,3 +100,32 @@ def test_expectations_find_seeded_violations(spark):
     assert [r.k for r in quality.expect_covered(df, spark.createDataFrame([(1,), (3,)], "k int"), ["k"]).collect()] == [3]
     assert [r.k for r in quality.expect_ratio(df, ["k"], F.col("v").isNotNull(), 0.5).collect()] == [2]
     quality.assert_empty(df.limit(0), "none")
+
+
+def test_models_rank_a_separable_label_and_name_the_feature_that_matters(spark):
+    from tessera.operators import runs
+
+    rows = [(float(i), float(i * 7 % 10), float(i >= 20), float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "x double, noise double, y double, z double")
+    scored = runs.predict(runs.fit_logistic(df, ["x", "noise"], "y"), df, ["x", "noise"])
+    out = runs.auc_log_loss(scored.selectExpr("1 as g", "cast(y as int) as y", "score"), "g", "y", "score").first()
+    assert out["n"] == 40 and out["auc"] == 1.0 and out["log_loss"] < 0.5
+    imp = {r["feature"]: r["importance"] for r in runs.importances(spark, runs.fit_trees(df, ["x", "noise"], "z"), ["x", "noise"]).collect()}
+    assert abs(sum(imp.values()) - 1) < 1e-9 and imp["x"] > imp["noise"]
+
+
+def test_decisions_with_null_metrics_are_incomplete(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import runs
+
+    df = spark.createDataFrame([(1, 0.1, -0.2), (2, -0.1, -0.9), (3, None, -0.1)], "id int, total double, mdd double")
+    got = runs.decide(df, [("total", "total", F.col("total") > 0), ("drawdown", "mdd", F.col("mdd") > -0.5)])
+    assert {r["id"]: (r["failed"], r["status"]) for r in got.collect()} == {1: ("", "accepted"), 2: ("total;drawdown", "rejected"), 3: ("", "incomplete")}
+
+
+def test_ledger_keeps_its_invariants(spark):
+    import __spark_entry__ as e
+
+    got = {r["rule"]: r["bad"] for r in e.queries()["qa11_ledger_invariants"](spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == 3 and set(got.values()) == {0}

@@ -424,14 +424,18 @@ def _(spark, sf):
     return both.select("d", "sec", F.when(F.col("held").isNull(), "buy").when(F.col("want").isNull(), "sell").otherwise("hold").alias("side"))
 
 
-@query("d34_ledger")
-def _(spark, sf):
-    """A portfolio for each nation's suppliers, rebalanced monthly; a fold over days, beyond SQL."""
+def ledger_rows(spark, sf) -> DataFrame:
+    """A portfolio for each nation's suppliers, rebalanced monthly."""
     nations = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sec"), F.col("s_nationkey").cast("long").alias("portfolio"))
     dates = cal_.rebalance_dates(calendar(spark, sf), "monthly").withColumn("reb", F.lit(True))
     rows = bars(spark, sf).join(nations, "sec").join(joins.small(dates), "d", "left").withColumn("rk", F.row_number().over(Window.partitionBy("portfolio", "d").orderBy(F.desc("amount"), "sec")))
-    rows = rows.select("portfolio", "d", "sec", (F.col("close") / 100).alias("price"), F.when(F.col("reb") & (F.col("rk") <= 5), 0.2).alias("target"))
-    return ledger.run_ledger(rows)
+    return rows.select("portfolio", "d", "sec", (F.col("close") / 100).alias("price"), F.when(F.col("reb") & (F.col("rk") <= 5), 0.2).alias("target"))
+
+
+@query("d34_ledger")
+def _(spark, sf):
+    """A fold over days, beyond SQL."""
+    return ledger.run_ledger(ledger_rows(spark, sf))
 
 
 @query("d16_market_state", f"WITH {BARS}, r AS (SELECT sec, d, close / lag(close) OVER (PARTITION BY sec ORDER BY d) - 1 AS ret FROM bars), b AS (SELECT d, count(ret) AS n, count(*) FILTER (ret > 0) AS up, count(*) FILTER (ret <= -0.095) AS down_limit FROM r GROUP BY d) SELECT d, n, up, round(up / NULLIF(n, 0)::DOUBLE, 4) AS breadth, CASE WHEN n = 0 THEN 'unknown' WHEN down_limit / n::DOUBLE > 0.5 THEN 'risk_off' WHEN up / n::DOUBLE > 0.5 THEN 'risk_on' ELSE 'neutral' END AS regime FROM b")

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import rounded, safe_divide
 from ..operators import calendar as cal_
-from ..operators import joins, panel, research, runs
+from ..operators import ledger, panel, research, runs
 from ..sources.tables import table
-from .market import BARS, CAL, CANDIDATES, LABELS, NAV, QUERIES, RANKED, bars, calendar, candidates, labels, navs, query, scored
+from .market import BARS, CAL, CANDIDATES, LABELS, NAV, QUERIES, RANKED, bars, calendar, candidates, labels, ledger_rows, navs, query, scored
 
 FOLDS = research.cv_folds([1996, 1997, 1998, 1999, 2000])
 
@@ -197,6 +197,19 @@ def _(spark, sf):
     return x.where(F.col("first_known") > F.date_add("d", 90))
 
 
+@query("d39_resumed_ledger")
+def _(spark, sf):
+    """The ledger of d34 from 1999 on, resumed from the books at the end of 1998; a fold, beyond SQL."""
+    rows, early = ledger_rows(spark, sf), F.col("d") < F.lit("1999-01-01").cast("date")
+    return ledger.run_ledger(rows.where(~early), start=ledger.snapshot(rows.where(early)))
+
+
+@query("d36_fractional_ledger")
+def _(spark, sf):
+    """The ledger of d34 with fractions of shares."""
+    return ledger.run_ledger(ledger_rows(spark, sf), lot=0)
+
+
 @query("qa11_ledger_invariants")
 def _(spark, sf):
     return runs.ledger_violations(QUERIES["d34_ledger"](spark, sf))

@@ -129,3 +129,33 @@ def test_ledger_keeps_its_invariants(spark):
 
     got = {r["rule"]: r["bad"] for r in e.queries()["qa11_ledger_invariants"](spark, "/root/testdata/sf0.001").collect()}
     assert len(got) == 3 and set(got.values()) == {0}
+
+
+def ledger_rows():
+    prices = {1: [23.0, 24.0, 12.5, 12.0, 13.0, 14.0], 2: [10.0, 11.0, 9.0, 9.5, 9.0, 8.0]}
+    rows = [(p, D(2020, 1, 1 + i), k, prices[k][i] + p, {0: 0.3, 3: 0.3 if k == 2 else None}.get(i), 2.0 if (k, i) == (1, 2) else None, 0.5 if (k, i) == (2, 4) else None) for p in (1, 2) for k in (1, 2) for i in range(6)]
+    return pd.DataFrame(rows, columns=["portfolio", "d", "sec", "price", "target", "split", "dividend"])
+
+
+def test_corporate_actions_change_shares_and_cash():
+    book = ledger.Book(100.0, 100, {1: 301, 2: 200}, {1: 10.0, 2: 5.0})
+    book.corporate_action(1, 1.5, 1.0)
+    assert book.shares[1] == 451 and abs(book.cash - (100 + 301 * 0.9)) < 1e-9 and abs(book.last[1] - 10 / 1.5) < 1e-12
+    book.corporate_action(3, 2.0, None)
+    assert book.shares[3] == 0
+
+
+def test_fractional_buys_scale_down_to_the_cash():
+    book = ledger.Book(1000.0, 0, {}, {1: 10.0, 2: 20.0})
+    assert book.rebalance({1: 10.0, 2: 20.0}, {1: 0.8, 2: 0.8}) == 2
+    assert abs(book.cash) < 1e-9 and abs(book.shares[1] * 10 - book.shares[2] * 20) < 1e-9
+
+
+def test_a_resumed_ledger_goes_on_as_if_never_stopped(spark):
+    schema = "portfolio long, d date, sec long, price double, target double, split double, dividend double"
+    for lot in (100, 0):
+        rows = spark.createDataFrame(ledger_rows().astype(object).where(lambda x: x.notna(), None).values.tolist(), schema)
+        whole = sorted(map(tuple, ledger.run_ledger(rows, 100_000.0, lot).where("d > '2020-01-03'").collect()))
+        start = ledger.snapshot(rows.where("d <= '2020-01-03'"), 100_000.0, lot)
+        again = sorted(map(tuple, ledger.run_ledger(rows.where("d > '2020-01-03'"), 100_000.0, lot, start).collect()))
+        assert again == whole and len(whole) == 6

@@ -1,7 +1,9 @@
 """Language ID by compression: the language whose dictionary makes the text smallest.
 
-A zstandard raw-content dictionary for each language holds text of labelled documents.  A text is compressed with
-each; the smallest result names the language.  A narrow margin to the second rejects the text, where asked.
+A zstandard raw-content dictionary for each language holds text of labelled documents.  A text is cut into pieces of
+some KB, all of which are compressed with each, every piece afresh; the smallest sum names the language.  So later
+parts count like the first, and the margin to the second doesn't shrink with length.  A narrow margin rejects the
+text, where asked.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from . import common as C
 SAMPLE_DOCS = 600  # learned from at most so many documents of each language, those of smallest hash
 DICTIONARY_BYTES = 1 << 17  # and at most so many bytes of each language, taken evenly from them
 LANGUAGES = 200  # the most languages to learn
+PIECE = 4096  # the most bytes of a text that are compressed at once: few beside a dictionary, so that the text isn't its own
 OUT = "lang_pred string, score double, margin double"
 NO_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -49,6 +52,13 @@ def dictionaries(labelled: DataFrame, sample: int = SAMPLE_DOCS, size: int = DIC
     return out
 
 
+def pieces(raw: bytes) -> list[bytes]:
+    """All of raw in nearly equal pieces of at most PIECE bytes."""
+    n = max(1, -(-len(raw) // PIECE))
+    cuts = [len(raw) * i // n for i in range(n + 1)]
+    return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def judge(texts, learned: dict[str, bytes], level: int = 3):
     """(language, score, margin) for each text: und, 0, 0 if it is null or has no letter or nothing is learned.
 
@@ -74,7 +84,8 @@ def judge(texts, learned: dict[str, bytes], level: int = 3):
             yield "und", 0.0, 0.0
             continue
         raw = f" {words} ".encode()
-        size = np.array([len(c.compress(raw)) for c in quick])
+        cuts = pieces(raw)
+        size = np.array([sum(len(c.compress(x)) for x in cuts) for c in quick])
         if len(langs) > 1 and len(raw) < 4096 and np.partition(size, 1)[1] - size.min() <= 4:
             # whole bytes are coarse for a short text: add up what its halves, its words and a closer search take
             fine = fine or compressors(19)

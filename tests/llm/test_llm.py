@@ -253,6 +253,22 @@ def test_language_held_out(spark):
     assert [x[0] for x in judged] == ["und", "und", "und", "en", "de"]
 
 
+def tongue(seed, n, shared=2000, own=1000):
+    """n words of the language made by seed; all such languages have `shared` words in common."""
+    spell = lambda r, k: ["".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), r.integers(3, 10))) for _ in range(k)]
+    words = spell(np.random.default_rng(0), shared) + spell(np.random.default_rng(seed), own)
+    return " ".join(np.random.default_rng((seed, n)).choice(words, n))
+
+
+def test_pipeline_keeps_long_texts_of_clear_language(spark):
+    import corpus_pipeline
+
+    rows = [(100 * s + i, tongue(s, 600 + i), f"lang{s}") for s in (1, 2) for i in range(30)]
+    rows += [(-1, tongue(1, 1_000_000), None), (-2, tongue(2, 500_000), None), (-3, tongue(2, 500), None)]
+    kept = corpus_pipeline.identify(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
+    assert {r.doc_id for r in kept.where("doc_id < 0").select("doc_id").collect()} == {-1, -2, -3}
+
+
 def test_page_text(spark):
     tree = html_text.train(spark)
     page = "<nav><a href=x>Menu</a></nav><script>var a='</p>'</script><article><h1>T &amp; U</h1><p>One  two\nthree.<p>Four <a href=y>five</a> six seven eight.</article><div class='comments'>I like it very much indeed.</div><footer>&copy; us</footer>"

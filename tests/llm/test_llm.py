@@ -253,6 +253,18 @@ def test_language_held_out(spark):
     assert [x[0] for x in judged] == ["und", "und", "und", "en", "de"]
 
 
+def test_language_of_long_texts(spark):
+    learned = language_id.learn(common.documents(spark, "/root/testdata/sf0.01"))
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang is not null and text is not null").orderBy("doc_id").collect()
+    long = {k: "\n".join(r.text for r in rows if r.lang == k)[:3_000_000] for k in ("en", "es", "fr", "de")}
+    assert min(map(len, long.values())) > 2_000_000
+    assert [x[0] for x in language_id.judge(long.values(), learned)] == list(long)
+    # most of the text counts, wherever it stands
+    changed = [long["en"][:400_000] + long["de"][:2_000_000], long["fr"][:2_000_000] + long["en"][:400_000]]
+    assert [x[0] for x in language_id.judge(changed, learned)] == ["de", "fr"]
+    assert b"".join(language_id.pieces(b"abc" * 5000)) == b"abc" * 5000
+
+
 def tongue(seed, n, shared=2000, own=1000):
     """n words of the language made by seed; all such languages have `shared` words in common."""
     spell = lambda r, k: ["".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), r.integers(3, 10))) for _ in range(k)]

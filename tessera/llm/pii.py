@@ -25,19 +25,24 @@ KINDS = ("email", "secret", "iban", "card", "ssn", "phone", "ip", "date")
 
 DIGITS, UPPER, LOWER, HEX = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef"
 
-FIND = re.compile(
-    r"""(?P<email>(?<![\w.+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)
-    |(?P<secret>\bAKIA[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9_-]{20,}\b|(?<=["'\s=:])[0-9a-f]{32,64}(?=["'\s,;]|$))
-    |(?P<iban>\b[A-Z]{2}[0-9]{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?\b)
-    |(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9]))
-    |(?P<date>(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{4})(?![\w/-]|\.[0-9]))
-    |(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
-    |(?P<card>(?<![\w.+-])[0-9](?:[\ -]?[0-9]){12,18}(?![\w-]|\.[0-9]))
-    |(?P<phone>(?<![\w.-])(?:\+[0-9]{1,3}[\ .-]?)?(?:\([0-9]{2,4}\)[\ .-]?[0-9]{3,4}[\ .-]?[0-9]{3,4}|[0-9]{3}[\ .-][0-9]{3}[\ .-][0-9]{4}|(?<=[0-9][\ .-])[0-9]{2,4}(?:[\ .-]?[0-9]{2,4}){2,4})(?![\w-]|\.[0-9]))
-    |(?P<intl>(?<![\w.])\+[0-9]{1,3}(?:[\ .-]?[0-9]{2,4}){2,5}(?![\w-]|\.[0-9]))""",
-    re.X,
-)
-ANY = re.compile(r"[0-9@]|\bsk-")
+PATTERNS = {
+    "email": r"""(?<![\w.+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+""",
+    "secret": r"""\bAKIA[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9_-]{20,}\b|(?<=["'\s=:])[0-9a-f]{32,64}(?=["'\s,;]|$)""",
+    "iban": r"""\b[A-Z]{2}[0-9]{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?\b""",
+    "ip": r"""(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])""",
+    "date": r"""(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{4})(?![\w/-]|\.[0-9])""",
+    "ssn": r"""(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])""",
+    "card": r"""(?<![\w.+-])[0-9](?:[\ -]?[0-9]){12,18}(?!\w|-(?![0-9])|\.[0-9])""",
+    "phone": r"""(?<![\w.-])(?:\+[0-9]{1,3}[\ .-]?)?(?:\([0-9]{2,4}\)[\ .-]?[0-9]{3,4}[\ .-]?[0-9]{3,4}|[0-9]{3}[\ .-][0-9]{3}[\ .-][0-9]{4}|(?<=[0-9][\ .-])[0-9]{2,4}(?:[\ .-]?[0-9]{2,4}){2,4})(?![\w-]|\.[0-9])""",
+    "intl": r"""(?<![\w.])\+[0-9]{1,3}(?:[\ .-]?[0-9]{2,4}){2,5}(?![\w-]|\.[0-9])""",
+}
+FIND = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PATTERNS.items()), re.X)
+ALONE = {k: re.compile(v, re.X) for k, v in PATTERNS.items()}
+ANY = re.compile(r"[0-9@]|\bsk-|\bAKIA|\bgh[pousr]_")
+CLEAR_PHONE = re.compile(r"[+(]|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}")
+GROUP_END = re.compile(r"(?<=[A-Z0-9])(?=[ .-])")
+#: Characters of an IBAN by country.
+IBAN_LENGTH = {k: n for n, v in {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for k in v.split()}
 
 
 def permute(x: int, size: int, key: bytes, rounds: int = 10) -> int:
@@ -179,28 +184,63 @@ def date(s: str, key: bytes) -> str | None:
 CHANGE = {"email": email, "secret": secret, "iban": iban, "card": card, "ssn": ssn, "phone": phone, "ip": ip, "date": date, "intl": phone}
 
 
+def ends(kind: str, text: str, start: int, end: int) -> list[int]:
+    """Where a candidate of kind at start may end: an IBAN by its country's length, then at end, then before each group."""
+    if kind not in ("iban", "card", "phone", "intl"):
+        return [end]
+    out = [end, *sorted((start + m.start() for m in GROUP_END.finditer(text[start:end])), reverse=True)]
+    if kind == "iban" and (n := IBAN_LENGTH.get(text[start : start + 2])):
+        places = [i for i in range(start, end) if text[i] != " "]
+        out = [places[n - 1] + 1, *out] if len(places) >= n else out
+    return out
+
+
+def changed(kind: str, old: str, key: bytes) -> str | None:
+    own = key + kind.replace("intl", "phone").encode()
+    new = CHANGE[kind](old, own)
+    if new == old:  # a fixed point of the permutation would stay readable
+        again = CHANGE[kind](old, own + b"+")
+        new = again if again is not None else new
+    return new
+
+
+def decided(m: re.Match, key: bytes, within: bool) -> tuple[str, int, str] | None:
+    """Kind, end and pseudonym of what stands where m begins: the first kind, and its longest part, that passes its check.
+
+    Mere groups of digits are no telephone number within another candidate, nor is a part of them.
+    """
+    text, start, first = m.string, m.start(), list(PATTERNS).index(m.lastgroup)
+    for kind in list(PATTERNS)[first:]:
+        found = m if kind == m.lastgroup else ALONE[kind].match(text, start)
+        bare = kind == "phone" and not CLEAR_PHONE.match(text, start)
+        if not found or (bare and (within or kind != m.lastgroup)):
+            continue
+        for end in [found.end()] if bare else ends(kind, text, start, found.end()):
+            if end == found.end() or ALONE[kind].fullmatch(text, start, end):
+                new = changed(kind, text[start:end], key)
+                if new is not None:
+                    return kind, end, new
+    return None
+
+
 def pseudonymise(text: str, key: bytes) -> tuple[str, dict[str, int]]:
     """text with pseudonyms, and how many of each kind."""
     found: dict[str, int] = {}
     if not ANY.search(text):
         return text, found
-
-    def change(m: re.Match) -> str:
-        kind, old = m.lastgroup, m[0]
-        own = key + kind.replace("intl", "phone").encode()
-        new = CHANGE[kind](old, own)
-        if new is None and kind == "card":  # not a card: perhaps a long telephone number
-            new, kind = None, "phone"
-        if new is None:
-            return old
-        if new == old:  # a fixed point of the permutation would stay readable
-            again = CHANGE[m.lastgroup](old, own + b"+")
-            new = again if again is not None else new
+    out, done, at, reach = [], 0, 0, 0
+    while m := FIND.search(text, at):
+        got = decided(m, key, m.start() < reach)
+        reach = max(reach, m.end())
+        if got is None:  # something may begin within
+            at = m.start() + 1
+            continue
+        kind, at, new = got
         kind = "phone" if kind == "intl" else kind
         found[kind] = found.get(kind, 0) + 1
-        return new
-
-    return FIND.sub(change, text), found
+        out += [text[done : m.start()], new]
+        done = at
+    return "".join([*out, text[done:]]), found
 
 
 def pseudonyms(docs: DataFrame, key: bytes = KEY, counts: bool = True) -> DataFrame:

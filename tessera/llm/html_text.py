@@ -19,14 +19,20 @@ from pyspark.sql import functions as F
 
 #: Elements that begin or end a block of text, those whose content is no text, and void elements.
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
-NO_TEXT = "script|style|noscript|template|iframe|object|svg|math|head|button|select|textarea|canvas|audio|video"
+NO_TEXT = set("noscript template iframe object svg math button select canvas audio video".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: What furniture calls itself, as elements and as words of class, id or role.
 FURNITURE = set("nav aside footer form dialog menu".split())
 FURNITURE_WORDS = re.compile(r"^(?:ads?|adverts?|advertisements?|advertising|banner|sponsor(?:ed)?|promo(?:tion)?|nav(?:bar|igation)?|menu|breadcrumbs?|sidebar|side|aside|header|masthead|footer|comments?|commentlist|replies|reply|respond|disqus|cookies?|consent|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|recommendations|widget|toolbar|pagination|pager|tags|copyright|legal|disclaimer|search|contentinfo|complementary)$")
 ARTICLE_WORDS = re.compile(r"^(?:article|main|content|post|entry|story|body|text|articlebody)$")
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(?P<gone>""" + NO_TEXT + r""")(?=[\s/>])(?:"[^"]*"|'[^']*'|[^>"'])*>.*?(?:</(?P=gone)\s*>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:"[^"]*"|'[^']*'|[^>"'])*)>""", re.S | re.I)
+REST = r"""(?:"[^"]*"|'[^']*'|[^>"'])*"""
+MARKUP = r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
+#: Those of NO_TEXT that run to the end of the page if nothing closes them are a branch of their own.
+TAG = re.compile(MARKUP + r"|<(?P<gone>script|style|textarea)(?=[\s/>])" + REST + r">.*?(?:</(?P=gone)\s*>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>" + REST + r")>", re.S | re.I)
+#: What may stand in a head.
+IN_HEAD = re.compile(r"\s+|" + MARKUP + r"|<(?P<raw>script|style)(?=[\s/>])" + REST + r">.*?(?:</(?P=raw)\s*>|\Z)|<(?P<with_end>title|noscript|template|noframes)(?=[\s/>])" + REST + r">.*?</(?P=with_end)\s*>|</?(?:meta|link|base|basefont|bgsound|title|noscript|template|noframes|script|style)(?=[\s/>])" + REST + ">", re.S | re.I)
+HEAD_END = re.compile(r"</head\s*>", re.I)
 ATTRIBUTE = re.compile(r"""(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 SPACE = re.compile(r"\s+")
 
@@ -52,6 +58,30 @@ LABELLED = [
 ]
 
 
+def head_end(page: str, at: int) -> int:
+    """Where a head whose content begins at `at` ends: behind its closing tag, or before what can't stand in a head."""
+    while m := IN_HEAD.match(page, at):
+        at = m.end()
+    m = HEAD_END.match(page, at)
+    return m.end() if m else at
+
+
+def element_ends(page: str, name: str) -> dict[int, int]:
+    """Start and end of each element of that name that is closed."""
+    out, left_open = {}, []
+    for m in re.finditer(rf"<(/?){name}(?=[\s/>])({REST})>", page, re.S | re.I):
+        if m[1]:
+            if left_open:
+                out[left_open.pop()] = m.end()
+        elif not empty(name, m[2]):
+            left_open.append(m.start())
+    return out
+
+
+def empty(name: str, rest: str) -> bool:
+    return name in ("svg", "math") and rest.endswith("/")
+
+
 class Blocks:
     """The flat blocks of a page: text, words, linked words, marks of place, label."""
 
@@ -63,7 +93,8 @@ class Blocks:
         self.place = (False, False, False)
         links = 0
         at = 0
-        for m in TAG.finditer(page):
+        ends: dict[str, dict[int, int]] = {}
+        while m := TAG.search(page, at):
             if m.start() > at:
                 self.add(page[at : m.start()], links)
             at = m.end()
@@ -73,6 +104,18 @@ class Blocks:
                 continue
             if not name:
                 continue
+            if name in NO_TEXT and not m["close"]:
+                # left open, its tag alone is passed over
+                self.end_block()
+                if not empty(name, m["rest"]):
+                    if name not in ends:
+                        ends[name] = element_ends(page, name)
+                    at = ends[name].get(m.start(), at)
+                continue
+            if name == "head" and not m["close"]:
+                self.end_block()
+                at = head_end(page, at)
+                continue
             if name == "br":
                 self.add(" ", 0)
             if name in BLOCK:

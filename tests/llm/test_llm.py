@@ -314,6 +314,23 @@ def test_page_text(spark):
     assert [got[i].text for i in (2, 3, 5)] == ["", "", ""] and got[4].n_chars == len(got[4].text) > 0
 
 
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<html><head><title>T</title><body><p>Text</p></body></html>", ["Text"]),
+        ("<head><meta charset=x><script>a='<p>'</script><!-- c --><title>T</title>\n<h1>One</h1><p>Two", ["One", "Two"]),
+        ("<head><title>T</title><style>p{}</style></head><p>Text", ["Text"]),
+        ("<head><title>T</title>Bare text", ["Bare text"]),
+        ("<p>a</p><svg/><p>b</p><math class='x' /><p>c</p><svg><text>no</text></svg><p>d", ["a", "b", "c", "d"]),
+        ("<p>a</p><button><p>b</p><select><option>o<p>c</p><object data=x><p>d</p>", ["a", "b", "o", "c", "d"]),
+        ("<button><p>a</p><button>no</button><p>b</p>", ["a", "b"]),
+        ("<p>a</p><object>no<object>no</object>no</object><p>b</p><script>no <p>no", ["a", "b"]),
+    ],
+)
+def test_page_text_with_elements_left_open(page, texts):
+    assert [b[0] for b in html_text.Blocks(page).out] == texts
+
+
 def test_mixing_equals_sql(spark):
     c = duckdb.connect()
     c.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")

@@ -20,7 +20,7 @@ from . import common as C
 
 SAMPLE_DOCS = 600  # learned from at most so many documents of each language, those of smallest hash
 DICTIONARY_BYTES = 1 << 17  # and at most so many bytes of each language, taken evenly from them
-LANGUAGES = 200  # the most languages to learn
+ALL_BYTES = 200 * DICTIONARY_BYTES  # and of all languages together: where there are many, each has fewer
 PIECE = 4096  # the most bytes of a text that are compressed at once: few beside a dictionary, so that the text isn't its own
 OUT = "lang_pred string, score double, margin double"
 NO_LETTERS = re.compile(r"[\W\d_]+")
@@ -33,6 +33,8 @@ def plain(text: str) -> str:
 
 def dictionaries(labelled: DataFrame, sample: int = SAMPLE_DOCS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """A dictionary for each lang from rows doc_id, text, lang; the sample is bounded, its choice is the same on every run."""
+    languages = labelled.where("lang is not null").select("lang").distinct().count()
+    size = min(size, max(1024, ALL_BYTES // max(1, languages)))
     ids = labelled.where("lang is not null and text is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
     # smallest hashes of each language, first within parts, so that no language meets in one task
     near = ids.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(64)))
@@ -41,7 +43,7 @@ def dictionaries(labelled: DataFrame, sample: int = SAMPLE_DOCS, size: int = DIC
     chosen = F.broadcast(near.select("doc_id", "lang").distinct())  # at most `sample` rows a language
     part = F.substring("text", 1, max(1, size // 8))
     texts = labelled.where("text is not null").join(chosen, ["doc_id", "lang"]).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("doc_id").alias("h"), part.alias("t")))).alias("t"))
-    lines = {r["lang"]: [list(dict.fromkeys(plain(x) for x in t["t"].split("\n"))) for t in r["t"][:sample]] for r in texts.orderBy("lang").limit(LANGUAGES).collect()}
+    lines = {r["lang"]: [list(dict.fromkeys(plain(x) for x in t["t"].split("\n"))) for t in r["t"][:sample]] for r in texts.orderBy("lang").collect()}
     # what stands in several languages, such as licences, tells nothing
     seen = Counter(x for docs in lines.values() for x in {x for d in docs for x in d})
     out = {}
@@ -89,7 +91,7 @@ def judge(texts, learned: dict[str, bytes], level: int = 3):
         if len(langs) > 1 and len(raw) < 4096 and np.partition(size, 1)[1] - size.min() <= 4:
             # whole bytes are coarse for a short text: add up what its halves, its words and a closer search take
             fine = fine or compressors(19)
-            cuts = [raw, raw[: len(raw) // 2], raw[len(raw) // 2 :], *(b" " + w + b" " for w in raw.split()[:64])]
+            cuts = [raw, raw[: len(raw) // 2], raw[len(raw) // 2 :], *(b" " + w + b" " for w in raw.split())]
             size = size + np.array([sum(len(c.compress(x)) for x in cuts) for c in fine])
         best = int(size.argmin())
         second = float(np.partition(size, 1)[1]) if len(langs) > 1 else float(2 * size[best])

@@ -289,6 +289,15 @@ def test_language_of_long_texts(spark):
     assert b"".join(language_id.pieces(b"abc" * 5000)) == b"abc" * 5000
 
 
+def test_all_languages_are_learned(spark):
+    word = lambda k, i: hashlib.md5(b"%d %d" % (k, i)).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop"))
+    rows = [(2 * k + j, " ".join(word(k, i) for i in range(j, 12)), f"l{k:03d}") for k in range(230) for j in (0, 1)]
+    learned = language_id.dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(learned) == 230
+    told = [x[0] for x in language_id.judge([" ".join(word(k, i) for i in range(4, 9)) for k in (0, 199, 200, 229)], learned)]
+    assert told == ["l000", "l199", "l200", "l229"]
+
+
 def tongue(seed, n, shared=2000, own=1000):
     """n words of the language made by seed; all such languages have `shared` words in common."""
     spell = lambda r, k: ["".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), r.integers(3, 10))) for _ in range(k)]

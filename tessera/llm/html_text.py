@@ -1,15 +1,16 @@
 """Main text of web pages: flat text blocks, classified by a decision tree on words and link density of neighbours.
 
 A page is cut at block-level tags into a flat list of text blocks.  Features of a block are its number of words and
-its share of linked words, the same of the blocks before and after, and two marks of where it stands: within an
-element that names itself as furniture (nav, aside, a class such as "sidebar"), and within one that names itself as
-the article.  The tree is trained by Spark ML on the small labelled pages below and then applied block by block.
+its share of linked words, the same of the blocks before and after, whether an element such as nav or footer holds
+it, and how far the class words of its own container speak of furniture ("sidebar") or of text ("content").  The
+tree is trained by Spark ML on a small labelled table, pages of many layouts below, and applied block by block.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -20,115 +21,147 @@ from pyspark.sql import functions as F
 #: Elements that begin or end a block of text, those whose content is no text, and void elements.
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
 NO_TEXT = set("noscript template iframe object svg math button select canvas audio video".split())
+RAW = set("script style textarea title".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-#: What furniture calls itself, as elements and as words of class, id or role.
+#: Elements that may stand in a head, and block elements that hold text rather than other blocks.
+IN_HEAD = set("meta link base basefont bgsound title noscript template noframes script style".split())
+OF_TEXT = set("p h1 h2 h3 h4 h5 h6 pre li dt dd figcaption caption legend summary option".split())
+#: Elements of furniture; words of class, id or role for furniture, for text, and that deny the next.
 FURNITURE = set("nav aside footer form dialog menu".split())
-FURNITURE_WORDS = re.compile(r"^(?:ads?|adverts?|advertisements?|advertising|banner|sponsor(?:ed)?|promo(?:tion)?|nav(?:bar|igation)?|menu|breadcrumbs?|sidebar|side|aside|header|masthead|footer|comments?|commentlist|replies|reply|respond|disqus|cookies?|consent|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|recommendations|widget|toolbar|pagination|pager|tags|copyright|legal|disclaimer|search|contentinfo|complementary)$")
-ARTICLE_WORDS = re.compile(r"^(?:article|main|content|post|entry|story|body|text|articlebody)$")
-
-REST = r"""(?:"[^"]*"|'[^']*'|[^>"'])*"""
-MARKUP = r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
-#: Those of NO_TEXT that run to the end of the page if nothing closes them are a branch of their own.
-TAG = re.compile(MARKUP + r"|<(?P<gone>script|style|textarea)(?=[\s/>])" + REST + r">.*?(?:</(?P=gone)\s*>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>" + REST + r")>", re.S | re.I)
-#: What may stand in a head.
-IN_HEAD = re.compile(r"\s+|" + MARKUP + r"|<(?P<raw>script|style)(?=[\s/>])" + REST + r">.*?(?:</(?P=raw)\s*>|\Z)|<(?P<with_end>title|noscript|template|noframes)(?=[\s/>])" + REST + r">.*?</(?P=with_end)\s*>|</?(?:meta|link|base|basefont|bgsound|title|noscript|template|noframes|script|style)(?=[\s/>])" + REST + ">", re.S | re.I)
-HEAD_END = re.compile(r"</head\s*>", re.I)
-ATTRIBUTE = re.compile(r"""(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+FURNITURE_WORDS = set("ad ads advert adverts advertisement advertisements advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside header masthead footer comment comments commentlist reply replies respond disqus cookie cookies consent notice alert popup modal overlay newsletter subscribe signup login share sharing social related recommended recommendations widget toolbar pagination pager tags copyright legal disclaimer search contentinfo complementary".split())
+TEXT_WORDS = set("article main content post entry story body text articlebody news".split())
+DENY = set("has with no without".split())
+
+NAMES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "class_words")
+TAG_NAME = re.compile(r"[A-Za-z][^\s/>]*+")
+ATTRIBUTE = re.compile(r"""[\s/]*+(?:([^\s/>=]++)|=)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?""")
+TAG_END = re.compile(r"[\s/]*+>")
 SPACE = re.compile(r"\s+")
-
-#: The labelled table, as pages: blocks of elements with data-main="1" are main text, all others aren't.
-LABELLED = [
-    """<html><body><header><a href="/">Home</a><a href="/b">Blog</a></header><nav><ul><li><a href="/1">One</a></li><li><a href="/2">Two</a></li></ul></nav>
-    <div class="ad">Buy the best shoes of the year now.</div><article><h1 data-main="1">A walk by the river</h1><p data-main="1">We left early, when the fog still lay over the water, and followed the path north until the mill came into view.</p>
-    <p data-main="1">Nobody spoke.</p><p data-main="1">At the bend there is an old <a href="/mill">mill</a> that the town wants to restore before the winter of next year.</p><p data-main="1"><b>It is late.</b></p></article>
-    <footer>Copyright by the authors. All rights reserved, in all lands and for all time.</footer></body></html>""",
-    """<html><body><div id="header">The Daily Paper of our town</div><div class="sidebar"><h3>Popular</h3><p>Ten ways to cook rice that everybody should know by now.</p></div>
-    <div id="content"><h2 data-main="1">Council votes</h2><p data-main="1">The council voted on Monday to keep the library open on Sundays, after a long debate in which many took part.</p><ul><li data-main="1">Open from ten.</li><li data-main="1">Closed at six.</li></ul>
-    <p data-main="1">The mayor was absent.</p><div class="share"><a href="/f">Share</a> <a href="/t">Send</a></div></div><div class="comments"><p>I think this is a very good idea and I will be there every Sunday with my children.</p><p>Agreed!</p></div></body></html>""",
-    """<html><body><ul><li><a href="/a">News</a></li><li><a href="/b">Sports</a></li><li><a href="/c">Weather and more</a></li></ul><h1 data-main="1">Storm ahead</h1>
-    <p data-main="1">A storm is expected to reach the coast by tonight, and ships have been asked to stay in harbour until further word is given.</p><p data-main="1">Trains may be late as well, the company said, because branches could fall on the lines between the two towns.</p>
-    <p><a href="/x">Read the next story about the harbour</a></p><p><a href="/y">More from this desk</a> | <a href="/z">Archive</a></p></body></html>""",
-    """<html><body><div class="cookie-notice"><p>We use cookies to make this site better for you and for everybody who comes here to read.</p></div><main><p data-main="1">Bread needs flour, water, salt and time.</p>
-    <blockquote data-main="1">Time is what most of us lack, my teacher used to say.</blockquote><pre data-main="1">mix 500 g flour</pre><aside>Did you know that bread is older than writing itself by thousands of years?</aside><p data-main="1">Let it rest over night.</p></main>
-    <form><p>Leave your name and address here to hear from us once a month.</p><label>Name</label></form></body></html>""",
-    """<html><body><div><a href="/home">Home</a> <a href="/about">About us</a></div><div data-main="1">Long before the bridge was built, people crossed the river in small boats, and the price of a crossing was a loaf of bread or a good story.</div>
-    <div data-main="1">The last boatman died in the year of the flood, and his boat is kept in the museum beside the church, where visitors may see it.</div><div>Terms <a href="/t">here</a></div></body></html>""",
-    """<html><body><nav>Menu of the day and of all the days to come in this long list of things</nav><article><h1 data-main="1">Of cats</h1><p data-main="1">Cats sleep.</p><p data-main="1">Cats hunt at night, when mice believe themselves safe and leave their holes.</p>
-    <section class="related"><h4>See also</h4><a href="/dogs">Of dogs</a></section></article><div class="newsletter">Get our letter every week, free of charge.</div><footer><a href="/i">Imprint</a></footer></body></html>""",
-]
-
-
-def head_end(page: str, at: int) -> int:
-    """Where a head whose content begins at `at` ends: behind its closing tag, or before what can't stand in a head."""
-    while m := IN_HEAD.match(page, at):
-        at = m.end()
-    m = HEAD_END.match(page, at)
-    return m.end() if m else at
-
-
-def element_ends(page: str, name: str) -> dict[int, int]:
-    """Start and end of each element of that name that is closed."""
-    out, left_open = {}, []
-    for m in re.finditer(rf"<(/?){name}(?=[\s/>])({REST})>", page, re.S | re.I):
-        if m[1]:
-            if left_open:
-                out[left_open.pop()] = m.end()
-        elif not empty(name, m[2]):
-            left_open.append(m.start())
+MARKS = ("class", "id", "role", "data-main")
+
+
+def tokens(page: str):
+    """Texts ("", text, None, False) and tags (name, attributes, closing?, self-closed?) of a page, in one pass.
+
+    Comments, declarations and the content of script, style, textarea and title are left out; a tag that never ends
+    makes every later tag end at its first ">".
+    """
+    at, size, last = 0, len(page), page.rfind(">")
+    plain, unclosed = False, set()
+    while at < size:
+        start = page.find("<", at)
+        if start < 0 or start >= last:
+            if start >= 0 and page.startswith("<!--", start):
+                yield "", page[at:start], None, False
+            else:
+                yield "", page[at:], None, False
+            return
+        closing = page.startswith("/", start + 1)
+        m = TAG_NAME.match(page, start + 1 + closing)
+        if not m and not closing and page[start + 1 : start + 2] not in ("!", "?"):
+            yield "", page[at : start + 1], None, False  # a mere sign
+            at = start + 1
+            continue
+        if start > at:
+            yield "", page[at:start], None, False
+        if not m:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 2)
+                at = size if end < 0 else end + 3
+            else:
+                at = page.find(">", start) + 1
+            continue
+        name, found, at = m[0].lower(), {}, m.end()
+        self_closed = False
+        if not plain:
+            while not (end := TAG_END.match(page, at)):
+                a = ATTRIBUTE.match(page, at)
+                if not a or a.end() >= size:
+                    plain, at = True, m.end()
+                    break
+                if a[1] and (k := a[1].lower()) in MARKS:
+                    found.setdefault(k, a[2] or a[3] or a[4] or "")
+                at = a.end()
+            else:
+                at = end.end()
+                self_closed = page[at - 2] == "/"
+        if plain:
+            at = page.find(">", at) + 1 or size
+        if name in RAW and not closing and name not in unclosed:
+            close = re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I).search(page, at)
+            if close:
+                at = close.end()
+            elif name == "title":
+                unclosed.add(name)  # the tag alone is passed over
+            else:
+                at = size
+        yield name, found, closing, self_closed
+
+
+def skipped(toks: list) -> dict[int, int]:
+    """For the elements without text that are closed: the token of their opening tag to the one behind their end."""
+    out: dict[int, int] = {}
+    left_open: dict[str, list[int]] = {}
+    for i, (name, _, closing, self_closed) in enumerate(toks):
+        if name in NO_TEXT:
+            if not closing:
+                if not (name in ("svg", "math") and self_closed):
+                    left_open.setdefault(name, []).append(i)
+            elif left_open.get(name):
+                out[left_open[name].pop()] = i + 1
     return out
 
 
-def empty(name: str, rest: str) -> bool:
-    return name in ("svg", "math") and rest.endswith("/")
+def class_words(found: dict[str, str]) -> float:
+    """From -1, all words of class, id and role are those of text, to 1, all are those of furniture."""
+    words = [w for k in ("class", "id", "role") for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", found.get(k, "")).lower()) if w]
+    furniture = sum(w in FURNITURE_WORDS and not (i and words[i - 1] in DENY) for i, w in enumerate(words))
+    text = sum(w in TEXT_WORDS for w in words)
+    return furniture / len(words) if furniture else -text / len(words) if text else 0.0
 
 
 class Blocks:
-    """The flat blocks of a page: text, words, linked words, marks of place, label."""
+    """The flat blocks of a page: text, words, linked words, in a furniture element?, class words, label."""
 
     def __init__(self, page: str) -> None:
-        self.out: list[tuple[str, int, int, bool, bool, bool]] = []
+        self.out: list[tuple[str, int, int, bool, float, bool]] = []
         self.parts: list[str] = []
         self.linked: list[str] = []
-        self.stack: list[tuple[str, bool, bool, bool]] = []
-        self.place = (False, False, False)
-        links = 0
-        at = 0
-        ends: dict[str, dict[int, int]] = {}
-        while m := TAG.search(page, at):
-            if m.start() > at:
-                self.add(page[at : m.start()], links)
-            at = m.end()
-            name = (m["name"] or "").lower()
-            if m["gone"]:
-                self.end_block()
-                continue
+        self.stack: list[tuple] = []
+        self.open: Counter = Counter()
+        # furniture element?, article or main?, class words of the container, of the text element, label
+        self.place = (False, False, 0.0, 0.0, False)
+        toks = list(tokens(page))
+        ends = skipped(toks)
+        i, links, in_head = 0, 0, False
+        while i < len(toks):
+            name, found, closing, self_closed = toks[i]
+            i += 1
+            if in_head:
+                if (not name and not found.strip()) or name in IN_HEAD:
+                    i = ends.get(i - 1, i)
+                    continue
+                in_head = False
+                if name == "head":
+                    continue
             if not name:
+                self.add(found, links)
                 continue
-            if name in NO_TEXT and not m["close"]:
-                # left open, its tag alone is passed over
+            if name in BLOCK or name in NO_TEXT or name in RAW:
                 self.end_block()
-                if not empty(name, m["rest"]):
-                    if name not in ends:
-                        ends[name] = element_ends(page, name)
-                    at = ends[name].get(m.start(), at)
-                continue
-            if name == "head" and not m["close"]:
-                self.end_block()
-                at = head_end(page, at)
-                continue
-            if name == "br":
+            if name == "head":
+                in_head = not closing
+            elif name in NO_TEXT or name in RAW:
+                i = ends.get(i - 1, i)  # left open, its tag alone is passed over
+            elif name == "br":
                 self.add(" ", 0)
-            if name in BLOCK:
-                self.end_block()
-            if m["close"]:
-                if name == "a":
-                    links = 0
-                self.leave(name)
             elif name == "a":
-                links = 1
-            elif name not in VOID and (name in BLOCK or "=" in m["rest"]) and not m["rest"].endswith("/"):
-                self.enter(name, m["rest"])
-        self.add(page[at:], links)
+                links = 0 if closing else 1
+            elif name in BLOCK or name == "span":
+                if closing:
+                    self.leave(name)
+                elif name not in VOID and not (self_closed and name == "span"):
+                    self.enter(name, found)
         self.end_block()
 
     def add(self, raw: str, links: int) -> None:
@@ -136,63 +169,140 @@ class Blocks:
         if links:
             self.linked.append(raw)
 
-    def enter(self, name: str, rest: str) -> None:
-        furniture, article, main = self.place
-        words, marked = set(), False
-        for k, *v in ATTRIBUTE.findall(rest):
-            value = next((x for x in v if x), "").lower()
-            marked |= k == "data-main"
-            words.update(re.split(r"[^a-z]+", value))
-        # an article's own header is part of it; what stands in furniture stays furniture
-        furniture = furniture or name in FURNITURE or (name == "header" and not article) or any(FURNITURE_WORDS.match(w) for w in words)
-        article = article or name in ("article", "main") or any(ARTICLE_WORDS.match(w) for w in words)
+    def enter(self, name: str, found: dict[str, str]) -> None:
+        furniture, article, container, own, main = self.place
+        # an article's own header is part of it
+        inner = furniture or name in FURNITURE or (name == "header" and not article)
+        if name in OF_TEXT or name == "span":
+            own = max(own, class_words(found)) if name != "span" else own
+        elif name in ("html", "body", "main", "article"):
+            container, own = min(0.0, class_words(found)), 0.0  # they speak of the page
+        else:
+            container, own = class_words(found) if found else container * (name in ("tr", "tbody", "thead")), 0.0
         self.stack.append((name, *self.place))
-        self.place = (furniture, article, main or marked)
+        self.open[name] += 1
+        self.place = (inner, article or name in ("article", "main"), container, own, main or "data-main" in found)
+
+    def pop(self) -> str:
+        name, *place = self.stack.pop()
+        self.open[name] -= 1
+        self.place = tuple(place)
+        return name
 
     def leave(self, name: str) -> None:
-        if name == "p" or all(x[0] != name for x in self.stack):
-            # p may stay open when another begins: it closes only if it is innermost
-            if self.stack and self.stack[-1][0] == name:
-                self.place = self.stack.pop()[1:]
-            return
-        while self.stack:
-            top = self.stack.pop()
-            self.place = top[1:]
-            if top[0] == name:
-                break
+        if self.open[name] and (name not in ("p", "span") or self.stack[-1][0] == name):
+            while self.pop() != name:
+                pass
 
     def end_block(self) -> None:
         if self.parts:
             text = SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
             if text:
                 linked = SPACE.sub(" ", html.unescape(" ".join(self.linked))).split()
-                self.out.append((text, len(text.split()), len(linked), *self.place))
+                furniture, _, container, own, main = self.place
+                self.out.append((text, len(text.split()), len(linked), furniture, max(container, own) if own > 0 else container, main))
             self.parts, self.linked = [], []
-        while self.stack and self.stack[-1][0] == "p":
-            self.place = self.stack.pop()[1:]
+        while self.stack and self.stack[-1][0] in ("p", "span"):
+            self.pop()
 
 
 def features(blocks: list[tuple]) -> list[list[float]]:
-    """words, link density, both of the blocks before and after, furniture, article."""
-    own = [(float(min(n, 1000)), k / max(n, 1)) for _, n, k, *_ in blocks]
+    """NAMES for each block."""
+    own = [(float(min(n, 1000)), min(1.0, k / max(n, 1))) for _, n, k, *_ in blocks]
     edge = (0.0, 0.0)
     return [[*own[i], *(own[i - 1] if i else edge), *(own[i + 1] if i + 1 < len(own) else edge), float(b[3]), float(b[4])] for i, b in enumerate(blocks)]
 
 
-def train(spark: SparkSession, pages: list[str] | None = None, depth: int = 6):
-    """The decision tree as nested tuples (feature, threshold, left, right), leaves being predictions."""
+# ---------------------------------------------------------------- the labelled table
+
+#: Layouts of pages.  A capital stands for blocks: H headline, M paragraphs, S a short and L a linked one, I items of
+#: the article; N links of a menu, Q a row of links, A a short notice, T a long one, C comments with links to reply.
+LAYOUTS = (
+    "<header><a>Home</a></header><nav><ul>N</ul></nav><div class='ad'>A</div><article>HMSML</article><footer>A</footer>",
+    "<div class='ad'>A</div><article>HSM</article><footer>T</footer>",
+    "<div class='ads'>A</div><article>HSS</article><footer>A</footer>",
+    "<nav><ul>N</ul></nav><div class='ad'>T</div><article>HS</article><footer>A</footer>",
+    "<div id='header'>A</div><div class='sidebar'><h3>A</h3><p>T</p></div><div id='content'>HMIMS<div class='share'>Q</div></div><div class='comments'>C</div>",
+    "<ul>N</ul>HMMSM<p>Q</p><p>Q</p>",
+    "<ul>N</ul>HMLMMLM<div>Q</div><div>A</div><div>Q</div>",
+    "<div>Q</div><div>M</div><div>M</div><div>Q</div>",
+    "<div>Q</div>HMSMMM<div>Q</div><div>C</div>",
+    "<div>Q</div><div>A</div><div>Q</div>HMMLM<div>C</div><div>Q</div>",
+    "<body class='page-with-sidebar'><nav>N</nav>HMMSM<aside>T</aside><footer>T</footer>",
+    "<body class='has-header single-post'><div class='menu'>Q</div>HMLM<div class='copyright'>A</div>",
+    "<div class='content has-sidebar'>HMSML</div><div class='sidebar'>T Q</div>",
+    "<div class='legal-news'>HMMSM</div><div class='legal'>T</div>",
+    "<div class='header-story'>HMM</div><div class='social-news'>HMLM</div>",
+    "<ul>N</ul><div class='search-page'>HMLSM</div><div class='footer'>A</div>",
+    "<div class='alert-level'>HSMLMM</div><div class='share-box'>A</div><p>Q</p>",
+    "<main class='search-results'>HMISM</main><form><p>T</p><label>A</label></form>",
+    "<div class='cookie-notice'><p>T</p></div><main>MSIM<aside>T</aside>M</main><form><p>T</p></form>",
+    "<div class='comment-list'>C</div><div class='post'>HMM</div><ol class='comment-list'><li>C</li></ol>",
+    "<div class='comment-content'>C</div><div class='entry'>HML</div><div class='comment-body'>C</div>",
+    "<div class='post'>HMMI<section class='related'><h4>A</h4>Q</section></div><div class='newsletter'>T</div><div class='newsletter-box'>A</div>",
+    "<div class='cookie-bar'>A</div><div class='top-banner'>A</div>HSMM<div class='site-footer'>T</div>",
+    "<table><tr><td>Q</td><td>HMSM</td></tr></table><div class='page-footer'>A Q</div>",
+    "HSMSSM", "HM", "M", "S", "HISI", "<div>HMM</div><div>MS</div>",
+)
+#: How many words the blocks of each kind have, in turn.
+WORDS = {"H": (3, 12, 7, 1, 9), "M": (24, 41, 15, 60, 30, 88, 19, 150, 33), "S": (2, 1, 5, 8, 3, 11), "A": (8, 4, 12, 6, 10, 3), "T": (18, 27, 14, 35, 21), "C": (9, 26, 3, 41, 15)}
+
+
+def labelled_pages(rounds: int = 24) -> list[str]:
+    """The labelled table as pages; blocks of elements with data-main are main text, all others aren't."""
+    turn: Counter = Counter()
+
+    def words(kind: str) -> str:
+        turn[kind] += 1
+        return " ".join(["word"] * WORDS[kind][turn[kind] % len(WORDS[kind])])
+
+    def blocks(m: re.Match) -> str:
+        k = m[0]
+        if k == "H":
+            return f"<h1 data-main=1>{words('H')}</h1>"
+        if k == "M":
+            turn["link"] += 1
+            link = " <a>in a link</a>" * (turn["link"] % 3 == 0)
+            return f"<p data-main=1>{words('M')}{link}</p>"
+        if k == "S":
+            return f"<p data-main=1>{words('S')}</p>"
+        if k == "L":
+            turn["link"] += 1
+            return f"<p data-main=1>See{' it' * (turn['link'] % 4)} <a>this</a>.</p>"
+        if k == "I":
+            return "<ul>" + "".join(f"<li data-main=1>{words('S')}</li>" for _ in range(3)) + "</ul>"
+        if k == "N":
+            return "".join(f"<li><a>{'word ' * n}</a></li>" for n in (1, 2, 1, 3))
+        if k == "Q":
+            turn["row"] += 1
+            return f"<p><a>{words('A')}</a>" + " | <a>more</a>" * (turn["row"] % 3) + "</p>"
+        if k == "C":
+            return "".join(f"<p>{words('C')}</p><p><a>Reply</a></p>" for _ in range(2))
+        return words(k)
+
+    return [re.sub(r"(?<![A-Za-z<])[A-Z](?![a-z])|(?<=[A-Z>])[A-Z](?![a-z])", blocks, x) for _ in range(rounds) for x in LAYOUTS]
+
+
+def table(pages: list[str]) -> list[tuple[bool, list[float]]]:
     rows = []
-    for page in pages or LABELLED:
+    for page in pages:
         blocks = Blocks(page).out
-        rows += [(float(b[5]), Vectors.dense(f)) for b, f in zip(blocks, features(blocks), strict=True)]
-    table = spark.createDataFrame(rows, ["label", "features"]).coalesce(1)
-    model = DecisionTreeClassifier(maxDepth=depth, seed=1, minInstancesPerNode=1).fit(table)
+        rows += [(b[5], f) for b, f in zip(blocks, features(blocks), strict=True)]
+    return rows
+
+
+def train(spark: SparkSession, pages: list[str] | None = None, depth: int = 8):
+    """The decision tree as nested tuples (feature, threshold, left, right), leaves being predictions."""
+    rows = [(float(label), Vectors.dense(f)) for label, f in table(pages or labelled_pages())]
+    data = spark.createDataFrame(rows, ["label", "features"]).coalesce(1)
+    model = DecisionTreeClassifier(maxDepth=depth, maxBins=128, seed=1, minInstancesPerNode=12).fit(data)
 
     def walk(node):
         if node.getClass().getSimpleName() == "LeafNode":
             return bool(node.prediction())
         split = node.split()
-        return split.featureIndex(), split.threshold(), walk(node.leftChild()), walk(node.rightChild())
+        low, high = walk(node.leftChild()), walk(node.rightChild())
+        return low if low == high and isinstance(low, bool) else (split.featureIndex(), split.threshold(), low, high)
 
     return walk(model._java_obj.rootNode())
 
@@ -210,11 +320,15 @@ def main_text(page: str | None, tree) -> str:
 
 
 def extract(pages: DataFrame, tree) -> DataFrame:
-    """page_id, url, text, n_chars for each row of pages; null or empty html, or none that is main text, gives ''."""
+    """page_id, url, text, n_chars for each row of pages (repeated rows each); other columns are ignored.
+
+    Null or empty html, or none that is main text, gives ''.  Time and memory grow in proportion to a page's length,
+    however broken it is.  An empty table gives none.
+    """
 
     def run(batches):
         for batch in batches:
-            texts = [main_text(x, tree) for x in batch.column("html").to_pylist()]
+            texts = [main_text(x.as_py(), tree) for x in batch.column("html")]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))

@@ -9,6 +9,8 @@ the square root of it, so that no task holds more than a bounded share.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import tempfile
 import uuid
@@ -19,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+LIBC = ctypes.CDLL(None)
 NO_ID = np.iinfo(np.int64).max  # a null doc_id counts as later than any other
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -29,9 +32,11 @@ _S32, _S29 = np.uint64(32), np.uint64(29)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that all executors see: spark.checkpoint.dir, or where that is unset, on one machine, one of our own."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file:" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -45,6 +50,14 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy() -> None:
+    """Give memory that a batch has freed back to the system: Python workers are reused, and some batches are large."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(LIBC, "malloc_trim"):
+        LIBC.malloc_trim(0)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -2,8 +2,8 @@
 
 How many pieces have each length is all that packing needs, and there are at most `capacity` lengths: that table,
 bounded whatever the input, is planned on the driver.  The plan looks up, for each length from the longest down, what
-fills its gap exactly: a single length, a pair or a triple, from indexes of sums, as often as counts allow.  What is
-left is packed best fit.  The plan's patterns, each with a number of times, are then dealt to the pieces by their rank
+fills its gap exactly: a single length, a pair from an index of pairs by their sum, or a triple (a length and a pair
+of that index), as often as counts allow.  What is left is packed best fit.  The plan's patterns, each with a number of times, are then dealt to the pieces by their rank
 among equal lengths, which is counted in parts so that a frequent length isn't ranked in one task.
 """
 
@@ -34,17 +34,20 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(odd)}
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str):
     """Ids of a text by the byte-level tokenizer file, as an array.
 
     The merges of such a file rank as its ids do, so a faster library gives the same ids; texts that hold a special
-    token's own string, and any that library refuses, go through `tokenizers`.
+    token's own string, and any that library refuses, go through `tokenizers`, which is loaded only for them.
     """
     import tiktoken
-    from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(path)
+    @functools.cache
+    def slow():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(path)
+
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     special = [t["content"] for t in spec["added_tokens"]]
@@ -58,7 +61,7 @@ def encoder(path: str):
                 return np.array(fast.encode_ordinary(text), np.uint32)
             except Exception:  # its pattern gives up on some texts; `tokenizers` reads any
                 pass
-        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(slow().encode(text, add_special_tokens=False).ids, np.uint32)
 
     return ids
 
@@ -91,13 +94,23 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
                 cols.append(pa.array(own, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names=names)
+            C.tidy()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(cut, PIECES + (", ids binary" if with_ids else ""))
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns of lengths that fit one sequence, and how many sequences follow each; uses up all counts."""
+    """Patterns of lengths that fit one sequence, and how many sequences follow each; uses up all counts.
+
+    Short pieces that fill gaps exactly may be missed later by the best fit, so the plan with the fewest sequences is
+    taken of those with singles, with pairs too, and with triples too.
+    """
+    return min((complements(counts, capacity, k) for k in (3, 2, 1)), key=lambda p: sum(n for _, n in p))
+
+
+def complements(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
+    """A plan whose gaps are filled exactly by up to `most` lengths where they can be, and best fit elsewhere."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -114,23 +127,33 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
                 left[x] -= n * k
             out.append((tuple(lengths), n))
 
-    def pairs(total: int) -> np.ndarray:
-        """The longer lengths a of pairs a + b = total that are there."""
+    # by sum, the longer lengths of all pairs that are there; what counts have used up is struck off when met
+    index: list[list[int]] = [[] for _ in range(capacity)]
+    for total in range(2, capacity):
         a = np.arange((total + 1) // 2, total)
-        return a[(left[a] > 0) & (left[total - a] > 0)][::-1]
+        index[total] = a[(left[a] > 0) & (left[total - a] > 0)].tolist()
+
+    def pairs(total: int):
+        entries = index[total]
+        for i in range(len(entries) - 1, -1, -1):
+            if left[entries[i]] and left[total - entries[i]]:
+                yield entries[i]
+            else:
+                del entries[i]
 
     take(capacity)
     for anchor in range(capacity - 1, 0, -1):
         gap = capacity - anchor
         if left[anchor]:
             take(anchor, gap)
-        for a in pairs(gap).tolist() if left[anchor] else ():
+        for a in pairs(gap) if left[anchor] and most > 1 else ():
             take(anchor, a, gap - a)
             if not left[anchor]:
                 break
-        for a in range(min(gap - 2, anchor), 0, -1) if left[anchor] else ():
+        # triples: a length and a pair from the index
+        for a in range(min(gap - 2, anchor), 0, -1) if left[anchor] and most > 2 else ():
             if left[a]:
-                for b in pairs(gap - a).tolist():
+                for b in pairs(gap - a):
                     take(anchor, a, b, gap - a - b)
             if not left[anchor]:
                 break

@@ -2,7 +2,8 @@
 
 Sizes are summed by source, targets follow by water filling over the sources (a table of one row each), and every
 document is emitted floor(rate) times plus once more with a probability equal to the fraction, drawn from a hash of
-its id, where rate is the target over the size of its source.
+its id, where rate is the target over the size of its source.  Each source draws with that seed of a fixed list whose
+draw comes nearest to its target; one aggregation tries them all.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 WEIGHTS = (5, 2, 1)
+SEEDS = 64  # draws that each source chooses from
 BROADCAST_ROWS = 10_000  # sources up to this number go to all executors, at some 100 bytes each
 
 
@@ -41,38 +43,59 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float
     return s.select("source", "source_size", "target")
 
 
-def draw(seed: int):
-    """A number from 0 to 1 that follows from doc_id and seed."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+def number():
+    """A whole number below 2^32 that follows from doc_id."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit("1:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 8), 16, 10).cast("long")
 
 
-def rates(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each row of docs: doc_id, size, source_size, target, copies, taken = size * copies, and columns kept.
+def drawn(number, seed, rate):
+    """Whether a document gets a copy beyond floor(rate): the number, scrambled by the seed, as a share of 2^32."""
+    return (number * (seed * 2 + 1) + seed * F.lit(0x9E3779B9)) % F.lit(1 << 32) < (rate - F.floor(rate)) * F.lit(2.0**32)
 
-    A null text has size 0; null is a source of its own; sources of size 0 have target 0 and their documents no
-    copies; documents of one doc_id are drawn alike; an empty table gives none.
-    """
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), words().alias("size"), *keep)
-    if not keep:
-        sized = C.save(sized, "sizes")
+
+def goals(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seeds: int = SEEDS) -> tuple[DataFrame, DataFrame]:
+    """The sizes of docs, and of_source, source_size, target, rate, seed for each source."""
+    sized = C.save(docs.select("doc_id", F.col("source").cast("string").alias("source"), words().alias("size")), "sizes")
     sources = C.save(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
-    goal = targets(sources, weights, share, most).withColumnRenamed("source", "of_source")
-    if sources.count() <= BROADCAST_ROWS:
-        goal = F.broadcast(goal)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    joined = sized.join(goal, sized["source"].eqNullSafe(F.col("of_source")), "left").withColumn("rate", rate)
-    copies = F.floor("rate").cast("long") + F.when(draw(seed) < F.col("rate") - F.floor("rate"), 1).otherwise(0)
-    return joined.withColumn("copies", copies.cast("long")).select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), *keep)
+    goal = C.save(targets(sources, weights, share, most).withColumn("rate", rate).withColumnRenamed("source", "of_source"), "targets")
+    tried = joined(sized.withColumn("number", number()), goal).groupBy("of_source").agg(
+        F.max("target").alias("target"),
+        F.sum(F.col("size") * F.floor("rate")).alias("sure"),
+        *(F.sum(F.when(drawn(F.col("number"), F.lit(s).cast("long"), F.col("rate")), F.col("size")).otherwise(0)).alias(f"by_{s}") for s in range(seeds)),
+    )
+    gaps = F.array(*(F.struct(F.abs(F.col("sure") + F.col(f"by_{s}") - F.col("target")).alias("gap"), F.lit(s).cast("long").alias("seed")) for s in range(seeds)))
+    chosen = C.save(tried.select(F.col("of_source").alias("s"), F.array_min(gaps)["seed"].alias("seed")), "seeds")
+    return sized, C.save(goal.join(chosen, F.col("of_source").eqNullSafe(F.col("s"))).drop("s"), "goals")
+
+
+def joined(rows: DataFrame, goal: DataFrame) -> DataFrame:
+    if goal.count() <= BROADCAST_ROWS:
+        goal = F.broadcast(goal)
+    return rows.join(goal, rows["source"].eqNullSafe(F.col("of_source")))
+
+
+def copies():
+    return F.floor("rate").cast("long") + F.when(drawn(number(), F.col("seed"), F.col("rate")), 1).otherwise(0).cast("long")
+
+
+def rates(docs: DataFrame, **how) -> DataFrame:
+    """One row for each row of docs: doc_id, size, source_size, target, copies, taken = size * copies.
+
+    A null text has size 0; null is a source of its own; sources of size 0 have target 0 and their documents no
+    copies; documents of one doc_id are drawn alike; other columns are ignored; an empty table gives none.  The
+    sources, a row each, are sorted in one task, which spills: some ten million are a GB.
+    """
+    sized, goal = goals(docs, **how)
+    out = joined(sized, goal).withColumn("copies", copies())
+    return out.select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The mixed corpus: the rows of docs with their columns, repeated as `rates` says."""
-    own = [c for c in docs.columns if c in ("doc_id", "source", "text")]
-    rest = [c for c in docs.columns if c not in own]
-    whole = docs.select(F.struct(*docs.columns).alias("whole"), *own)
-    out = rates(whole, keep=("whole",), **how).where("copies > 0")
-    out = out.select(F.explode(F.expr("sequence(1L, copies)")).alias("copy"), "whole").select("whole.*")
-    return out.select(*own, *rest).select(*docs.columns)
+    whole = docs.select(F.struct(*docs.columns).alias("whole"), "doc_id", F.col("source").cast("string").alias("source"))
+    out = joined(whole, goals(docs, **how)[1]).withColumn("copies", copies()).where("copies > 0")
+    return out.select(F.explode(F.expr("sequence(1L, copies)")).alias("copy"), "whole").select("whole.*")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,10 +115,17 @@ WITH d AS (
 ), t AS (
   SELECT source, source_size, least(cap, greatest(max(lev) OVER (), 0) * weight) AS target FROM l
 ), r AS (
-  SELECT d.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate
+  SELECT d.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+    ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS number
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), g AS (
+  SELECT source, seed, abs(sum(size * floor(rate)::BIGINT + CASE WHEN (number * (2 * seed + 1) + seed * 2654435769) % 4294967296 < (rate - floor(rate)) * 4294967296.0::DOUBLE THEN size ELSE 0 END) - max(target)) AS gap
+  FROM r, range(64) AS s(seed) GROUP BY source, seed
+), b AS (
+  SELECT source, seed FROM g QUALIFY row_number() OVER (PARTITION BY source ORDER BY gap, seed) = 1
 ), c AS (
-  SELECT *, floor(rate)::BIGINT + CASE WHEN ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM r
+  SELECT r.*, floor(rate)::BIGINT + CASE WHEN (number * (2 * seed + 1) + seed * 2654435769) % 4294967296 < (rate - floor(rate)) * 4294967296.0::DOUBLE THEN 1 ELSE 0 END AS copies
+  FROM r JOIN b ON r.source IS NOT DISTINCT FROM b.source
 )
 SELECT doc_id, size, source_size, target, copies::BIGINT AS copies, (size * copies)::BIGINT AS taken FROM c
 """

@@ -8,11 +8,17 @@ with an error of at most `widths` times sqrt((1 - f^2) / (f^2 (d - 1))), except
 exponentially with the square of `widths` (5 here, chosen to lose practically no link).  Only pairs whose upper
 bound reaches the threshold are computed again in double precision, which alone decides.
 
-Copies of a vector count once, with their number.  The rest meet in cells of two blocks of bounded size.
+Copies of a vector count once, with their number.  The rest meet where the signs of their products with some random
+directions agree, in one of several bands of directions.  There are as many directions in a band as make buckets of
+some hundred vectors, and as many bands as leave a pair just at the threshold in no common bucket with a probability
+of one in ten thousand (fewer above it); below a few hundred vectors there is one bucket, and nothing is missed.  A pair
+counts in the first band that it shares.  Large buckets are cut into blocks, each of which meets each.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-INDEX = "rep long, copies long, e array<double>, code binary, factor double"
+INDEX = "rep long, copies long, e array<double>, code binary, factor double, keys array<long>"
 LINKS = "a long, b long, n long"
 
 
@@ -36,17 +42,40 @@ def units(column) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def encode(batches):
-    """Codes and factors for batches of (rep, copies, e); vectors of several lengths are encoded by length."""
+def banding(n: int, threshold: float, occupancy: int = 512, miss: float = 1e-4) -> tuple[int, int]:
+    """Directions in a band, and bands, for n vectors."""
+    bits = max(0, math.ceil(math.log2(max(n, 1) / occupancy)))
+    agree = (1 - math.acos(min(1.0, threshold)) / math.pi) ** bits
+    return bits, 1 if agree == 1 else math.ceil(math.log(miss) / math.log1p(-agree))
+
+
+def band_keys(u: np.ndarray, bits: int, bands: int) -> np.ndarray:
+    """n x bands: a name for the signs of each band, in which the vectors' length and the band play a part."""
+    d = u.shape[1]
+    out = np.empty((len(u), bands), np.uint64)
+    for k in range(bands):
+        h = np.full(len(u), (d << 16) + k, np.uint64)
+        if bits:
+            signs = u @ np.random.default_rng((d, k)).standard_normal((d, bits)) > 0
+            h = C.fold(h, signs.astype(np.uint64) @ (np.uint64(1) << np.arange(bits, dtype=np.uint64)))
+        out[:, k] = C.mix(h)
+    return out.view(np.int64)
+
+
+def encode(batches, bits: int, bands: int):
+    """Codes, factors and buckets for batches of (rep, copies, e); vectors of several lengths are encoded by length."""
     for batch in batches:
         table = pa.Table.from_batches([batch])
         n = np.diff(batch.column("e").offsets.to_numpy())
         for d in np.unique(n):
             part = table.filter(pa.array(n == d))
-            y = units(part["e"]) @ rotation(int(d))
+            u = units(part["e"])
+            y = u @ rotation(int(d))
+            keys = band_keys(u, bits, bands)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel()))
             factor = np.abs(y).sum(1) / np.sqrt(d)
             bits = np.packbits(y > 0, axis=1)
-            part = part.append_column("code", pa.array([x.tobytes() for x in bits], pa.binary())).append_column("factor", pa.array(factor))
+            part = part.append_column("code", pa.array([x.tobytes() for x in bits], pa.binary())).append_column("factor", pa.array(factor)).append_column("keys", lists)
             yield from part.to_batches()
 
 
@@ -87,13 +116,16 @@ def cell(table: pa.Table, i: int, j: int, threshold: float, widths: float) -> pa
     block = table["block"].to_numpy()
     for d in np.unique(n):
         parts = [table.filter(pa.array((n == d) & (block == b))) for b in dict.fromkeys((i, j))]
-        ids = np.concatenate([p["rep"].to_numpy() for p in parts])
-        copies = np.concatenate([p["copies"].to_numpy() for p in parts])
+        whole = pa.concat_tables(parts)
+        ids, copies = whole["rep"].to_numpy(), whole["copies"].to_numpy()
         if len(parts) == 1:
             p, q = linked(parts[0], None, threshold, widths)
         else:
             p, q = linked(parts[0], parts[1], threshold, widths)
             q = q + parts[0].num_rows
+        earlier = whole["earlier"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        new = ~(earlier[p] == earlier[q]).any(1)
+        p, q = p[new], q[new]
         links = np.bincount(p, copies[q], len(ids)) + np.bincount(q, copies[p], len(ids)) if len(p) else np.zeros(len(ids))
         label = ids.copy()
         while len(p):
@@ -119,7 +151,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, widths: float = 5.
     One row for each row of vectors (vec_id, embedding).  Vectors that are null, empty, zero or hold null or
     non-finite components link with nothing, nor do vectors of different lengths; copies link.  Rows of one vec_id
     and vector are one vector; a null vec_id links with nothing and has a null component.  Labels and other columns
-    play no part.
+    play no part; an empty table gives none.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
     fine = F.col("vec_id").isNotNull() & F.col("e").isNotNull() & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0)
@@ -129,11 +161,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, widths: float = 5.
     once = keyed.where("fine").groupBy("h1", "h2", "vec_id").agg(F.first("e").alias("e"))
     groups = once.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("e").alias("e"))
     index = C.save(groups, "vectors")
-    n = max(1, -(-index.count() // block_rows))
-    codes = index.select("rep", "copies", "e").mapInArrow(encode, INDEX).withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(n)).cast("long"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    met = codes.withColumn("other", other).select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other")
-    found = C.save(met.groupBy("i", "j").applyInArrow(lambda key, t: cell(t, key[0].as_py(), key[1].as_py(), threshold, widths), LINKS), "links")
+    bits, bands = banding(index.count(), threshold)
+    codes = C.save(index.select("rep", "copies", "e").mapInArrow(lambda x: encode(x, bits, bands), INDEX), "codes")
+    large = codes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    large = C.save(large.select("key", F.ceil(F.col("n") / block_rows).cast("long").alias("blocks")), "buckets")
+    met = codes.select("*", F.posexplode("keys").alias("band", "key")).withColumn("earlier", F.slice("keys", F.lit(1), F.col("band"))).drop("keys", "band").join(large, "key")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    met = met.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("other", other).select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other", "blocks")
+    found = C.save(met.groupBy("key", "i", "j").applyInArrow(lambda key, t: cell(t, key[1].as_py(), key[2].as_py(), threshold, widths), LINKS), "links")
     links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     parts = C.connected_components(found.where("b is not null").select("a", "b"), "vector-components")
     told = index.select("h1", "h2", "rep", "copies").join(links, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")

@@ -187,7 +187,7 @@ TOLD = "chunk long, bucket long, step int, told binary"
 
 
 def ask(chunk: int, step: int, buckets: int, keys: np.ndarray, more: np.ndarray | None = None, docs: np.ndarray | None = None) -> pa.Table:
-    """Rows for keys in ascending order, one for each bucket that has any."""
+    """Rows for keys in ascending order, one for each bucket that has any; `more`: a row of numbers for each key."""
     bucket = ((keys >> _S32) * np.uint64(buckets)) >> _S32
     edge = np.flatnonzero(np.diff(bucket)) + 1 if len(keys) else np.zeros(0, np.int64)
     cuts = [0, *edge.tolist(), len(keys)] if len(keys) else [0]
@@ -226,25 +226,23 @@ def told(replies: pa.Table, step: int) -> np.ndarray:
     return np.frombuffer(b"".join(t for _, t in rows), np.uint8)
 
 
-def earliest(table: pa.Table, two: bool) -> pa.Table:
-    """For every key (with `more`, every pair) bit 1: a chunk has it in a smaller document; bit 2: its key comes with another `more`."""
+def earliest(table: pa.Table) -> pa.Table:
+    """For every pair of a key and its `more` bit 1: a chunk has it in a smaller document; bit 2: its key comes with another `more`."""
     keys = np.concatenate(asked(table, "keys", "<u8"))
     docs = []
     for d, w in zip(asked(table, "docs", "<i8"), table["which"].to_pylist(), strict=True):
         docs.append(d[np.frombuffer(w, "<u2" if len(d) <= 1 << 16 else "<u4")])
     docs = np.concatenate(docs)
-    more = np.concatenate(asked(table, "more", "<u8")) if two else np.zeros(len(keys), np.uint64)
-    order = np.lexsort((docs, more, keys)) if two else np.lexsort((docs, keys))
+    more = np.concatenate(asked(table, "more", "<u8")).reshape(len(keys), -1)
+    order = np.lexsort((docs, *more.T, keys))
     k, m, d = keys[order], more[order], docs[order]
     new_key = np.r_[True, k[1:] != k[:-1]]
-    new = new_key | np.r_[True, m[1:] != m[:-1]]
+    new = new_key | np.r_[True, (m[1:] != m[:-1]).any(1)]
     least = d[np.flatnonzero(new)][np.cumsum(new) - 1]
+    group = np.cumsum(new_key) - 1
+    kinds = np.bincount(group, weights=new)
     flags = np.zeros(len(keys), np.uint8)
-    flags[order] = (least < d).astype(np.uint8)
-    if two:
-        group = np.cumsum(new_key) - 1
-        kinds = np.bincount(group, weights=new)
-        flags[order] |= (kinds[group] > 1).astype(np.uint8) << 1
+    flags[order] = (least < d).astype(np.uint8) | (kinds[group] > 1).astype(np.uint8) << 1
     return tell(table, flags)
 
 

@@ -10,13 +10,14 @@ Revealing.  Each 20-word window chooses, among the symbols with contexts inside,
 also covers the context); one packed exchange finds the chosen symbols that occur more than once.  A window with a
 symbol that occurs once is unique and done with.
 
-Verifying.  For a repeated symbol the words of all windows around it are compared first (fingerprints beside the
-name, 128 bits together), which settles copies; windows whose surroundings differ are compared themselves, and so
-are the few windows, inside long runs, that hold no whole context.
+Verifying.  For a repeated symbol the words of all windows around it are compared first (by 128 bits beside the
+name), which settles copies; windows whose surroundings differ are compared themselves (by 128 bits), and so are the
+few windows, inside long runs, that hold no whole context.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -31,7 +32,7 @@ ROUNDS = 2
 RUN, PAIR, NAME, WIDE, WINDOW, *CLASS = (np.uint64(x) for x in range(11, 32))
 
 
-def words_of(block: C.Block) -> tuple[np.ndarray, np.ndarray]:
+def words_of(block: C.Block, seed: int = 2) -> tuple[np.ndarray, np.ndarray]:
     """A fingerprint for every word of the block, and the number of words in each document."""
     buf = C.padded(block.data)
     b = buf[: len(block.data)]
@@ -42,7 +43,7 @@ def words_of(block: C.Block) -> tuple[np.ndarray, np.ndarray]:
     start = np.flatnonzero(inside & (~before | edge[:-1]))
     end = np.flatnonzero(inside & (~after | edge[1:])) + 1
     at = np.searchsorted(start, block.off)
-    return C.ranges64(C.words64(buf), start, end, 2), np.diff(at)
+    return C.ranges64(C.words64(buf), start, end, seed), np.diff(at)
 
 
 def recompress(words: np.ndarray, doc: np.ndarray, rounds: int):
@@ -147,12 +148,18 @@ class Parse:
         self.row = of[best] + block.first
         self.bare = np.flatnonzero(self.whole & (a[:n] >= b[:n]))
 
+    @functools.cached_property
+    def other_sums(self):
+        """From a second fingerprint of every word: where runs are compared, 128 bits stand for them."""
+        return prefix_names(words_of(self.block, 4)[0])
+
     def around(self, i: np.ndarray) -> np.ndarray:
-        wide = runs64(self.sums, self.first[i], self.last[i] + self.length, WIDE)
-        return C.fold(wide, (self.lo[i] - self.first[i]).astype(np.uint64))
+        """All words of the windows that hold symbol i, and its place among them, as two numbers."""
+        runs = [runs64(s, self.first[i], self.last[i] + self.length, WIDE) for s in (self.sums, self.other_sums)] if len(i) else [np.zeros(0, np.uint64)] * 2
+        return np.stack([C.fold(x, (self.lo[i] - self.first[i]).astype(np.uint64)) for x in runs], 1)
 
     def windows(self, s: np.ndarray) -> np.ndarray:
-        return runs64(self.sums, s, s + self.length, WINDOW)
+        return np.stack([runs64(x, s, s + self.length, WINDOW) for x in (self.sums, self.other_sums)] if len(s) else [np.zeros(0, np.uint64)] * 2, 1)
 
 
 def later(keys: tuple[np.ndarray, ...], doc: np.ndarray, row: np.ndarray, place: np.ndarray):
@@ -191,9 +198,9 @@ def chunk_state(docs: pa.Table, replies: pa.Table | None, length: int, rounds: i
     ctx = np.concatenate([p.around(i) for p, i in zip(parts, picks, strict=True)])
     row = np.concatenate([p.row[i] for p, i in zip(parts, picks, strict=True)])
     place = np.concatenate([p.lo[i] for p, i in zip(parts, picks, strict=True)])
-    order, uniq, least, group, behind = later((key, ctx), ids[row] if len(row) else row, row, place)
+    order, uniq, least, group, behind = later((key, *ctx.T), ids[row] if len(row) else row, row, place)
     if upto == 2:
-        return uniq[0], uniq[1], least
+        return uniq[0], np.stack(uniq[1:], 1), least
     bits = C.told(replies, 2)
     copied, open_ = np.zeros(len(key), bool), np.zeros(len(key), bool)
     if len(key):
@@ -210,9 +217,9 @@ def chunk_state(docs: pa.Table, replies: pa.Table | None, length: int, rounds: i
     whole = np.concatenate([x[2] for x in lists])
     row = np.concatenate([x[1] for x in lists])
     place = np.concatenate([x[0] for x in lists])
-    order, uniq, least, group, behind = later((whole,), ids[row] if len(row) else row, row, place)
+    order, uniq, least, group, behind = later(tuple(whole.T), ids[row] if len(row) else row, row, place)
     if upto == 3:
-        return uniq[0], least
+        return uniq[0], np.stack(uniq[1:], 1), least
     bits = C.told(replies, 3)
     again = np.zeros(len(whole), bool)
     if len(whole):
@@ -255,7 +262,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, rounds: int = ROUNDS, with
 
     def step3(key, table, replies):
         got = chunk_state(table, replies, length, rounds, 3)
-        return C.ask(key[0].as_py(), 3, buckets, got[0] if got else none, None, got[1] if got else None)
+        return C.ask(key[0].as_py(), 3, buckets, *(got or [none]))
 
     def last(key, table, replies):
         got = chunk_state(table, replies, length, rounds, 4)
@@ -287,9 +294,9 @@ def remove_repeats(docs: DataFrame, length: int = 20, rounds: int = ROUNDS, with
 
     pair = lambda replies, f, out: base.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(f, out)
     told1 = base.groupBy("chunk").applyInArrow(step1, C.ASKED).groupBy("bucket").applyInArrow(repeated, C.TOLD)
-    told2 = pair(told1, step2, C.ASKED).groupBy("bucket").applyInArrow(lambda t: C.earliest(t, True), C.TOLD)
+    told2 = pair(told1, step2, C.ASKED).groupBy("bucket").applyInArrow(C.earliest, C.TOLD)
     sofar = told1.unionByName(told2)
-    told3 = pair(sofar, step3, C.ASKED).groupBy("bucket").applyInArrow(lambda t: C.earliest(t, False), C.TOLD)
+    told3 = pair(sofar, step3, C.ASKED).groupBy("bucket").applyInArrow(C.earliest, C.TOLD)
     return pair(sofar.unionByName(told3), last, OUT + (", kept binary" if with_text else ""))
 
 

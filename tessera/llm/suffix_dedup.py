@@ -4,71 +4,51 @@ Sampling.  A suffix is indexed where its first 8 bytes have the smallest fingerp
 50-byte string (`length` - `prefix` + 1 in general).  Equal strings choose the same starts, so two equal 50-byte
 strings always share an indexed suffix, 24 bytes of which lie within both; about one suffix in 14 is indexed.
 
-Index.  The suffixes of a batch are sorted by the 64-bit names of their 24-byte prefixes (the names that prefix
-doubling would give them, taken from content instead of ranks): the batch's suffix array.  Each key range keeps a
-family of such arrays in levels.  A new batch is merge-scanned against every level for shared prefixes, then
-becomes a level, and levels of equal size merge, as in a binary counter: n batches touch each entry log n times.
-
-Verification.  Only shared prefixes go on.  For each, the 76 bytes around it that hold all its 50-byte strings are
-compared (as fingerprints beside the name, 128 bits together): a copy whose whole surrounding also stands in a
-smaller document is settled at once.  Where surroundings differ, a string needs the prefix and either some bytes
-before it or some behind it in common: those halves are compared next, and the strings around shared halves last.
+Family.  The suffixes of a batch of documents, in the order of the names of their 24-byte prefixes, with the chunks
+that hold them, are a table in the shared folder, cut into key ranges: a level.  A new batch is merge-scanned, range
+by range, against every level for prefixes that occur more than once, then becomes a level itself, and levels of
+equal rank merge, as in a binary counter: n batches rewrite each entry log n times.  A family can be opened later
+and takes further batches.
+
+Matches.  For shared prefixes the bytes around them travel: 26 before the suffix and 50 from it on, each content once
+a chunk.  They are sorted into a suffix array of whole suffixes and one of the reversed bytes before them; the lengths
+that neighbours have in common (bytes are compared, not fingerprints) tell which of the 27 strings around a suffix
+stand in a document of smaller id.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common as C
 
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+ENTRIES = "bucket long, holder long, names binary, holders binary, own boolean"
+SCANNED = "kind string, bucket long, holder long, names binary, holders binary, told binary"
+AROUND = "bucket long, holder long, own boolean, n long, contexts binary, docs binary"
+TOLD = "bucket long, holder long, told binary"
+BATCH = 1 << 32  # holders are chunks: batch * BATCH + chunk
 
 
-class LevelFamily:
-    """Sorted arrays of names by level; `shared` collects the names met in more than one batch."""
-
-    def __init__(self) -> None:
-        self.levels: dict[int, np.ndarray] = {}
-        self.shared: list[np.ndarray] = []
-
-    def add(self, names: np.ndarray) -> None:
-        """names: sorted, each once.  Scan against all levels, then merge equal-sized levels."""
-        for level in self.levels.values():
-            at = np.searchsorted(level, names)
-            at[at == len(level)] = 0
-            self.shared.append(names[level[at] == names])
-        rank = 0
-        while rank in self.levels:
-            both = np.concatenate([self.levels.pop(rank), names])
-            both.sort(kind="stable")
-            names = both[np.r_[True, both[1:] != both[:-1]]]
-            rank += 1
-        self.levels[rank] = names
-
-    def shared_names(self) -> np.ndarray:
-        return np.unique(np.concatenate(self.shared)) if self.shared else np.zeros(0, np.uint64)
-
-
-def scan_levels(table: pa.Table, batch: int = 16) -> pa.Table:
-    """Bit 1 for every name of a bucket that another chunk has; the chunks come in batches, in order."""
-    rows = C.asked(table, "keys", "<u8")
-    family, twice = LevelFamily(), []
-    for i in range(0, len(rows), batch):
-        names = np.sort(np.concatenate(rows[i : i + batch]))
-        again = names[1:] == names[:-1]
-        twice.append(names[1:][again])
-        family.add(names[np.r_[True, ~again]])
-    shared = np.union1d(family.shared_names(), np.concatenate(twice))
-    keys = np.concatenate(rows)
-    if not len(shared):
-        return C.tell(table, np.zeros(len(keys), np.uint8))
-    at = np.searchsorted(shared, keys)
-    at[at == len(shared)] = 0
-    return C.tell(table, (shared[at] == keys).astype(np.uint8))
+def packed(x: np.ndarray) -> bytes:
+    """Numbers, those of sorted ones by their differences; alike bytes of neighbours are put together and compressed."""
+    x = np.ascontiguousarray(x).view(np.uint64)
+    diff = np.diff(x, prepend=np.uint64(0))
+    return zstandard.compress(np.ascontiguousarray(diff.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpacked(raw: bytes, kind: type = np.uint64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view(np.uint64), dtype=np.uint64).view(kind)
 
 
 class Sampler:
@@ -96,28 +76,20 @@ class Sampler:
         self.at = np.flatnonzero(high == h)
         doc = np.searchsorted(block.off, self.at, "right") - 1
         self.row = doc + block.first
-        self.lo = np.maximum(starts[doc], self.at - self.reach)
-        self.hi = np.minimum(self.at, ends[doc] - length)
+        self.before = np.minimum(self.at - starts[doc], self.reach)
+        self.behind = np.minimum(ends[doc] - self.at, length)
 
     def names(self) -> np.ndarray:
         return C.ranges64(self.view, self.at, self.at + self.prefix, 3)
 
-    def around(self, i: np.ndarray) -> np.ndarray:
-        """Fingerprints of all bytes of the strings that hold suffix i, and of its place among them."""
-        return C.fold(C.ranges64(self.view, self.lo[i], self.hi[i] + self.length, 5), (self.at[i] - self.lo[i]).astype(np.uint64))
-
-    def halves(self, i: np.ndarray):
-        """Ranges of starts, and a name of what all strings of a range hold: more before the prefix, or more behind."""
-        left = self.at[i] - self.reach // 2
-        a, b = self.lo[i], np.minimum(self.hi[i], left)
-        c, d = np.maximum(self.lo[i], left + 1), self.hi[i]
-        u, v = a <= b, c <= d
-        before = C.ranges64(self.view, left[u], self.at[i][u] + self.prefix, 8)
-        behind = C.ranges64(self.view, self.at[i][v], left[v] + 1 + self.length, 9)
-        return np.r_[a[u], c[v]], np.r_[b[u], d[v]], np.r_[before, behind], np.r_[self.row[i][u], self.row[i][v]]
-
-    def strings(self, s: np.ndarray) -> np.ndarray:
-        return C.ranges64(self.view, s, s + self.length, 7)
+    def contexts(self, i: np.ndarray) -> np.ndarray:
+        """A row for each suffix: the bytes before it (the nearest first), those from it on, and how many of both."""
+        at, before, behind = self.at[i, None], self.before[i, None], self.behind[i, None]
+        back, on = np.arange(self.reach)[None], np.arange(self.length)[None]
+        data = self.block.data
+        left = np.where(back < before, data[np.maximum(at - 1 - back, 0)], 0)
+        right = np.where(on < behind, data[np.minimum(at + on, len(data) - 1)], 0)
+        return np.concatenate([left, right, before, behind], 1).astype(np.uint8)
 
 
 def slide(x: np.ndarray, width: int, best, fill: int | None = None) -> np.ndarray:
@@ -142,150 +114,320 @@ class Names:
         other = d != d[new][self.group] if len(s) else np.zeros(0, bool)
         self.here = np.bincount(self.group, weights=other, minlength=len(self.unique)) > 0  # in two documents of this chunk
 
-    def shared(self, replies: pa.Table, step: int) -> np.ndarray:
+    def hits(self, shared: np.ndarray) -> np.ndarray:
+        """Which of all names are among the shared ones, given for each different name."""
         out = np.zeros(len(self.order), bool)
-        if len(out):
-            out[self.order] = (C.told(replies, step).astype(bool) | self.here)[self.group]
+        out[self.order] = shared[self.group]
         return out
 
 
-def chunk_state(docs: pa.Table, replies: pa.Table | None, length: int, prefix: int, upto: int):
-    """What a chunk knows after the answers of `upto` steps.
+def bucket_of(names: np.ndarray, buckets: int) -> np.ndarray:
+    return (((names >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def runs(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
+    cuts = [0, *(np.flatnonzero(np.diff(sorted_keys)) + 1).tolist(), len(sorted_keys)] if len(sorted_keys) else [0]
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
+# ---------------------------------------------------------------- suffix arrays by key range
+
 
-    1: all names, each once.  2: the pairs (name, surroundings) of shared names, each once with its smallest
-    document.  3: the halves of those still open, each once.  4: the strings around shared halves, each once with its
-    smallest document.  5: cover of removed bytes.
+def merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The entries of a key range in the order of names: name, holder, own."""
+    names, holders, own = [], [], []
+    for row in table.select(["names", "holder", "holders", "own"]).to_pylist():
+        x = unpacked(row["names"])
+        names.append(x)
+        holders.append(np.full(len(x), row["holder"]) if row["holders"] is None else unpacked(row["holders"], np.int64))
+        own.append(np.full(len(x), row["own"]))
+    names, holders, own = np.concatenate(names), np.concatenate(holders), np.concatenate(own)
+    order = np.argsort(names, kind="stable")
+    return names[order], holders[order], own[order]
+
+
+def level_row(bucket: int, names: np.ndarray, holders: np.ndarray) -> dict:
+    return {"kind": "level", "bucket": bucket, "holder": None, "names": packed(names), "holders": packed(holders), "told": None}
+
+
+def scan(table: pa.Table) -> pa.Table:
+    """Merge-scan of a key range: the new batch's suffix array, and which of its names, and of the levels', are shared.
+
+    A chunk of the batch is told a byte for each of its names there, in order; a chunk of a level gets those of its
+    names that the batch has too.
     """
-    ids = C.ids_of(docs["doc_id"])
-    parts = [Sampler(b, length, prefix) for b in C.blocks(docs["text"])]
-    if not parts:
-        return None
-    names = [p.names() for p in parts]
-    all_names = np.concatenate(names)
-    rows = np.concatenate([p.row for p in parts])
-    known = Names(all_names, ids[rows] if len(rows) else rows)
-    if upto == 1:
-        return known.unique
-    hit = known.shared(replies, 1)
-    # shared suffixes and their surroundings
-    cut = np.cumsum([0, *(len(p.at) for p in parts)])
-    picks = [np.flatnonzero(hit[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-    key = np.concatenate([n[i] for n, i in zip(names, picks, strict=True)])
-    ctx = np.concatenate([p.around(i) for p, i in zip(parts, picks, strict=True)])
-    doc = np.concatenate([ids[p.row[i]] for p, i in zip(parts, picks, strict=True)])
-    order = np.lexsort((doc, ctx, key))
-    k, c, d = key[order], ctx[order], doc[order]
-    new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])] if len(k) else np.zeros(0, bool)
-    least = d[new]
-    if upto == 2:
-        return k[new], c[new], least
-    bits = C.told(replies, 2)
+    names, holders, own = merged(table)
+    bucket = table["bucket"][0].as_py()
+    new = np.r_[True, names[1:] != names[:-1]]
     group = np.cumsum(new) - 1
-    copied, open_ = np.zeros(len(k), bool), np.zeros(len(k), bool)
-    if len(k):
-        copied[order] = (bits[group] & 1).astype(bool) | (d > least[group])
-        open_[order] = ((bits[group] & 2) > 0)
-    open_ &= ~copied
-    # prefixes that are shared while their surroundings are not
-    cut = np.cumsum([0, *(len(i) for i in picks)])
-    halves = [p.halves(i[open_[a:b]]) for p, i, a, b in zip(parts, picks, cut[:-1], cut[1:], strict=True)]
-    row = np.concatenate([x[3] for x in halves])
-    known = Names(np.concatenate([x[2] for x in halves]), ids[row] if len(row) else row)
-    if upto == 3:
-        return known.unique
-    hit = known.shared(replies, 3)
-    lists, at = [], 0
-    for p, (a, b, _, row) in zip(parts, halves, strict=True):
-        own = hit[at : at + len(a)]
-        at += len(a)
-        of, start = C.expand(a[own], b[own])
-        start, keep = np.unique(start, return_index=True)
-        lists.append((start, row[own][of[keep]], p.strings(start)))
-    whole = np.concatenate([x[2] for x in lists])
-    doc = np.concatenate([ids[x[1]] for x in lists])
-    order = np.lexsort((doc, whole))
-    w, d = whole[order], doc[order]
-    new = np.r_[True, w[1:] != w[:-1]] if len(w) else np.zeros(0, bool)
-    least = d[new]
-    if upto == 4:
-        return w[new], least
-    bits = C.told(replies, 4)
-    again = np.zeros(len(w), bool)
-    if len(w):
-        group = np.cumsum(new) - 1
-        again[order] = (bits[group] & 1).astype(bool) | (d > least[group])
-    covers = []
-    at = 0
-    for p, i, a, b, (start, _, _) in zip(parts, picks, cut[:-1], cut[1:], lists, strict=True):
-        n = len(p.block.data)
-        edge = np.zeros(n + 1, np.int32)
-        j = i[copied[a:b]]
-        np.add.at(edge, p.lo[j], 1)
-        np.add.at(edge, p.hi[j] + length, -1)
-        t = start[again[at : at + len(start)]]
-        at += len(start)
-        np.add.at(edge, t, 1)
-        np.add.at(edge, t + length, -1)
-        covers.append(np.cumsum(edge[:-1]) > 0)
-    return parts, covers
-
-
-def remove_repeats(docs: DataFrame, length: int = 50, prefix: int = 24, with_text: bool = False) -> DataFrame:
+    mine = np.bincount(group, weights=own)[group]
+    shared = (np.bincount(group)[group] > 1) & (mine > 0)
+    out = [level_row(bucket, names[own], holders[own])]
+    order = np.lexsort((names, holders))
+    for a, b in runs(holders[order]):
+        i = order[a:b]
+        if own[i[0]]:
+            out.append({"kind": "own", "bucket": bucket, "holder": int(holders[i[0]]), "told": shared[i].astype(np.uint8).tobytes()})
+        elif shared[i].any():
+            out.append({"kind": "old", "bucket": bucket, "holder": int(holders[i[0]]), "names": packed(names[i][shared[i]])})
+    return pa.Table.from_pylist(out, SCHEMA)
+
+
+def merge(table: pa.Table) -> pa.Table:
+    names, holders, _ = merged(table)
+    return pa.Table.from_pylist([level_row(table["bucket"][0].as_py(), names, holders)], SCHEMA)
+
+
+SCHEMA = pa.schema([("kind", pa.string()), ("bucket", pa.int64()), ("holder", pa.int64()), ("names", pa.binary()), ("holders", pa.binary()), ("told", pa.binary())])
+
+
+# ---------------------------------------------------------------- matches by suffix array and common lengths
+
+
+def common_lengths(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows of bytes, and how many first bytes each has in common with the one before it."""
+    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    keys = np.ascontiguousarray(wide).view(">u8").astype(np.uint64)
+    order = np.lexsort(keys.T[::-1])
+    s = rows[order]
+    same = s[1:] == s[:-1]
+    lengths = np.where(same.all(1), rows.shape[1], same.argmin(1)) if len(s) > 1 else np.zeros(0, np.int64)
+    return order, np.r_[0, lengths]
+
+
+def repeated(contexts: np.ndarray, docs: np.ndarray, length: int, reach: int) -> np.ndarray:
+    """For each context the least and the largest number of bytes before the suffix with which a string around it
+    stands in a document of smaller id; 255 and 0 if none does.
+    """
+    n = len(contexts)
+    whole = np.ascontiguousarray(contexts).view(f"V{contexts.shape[1]}").ravel()
+    _, first, of = np.unique(whole, return_index=True, return_inverse=True)
+    some = contexts[first]
+    least = np.full(len(first), C.NO_ID)
+    np.minimum.at(least, of, docs)
+    after, common_after = common_lengths(some[:, reach : reach + length])
+    ahead, common_ahead = common_lengths(some[:, :reach])
+    before, behind = some[:, -2].astype(int), some[:, -1].astype(int)
+    out = np.tile(np.array([255, 0], np.uint8), (n, 1))
+    a, b = np.empty(len(some), np.int64), np.empty(len(some), np.int64)
+    for k in range(reach + 1):
+        # strings of k bytes before the suffix and length - k from it on: equal where both parts are
+        a[after] = np.cumsum(common_after < length - k)
+        b[ahead] = np.cumsum(common_ahead < k)
+        live = np.flatnonzero((before >= k) & (behind >= length - k))
+        if not len(live):
+            continue
+        key = a[live] * (len(some) + 1) + b[live]
+        order = np.argsort(key, kind="stable")
+        key, live = key[order], live[order]
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        low = np.full(len(some), C.NO_ID)
+        low[live] = np.repeat(np.minimum.reduceat(least[live], start), np.diff(np.r_[start, len(live)]))
+        hit = low[of] < docs
+        out[hit, 0] = np.minimum(out[hit, 0], k)
+        out[hit, 1] = k
+    return out
+
+
+def match(table: pa.Table, length: int, reach: int) -> pa.Table:
+    rows = table.to_pylist()
+    width = reach + length + 2
+    contexts = np.concatenate([np.frombuffer(zstandard.decompress(r["contexts"]), np.uint8).reshape(-1, width) for r in rows])
+    docs = np.concatenate([unpacked(r["docs"], np.int64) for r in rows])
+    told = repeated(contexts, docs, length, reach)
+    ends = np.cumsum([r["n"] for r in rows])
+    own = [(r, told[e - r["n"] : e]) for r, e in zip(rows, ends.tolist(), strict=True) if r["own"]]
+    return pa.table({"bucket": pa.array([r["bucket"] for r, _ in own], pa.int64()), "holder": pa.array([r["holder"] for r, _ in own], pa.int64()), "told": pa.array([x.tobytes() for _, x in own], pa.binary())})
+
+
+class Chunk:
+    """The documents of a chunk: their indexed suffixes, the shared ones among them, and what stands around these."""
+
+    def __init__(self, docs: pa.Table, length: int, prefix: int) -> None:
+        self.ids = C.ids_of(docs["doc_id"])
+        self.parts = [Sampler(b, length, prefix) for b in C.blocks(docs["text"])]
+        none = np.zeros(0, np.int64)
+        self.rows = np.concatenate([none, *(p.row for p in self.parts)])
+        self.names = np.concatenate([none.view(np.uint64), *(p.names() for p in self.parts)])
+        self.known = Names(self.names, self.ids[self.rows])
+
+    def told(self, replies: pa.Table) -> np.ndarray:
+        """Which indexed suffixes are shared, after the scan's answers."""
+        flags = b"".join(t for _, t in sorted(zip(replies["bucket"].to_pylist(), replies["told"].to_pylist(), strict=True)))
+        return self.known.hits(np.frombuffer(flags, bool) | self.known.here)
+
+    def around(self, hit: np.ndarray, buckets: int):
+        """Contexts of shared suffixes, each once with its least document, by bucket; and which every suffix has."""
+        cut = np.cumsum([0, *(len(p.at) for p in self.parts)])
+        picks = [np.flatnonzero(hit[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        if not hit.any():
+            return picks, None
+        contexts = np.concatenate([p.contexts(i) for p, i in zip(self.parts, picks, strict=True)])
+        docs, buckets_of = self.ids[self.rows[hit]], bucket_of(self.names[hit], buckets)
+        whole = np.ascontiguousarray(contexts).view(f"V{contexts.shape[1]}").ravel()
+        _, first, of = np.unique(whole, return_index=True, return_inverse=True)
+        least = np.full(len(first), C.NO_ID)
+        np.minimum.at(least, of, docs)
+        # in the order of buckets; a context's suffix has one name, so one bucket
+        order = np.argsort(buckets_of[first], kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        return picks, (contexts[first[order]], least[order], buckets_of[first[order]], rank[of], docs)
+
+
+def asked(holder: int, got, own: bool) -> pa.Table:
+    contexts, least, bucket = got[1][:3] if got[1] else ([], [], np.zeros(0, np.int64))
+    spans = runs(bucket)
+    return pa.table({
+        "bucket": pa.array([int(bucket[a]) for a, _ in spans], pa.int64()),
+        "holder": pa.array([holder] * len(spans), pa.int64()),
+        "own": pa.array([own] * len(spans), pa.bool_()),
+        "n": pa.array([b - a for a, b in spans], pa.int64()),
+        "contexts": pa.array([zstandard.compress(contexts[a:b].tobytes(), 1) for a, b in spans], pa.binary()),
+        "docs": pa.array([packed(least[a:b]) for a, b in spans], pa.binary()),
+    })
+
+
+def results(table: pa.Table, chunk: Chunk, got, answers: pa.Table, length: int, with_text: bool) -> pa.Table:
+    """Rows of OUT for the documents of a chunk, from its shared contexts and what was told about them."""
+    picks, of = got
+    span = np.zeros((0, 2), np.int64)
+    if of:
+        _, least, _, which, docs = of
+        told = np.frombuffer(b"".join(t for _, t in sorted(zip(answers["bucket"].to_pylist(), answers["told"].to_pylist(), strict=True))), np.uint8).reshape(-1, 2)
+        span = told[which].astype(np.int64)
+        # a context of a smaller document of this chunk repeats as a whole
+        later = docs > least[which]
+        behind = np.concatenate([p.behind[i] for p, i in zip(chunk.parts, picks, strict=True)])
+        before = np.concatenate([p.before[i] for p, i in zip(chunk.parts, picks, strict=True)])
+        span[later] = np.stack([np.maximum(length - behind, 0), before], 1)[later]
+    n_bytes, n_removed, n_spans, sha, kept, at = [], [], [], [], [], 0
+    for p, i in zip(chunk.parts, picks, strict=True):
+        few, most = span[at : at + len(i)].T if len(span) else np.zeros((2, 0), np.int64)
+        at += len(i)
+        hit = few <= most
+        edge = np.zeros(len(p.block.data) + 1, np.int32)
+        np.add.at(edge, p.at[i[hit]] - most[hit], 1)
+        np.add.at(edge, p.at[i[hit]] - few[hit] + length, -1)
+        cover = np.cumsum(edge[:-1]) > 0
+        b = p.block
+        for a, e in zip(b.off[:-1].tolist(), b.off[1:].tolist(), strict=True):
+            gone = cover[a:e]
+            k = int(gone.sum())
+            left = b.data[a:e].tobytes() if not k else b.data[a:e][~gone].tobytes()
+            n_bytes.append(e - a)
+            n_removed.append(k)
+            n_spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if k else 0)
+            sha.append(hashlib.sha256(left).hexdigest())
+            kept.append(left if with_text else None)
+    out = {"doc_id": table["doc_id"], "n_bytes": pa.array(n_bytes, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()), "kept_sha256": pa.array(sha, pa.string())}
+    return pa.table(out | ({"kept": pa.array(kept, pa.binary())} if with_text else {}))
+
+
+class SuffixFamily:
+    """A logarithmic family of suffix arrays in a folder that all executors see; batches of documents are added to it."""
+
+    def __init__(self, spark: SparkSession, folder: str, length: int = 50, prefix: int = 24) -> None:
+        if not 8 <= prefix < length <= 254:
+            raise ValueError("prefix must be at least 8 and less than length, which may be 254")
+        self.spark, self.folder, self.length, self.prefix = spark, folder, length, prefix
+        self.state: dict = {"version": 0, "buckets": 0, "batches": [], "levels": []}
+        try:
+            known = spark.read.text(f"{folder}/state-*").orderBy(F.desc(F.get_json_object("value", "$.version").cast("long"))).first()
+            self.state = json.loads(known[0]) if known else self.state
+        except AnalysisException:  # a new family
+            pass
+
+    def write(self, df: DataFrame, name: str) -> str:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        return path
+
+    def level(self, path: str) -> DataFrame:
+        return self.spark.read.parquet(path).where("kind = 'level'").select("bucket", "holder", "names", "holders", F.lit(False).alias("own"))
+
+    def add(self, docs: DataFrame, path: str | None = None, with_text: bool = False) -> DataFrame:
+        """The results of remove_repeats for the rows of docs, against each other and all batches before.
+
+        Earlier batches are known by the table at `path`, or by a copy in the folder; their results stand.
+        """
+        length, prefix, reach = self.length, self.prefix, self.length - self.prefix
+        batch = len(self.state["batches"])
+        size = C.layout(docs, bucket_bytes=24 << 20)
+        buckets = self.state["buckets"] = self.state["buckets"] or size.buckets
+        path = path or self.write(docs.select("doc_id", "text"), "documents")
+        held = lambda docs, batch, chunks: C.in_chunks(docs, chunks).withColumn("holder", F.col("chunk") + batch * BATCH).drop("chunk")
+        base = held(docs, batch, size.chunks)
+
+        def step1(key, table):
+            names = Chunk(table, length, prefix).known.unique
+            spans = runs(bucket_of(names, buckets))
+            n = len(spans)
+            return pa.table({"bucket": pa.array([int(bucket_of(names[a : a + 1], buckets)[0]) for a, _ in spans], pa.int64()), "holder": pa.array([key[0].as_py()] * n, pa.int64()), "names": pa.array([packed(names[a:b]) for a, b in spans], pa.binary()), "holders": pa.nulls(n, pa.binary()), "own": pa.array([True] * n, pa.bool_())})
+
+        def step2(key, table, replies):
+            chunk = Chunk(table, length, prefix)
+            return asked(key[0].as_py(), chunk.around(chunk.told(replies), buckets), True)
+
+        def of_old(key, table, replies):
+            chunk = Chunk(table, length, prefix)
+            shared = np.concatenate([unpacked(x) for x in replies["names"].to_pylist()])
+            return asked(key[0].as_py(), chunk.around(np.isin(chunk.names, shared), buckets), False)
+
+        def last(key, table, replies, answers):
+            chunk = Chunk(table, length, prefix)
+            return results(table, chunk, chunk.around(chunk.told(replies), buckets), answers, length, with_text)
+
+        entries = base.groupBy("holder").applyInArrow(step1, ENTRIES)
+        for level in self.state["levels"]:
+            entries = entries.unionByName(self.level(level["path"]))
+        scanned = self.write(entries.groupBy("bucket").applyInArrow(scan, SCANNED), "level")
+        found = self.spark.read.parquet(scanned)
+        own = found.where("kind = 'own'").select("bucket", "holder", "told")
+        around = base.groupBy("holder").cogroup(own.groupBy("holder")).applyInArrow(step2, AROUND)
+        if self.state["levels"]:
+            old = found.where("kind = 'old'").select("holder", "names")
+            known = None
+            for k, b in enumerate(self.state["batches"]):
+                rows = held(self.spark.read.parquet(b["path"]), k, b["chunks"])
+                known = rows if known is None else known.unionByName(rows)
+            wanted = known.join(old.select("holder").distinct(), "holder", "left_semi")
+            around = around.unionByName(wanted.groupBy("holder").cogroup(old.groupBy("holder")).applyInArrow(of_old, AROUND))
+        matched = around.groupBy("bucket").applyInArrow(lambda t: match(t, length, reach), TOLD)
+        both = own.withColumn("step", F.lit(1)).unionByName(matched.withColumn("step", F.lit(2)))
+
+        def split(key, table, replies):
+            step = np.array(replies["step"].to_pylist(), int)
+            return last(key, table, replies.filter(pa.array(step == 1)), replies.filter(pa.array(step == 2)))
+
+        out = base.groupBy("holder").cogroup(both.groupBy("holder")).applyInArrow(split, OUT + (", kept binary" if with_text else ""))
+        self.keep(scanned, {"path": path, "chunks": size.chunks})
+        return out
+
+    def keep(self, path: str, batch: dict) -> None:
+        """The batch becomes a level; levels of equal rank merge."""
+        levels, rank = self.state["levels"], 0
+        while levels and levels[-1]["rank"] == rank:
+            both = self.level(levels.pop()["path"]).unionByName(self.level(path))
+            path, rank = self.write(both.groupBy("bucket").applyInArrow(merge, SCANNED), "level"), rank + 1
+        levels.append({"rank": rank, "path": path})
+        self.state["batches"].append(batch)
+        self.state["version"] += 1
+        self.spark.createDataFrame([(json.dumps(self.state),)], "value string").coalesce(1).write.text(f"{self.folder}/state-{self.state['version']:06d}")
+
+
+def remove_repeats(docs: DataFrame, length: int = 50, prefix: int = 24, with_text: bool = False, path: str | None = None) -> DataFrame:
     """Remove every byte covered by a string of `length` bytes that also starts in a document of smaller doc_id.
 
     Returns one row for each row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the
     remaining bytes, with_text).  A null text is empty; an empty or short text loses nothing; rows of one doc_id do
-    not count against each other; a null doc_id is later than any other; other columns are ignored.
+    not count against each other; a null doc_id is later than any other; other columns are ignored; an empty table
+    gives none.  The rows are the first batch of a new family in the shared folder.
     """
-    if not 8 <= prefix < length:
-        raise ValueError("prefix must be at least 8 and less than length")
-    size = C.layout(docs)
-    base = C.in_chunks(docs, size.chunks)
-    buckets = size.buckets
-
-    def step1(key, table):
-        names = chunk_state(table, None, length, prefix, 1)
-        return C.ask(key[0].as_py(), 1, buckets, names if names is not None else np.zeros(0, np.uint64))
-
-    def step2(key, table, replies):
-        got = chunk_state(table, replies, length, prefix, 2)
-        return C.ask(key[0].as_py(), 2, buckets, *(got or [np.zeros(0, np.uint64)]))
-
-    def step3(key, table, replies):
-        names = chunk_state(table, replies, length, prefix, 3)
-        return C.ask(key[0].as_py(), 3, buckets, names if names is not None else np.zeros(0, np.uint64))
-
-    def step4(key, table, replies):
-        got = chunk_state(table, replies, length, prefix, 4)
-        return C.ask(key[0].as_py(), 4, buckets, got[0] if got else np.zeros(0, np.uint64), None, got[1] if got else None)
-
-    def last(key, table, replies):
-        got = chunk_state(table, replies, length, prefix, 5)
-        n_bytes, n_removed, n_spans, sha, kept = [], [], [], [], []
-        for p, cover in zip(*got, strict=True) if got else []:
-            b = p.block
-            for a, e in zip(b.off[:-1].tolist(), b.off[1:].tolist(), strict=True):
-                gone = cover[a:e]
-                k = int(gone.sum())
-                left = b.data[a:e].tobytes() if not k else b.data[a:e][~gone].tobytes()
-                n_bytes.append(e - a)
-                n_removed.append(k)
-                n_spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if k else 0)
-                sha.append(hashlib.sha256(left).hexdigest())
-                if with_text:
-                    kept.append(left)
-        out = {"doc_id": table["doc_id"], "n_bytes": pa.array(n_bytes, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()), "kept_sha256": pa.array(sha, pa.string())}
-        return pa.table(out | ({"kept": pa.array(kept, pa.binary())} if with_text else {}))
-
-    told1 = base.groupBy("chunk").applyInArrow(step1, C.ASKED).groupBy("bucket").applyInArrow(lambda t: scan_levels(t), C.TOLD)
-    pair = lambda replies, f, out: base.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(f, out)
-    told2 = pair(told1, step2, C.ASKED).groupBy("bucket").applyInArrow(lambda t: C.earliest(t, True), C.TOLD)
-    sofar = told1.unionByName(told2)
-    told3 = pair(sofar, step3, C.ASKED).groupBy("bucket").applyInArrow(lambda t: scan_levels(t), C.TOLD)
-    sofar = sofar.unionByName(told3)
-    told4 = pair(sofar, step4, C.ASKED).groupBy("bucket").applyInArrow(lambda t: C.earliest(t, False), C.TOLD)
-    return pair(sofar.unionByName(told4), last, OUT + (", kept binary" if with_text else ""))
+    folder = f"{C.shared_dir(docs.sparkSession)}/suffix-family-{uuid.uuid4().hex}"
+    return SuffixFamily(docs.sparkSession, folder, length, prefix).add(docs, path, with_text)
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(C.documents(spark, sf_dir))
+    return remove_repeats(C.documents(spark, sf_dir), path=f"{sf_dir}/documents.parquet")

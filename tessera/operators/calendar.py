@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import small
+
 
 def with_ordinal(cal: DataFrame, date: str = "d") -> DataFrame:
     """seq (from 1), prev_d and next_d; a calendar has one row a day and stays small whatever the facts hold."""
@@ -20,14 +22,14 @@ def next_open(df: DataFrame, cal: DataFrame, date: str, out: str, inclusive: boo
     marked = days.join(cal.select(F.col(date_cal).alias("day"), F.col(date_cal).alias("o")), "day", "left")
     ahead = Window.orderBy("day").rowsBetween(0 if inclusive else 1, Window.unboundedFollowing)
     dense = marked.select(F.col("day").alias(date), F.first("o", True).over(ahead).alias(out))
-    return df.join(F.broadcast(dense), date, "left")  # a row a calendar day
+    return df.join(small(dense), date, "left")
 
 
 def offset_date(df: DataFrame, cal: DataFrame, date: str, k: int, out: str) -> DataFrame:
     """The open day k places after `date` by ordinal, null beyond the calendar."""
     seq = cal.select(F.col("d").alias(date), "seq")
     to = cal.select((F.col("seq") - k).alias("seq"), F.col("d").alias(out))
-    return df.join(F.broadcast(seq), date, "left").join(F.broadcast(to), "seq", "left").drop("seq")
+    return df.join(small(seq), date, "left").join(small(to), "seq", "left").drop("seq")
 
 
 def rebalance_dates(cal: DataFrame, freq: str = "weekly", date: str = "d") -> DataFrame:
@@ -50,9 +52,11 @@ class RefreshWindow:
 
 def plan_refresh_window(cal: DataFrame, date_from, date_to, read_back: int = 60, label_back: int = 20) -> RefreshWindow:
     """Days to write, and how far before them features are read and labels rewritten, in open days."""
-    days = [r[0] for r in cal.where(F.col("d") <= F.lit(date_to)).orderBy(F.desc("d")).limit(20_000).select("d").collect()][::-1]
-    inside = [i for i, d in enumerate(days) if d >= date_from]
-    if not inside:
+    numbered = with_ordinal(cal.select("d").distinct()).select("d", "seq")
+    inside = numbered.where(F.col("d").between(F.lit(date_from), F.lit(date_to)))
+    first, write_from, write_to = inside.agg(F.min("seq"), F.min("d"), F.max("d")).first()
+    if first is None:
         raise ValueError("the calendar has no open day in the window")
-    first = inside[0]
-    return RefreshWindow(days[first], days[-1], days[max(0, first - read_back)], days[max(0, first - label_back)])
+    want = [max(1, first - read_back), max(1, first - label_back)]
+    day = {r["seq"]: r["d"] for r in numbered.where(F.col("seq").isin(want)).collect()}  # two rows
+    return RefreshWindow(write_from, write_to, day[want[0]], day[want[1]])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,9 @@ def latest_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_r = 1").drop("_r")
 
 
-def merge_upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """old with the rows of new in place of those of equal keys."""
-    return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
+def merge_upsert(old: DataFrame, new: DataFrame, keys: list[str], written: list) -> DataFrame:
+    """old with the rows of new in place of those of equal keys (nulls equal); of several in new the last written stays."""
+    last = latest_by(new, keys, [F.desc(c) if isinstance(c, str) else c for c in written])
+    side = last.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    return old.join(side, same, "left_anti").unionByName(last)

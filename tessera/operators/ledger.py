@@ -23,19 +23,23 @@ class Book:
     lot: int = LOT
     shares: dict = field(default_factory=dict)
     last: dict = field(default_factory=dict)
+    recorded: dict = field(default_factory=dict)
 
     def whole(self, n: float) -> float:
         return int(n // self.lot) * self.lot if self.lot else n
 
     def corporate_action(self, sec, split: float | None, dividend: float | None) -> None:
-        """On shares held before the day: the dividend less its tax, then the split, rounded down to whole shares."""
-        held = self.shares.get(sec, 0)
+        """On the shares of the last record day, or those held where none was: the dividend a share less its tax, and
+        `split` new shares for each, rounded down to whole ones.
+        """
+        entitled = self.recorded.pop(sec, self.shares.get(sec, 0))
         if dividend:
-            self.cash += held * dividend * (1 - DIVIDEND_TAX)
+            self.cash += entitled * dividend * (1 - DIVIDEND_TAX)
         if split:
-            self.shares[sec] = int(held * split) if self.lot else held * split
+            new = entitled * split
+            self.shares[sec] = self.shares.get(sec, 0) + (int(new) if self.lot else new)
             if sec in self.last:
-                self.last[sec] /= split
+                self.last[sec] /= 1 + split
 
     def holdings(self) -> float:
         return sum(n * self.last[k] for k, n in self.shares.items())
@@ -65,11 +69,14 @@ class Book:
 
 
 def known(day: pd.DataFrame, column: str) -> dict:
-    return {k: x for k, x in zip(day["sec"], day[column], strict=True) if x == x and x is not None} if column in day else {}
+    return {k: x for k, x in zip(day["sec"], day[column], strict=True) if x == x and x is not None and k == k and k is not None} if column in day else {}
 
 
 def fold(rows: pd.DataFrame, capital: float, lot: int = LOT, book: Book | None = None) -> pd.DataFrame:
-    """rows: portfolio, d, sec, price, target (share of nav; null: no rebalancing that day), and maybe split, dividend.
+    """rows: portfolio, d, sec, price, target (share of nav; null: no rebalancing that day), and maybe split, dividend, record.
+
+    A row whose sec is null only stands for its day.  split and dividend, new shares and cash for each share, count for
+    the shares held at the end of the last day whose record is true.
 
     A position that leaves the targets is sold in full; what has no price that day isn't traded and keeps its last.
     """
@@ -82,6 +89,9 @@ def fold(rows: pd.DataFrame, capital: float, lot: int = LOT, book: Book | None =
         price, want = known(day, "price"), known(day, "target")
         book.last |= price
         trades = book.rebalance(price, want) if want else 0
+        for k, on in known(day, "record").items():
+            if on:
+                book.recorded[k] = book.shares.get(k, 0)
         held = book.holdings()
         out.append((rows["portfolio"].iloc[0], d, book.cash, held, book.cash + held, trades))
     return pd.DataFrame(out, columns=["portfolio", "d", "cash", "holdings", "nav", "trades"])

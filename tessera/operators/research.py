@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import safe_corr, safe_divide
+from .quantiles import exact_quantiles
 
 STD_FLOOR = 1e-12
 
@@ -23,8 +25,8 @@ class WinsorZScore:
     fitted: DataFrame | None = None
 
     def fit(self, train: DataFrame) -> WinsorZScore:
-        quantile = lambda c, p: F.percentile(c, F.lit(p))
-        cuts = train.agg(*(f for c in self.cols for f in (quantile(c, self.lo).alias(f"_{c}_lo"), quantile(c, self.hi).alias(f"_{c}_hi"), quantile(c, 0.5).alias(f"_{c}_mid"))))
+        each = [exact_quantiles(train, [], c, {f"_{c}_lo": self.lo, f"_{c}_hi": self.hi, f"_{c}_mid": 0.5}) for c in self.cols]
+        cuts = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), each)  # a row each
         filled = train.crossJoin(F.broadcast(cuts)).select(*(self._clip(c).alias(c) for c in self.cols))  # one row
         moments = filled.agg(*(f for c in self.cols for f in (F.avg(c).alias(f"_{c}_mean"), F.stddev_pop(c).alias(f"_{c}_std"))))
         self.fitted = cuts.crossJoin(moments)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import log_positive, rounded, safe_divide
 from ..operators import calendar as cal_
-from ..operators import joins, ledger, panel
+from ..operators import joins, ledger, panel, quantiles
 from ..sources.tables import table
 from ..streaming import events as stream
 
@@ -97,14 +97,15 @@ LABELS = f"""WITH {BARS}, {CAL}, x AS (SELECT b.sec, b.d, e.close AS entry, f.cl
   lab AS (SELECT sec, d, exit / NULLIF(entry, 0) - 1 AS fwd FROM x WHERE entry IS NOT NULL AND exit IS NOT NULL)"""
 
 
-def labels(spark, sf) -> DataFrame:
-    """Return from the close of the next open day to that of the fifth, where both are known."""
-    b, c = bars(spark, sf), calendar(spark, sf)
-    x = b.select("sec", "d")
-    for k, out in ((1, "entry"), (5, "exit")):
-        price = b.select("sec", F.col("d").alias("_d"), F.col("close").alias(out))
-        x = cal_.offset_date(x, c, "d", k, "_d").join(price, ["sec", "_d"], "left").drop("_d")
-    return x.where("entry is not null and exit is not null").select("sec", "d", (safe_divide("exit", "entry") - 1).alias("fwd"))
+def labels(spark, sf, h: int = 5, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Return from the close of the next open day to that of the h-th, where both are known, and columns of bars.
+
+    Bars are read once: the bar of an open day k places on is found by a window over the days' ordinals.
+    """
+    x = bars(spark, sf).join(joins.small(calendar(spark, sf).select("d", "seq")), "d")
+    on = lambda k: F.max("close").over(Window.partitionBy("sec").orderBy("seq").rangeBetween(k, k))
+    x = x.withColumns({"entry": on(1), "exit": on(h)})
+    return x.where("entry is not null and exit is not null").select("sec", "d", (safe_divide("exit", "entry") - 1).alias("fwd"), *keep)
 
 
 @query("d13_forward_labels", LABELS + " SELECT sec, d, round(fwd, 4) AS fwd, round(fwd - avg(fwd) OVER (PARTITION BY d), 4) AS excess, fwd > median(fwd) OVER (PARTITION BY d) AS above FROM lab")
@@ -117,8 +118,8 @@ def _(spark, sf):
 RANKED = LABELS + f", sc AS (SELECT lab.sec, lab.d, lab.fwd, bars.close AS score FROM lab JOIN bars ON lab.sec = bars.sec AND lab.d = bars.d)"
 
 
-def scored(spark, sf) -> DataFrame:
-    return labels(spark, sf).join(bars(spark, sf).select("sec", "d", F.col("close").alias("score")), ["sec", "d"])
+def scored(spark, sf, *keep: str) -> DataFrame:
+    return labels(spark, sf, keep=("close", *keep)).withColumnRenamed("close", "score")
 
 
 @query(
@@ -303,7 +304,7 @@ def _(spark, sf):
 @query("snk2_merge_upsert", "WITH old AS (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0), new AS (SELECT o_orderkey, 'X' AS o_orderstatus FROM orders WHERE o_orderkey % 2 = 0) SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new) UNION ALL SELECT * FROM new")
 def _(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    return joins.merge_upsert(o.where("o_orderkey % 3 <> 0"), o.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("X")), ["o_orderkey"])
+    return joins.merge_upsert(o.where("o_orderkey % 3 <> 0"), o.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("X")), ["o_orderkey"], [F.asc("o_orderstatus")])
 
 
 @query("ag1_conditional_counts", "SELECT event_type, count(*) AS n, count(*) FILTER (value > 50) AS high, round(sum(CASE WHEN value > 50 THEN value ELSE 0 END), 2) AS high_sum, bool_or(value > 99) AS any_top, bool_and(value >= 0) AS all_pos, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
@@ -322,8 +323,7 @@ def _(spark, sf):
 
 @query("ag5_exact_quantiles", "SELECT o_orderpriority, round(quantile_cont(o_totalprice, 25.0/101), 2) AS q25, round(median(o_totalprice), 2) AS q50, round(quantile_cont(o_totalprice, 0.99), 2) AS q99 FROM orders GROUP BY 1")
 def _(spark, sf):
-    q = lambda p: F.round(F.percentile("o_totalprice", F.lit(p)), 2)
-    return table(spark, sf, "orders").groupBy("o_orderpriority").agg(q(25.0 / 101).alias("q25"), q(0.5).alias("q50"), q(0.99).alias("q99"))
+    return rounded(quantiles.exact_quantiles(table(spark, sf, "orders"), ["o_orderpriority"], "o_totalprice", {"q25": 25.0 / 101, "q50": 0.5, "q99": 0.99}), 2)
 
 
 @query("d9_event_lineage", "SELECT o_custkey, date_trunc('month', o_orderdate)::DATE AS period, count(*) AS n, round(sum(o_totalprice), 2) AS total, string_agg(DISTINCT o_orderpriority, ';' ORDER BY o_orderpriority) AS priorities, arg_max(o_orderstatus, o_orderkey) AS status, min(o_orderdate::DATE) AS first_day FROM orders GROUP BY 1, 2")
@@ -429,7 +429,11 @@ def ledger_rows(spark, sf) -> DataFrame:
     nations = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sec"), F.col("s_nationkey").cast("long").alias("portfolio"))
     dates = cal_.rebalance_dates(calendar(spark, sf), "monthly").withColumn("reb", F.lit(True))
     rows = bars(spark, sf).join(nations, "sec").join(joins.small(dates), "d", "left").withColumn("rk", F.row_number().over(Window.partitionBy("portfolio", "d").orderBy(F.desc("amount"), "sec")))
-    return rows.select("portfolio", "d", "sec", (F.col("close") / 100).alias("price"), F.when(F.col("reb") & (F.col("rk") <= 5), 0.2).alias("target"))
+    rows = rows.select("portfolio", "d", "sec", (F.col("close") / 100).alias("price"), F.when(F.col("reb") & (F.col("rk") <= 5), 0.2).alias("target"))
+    # prices of names that are never aimed at don't matter; a row without a name stands for each other day
+    held = rows.where("target is not null").select("portfolio", "sec").distinct()
+    days = rows.groupBy("portfolio", "d").agg(F.lit(None).cast("long").alias("sec"), F.lit(None).cast("double").alias("price"), F.lit(None).cast("double").alias("target"))
+    return rows.join(held, ["portfolio", "sec"], "left_semi").select("portfolio", "d", "sec", "price", "target").unionByName(days)
 
 
 @query("d34_ledger")
@@ -447,7 +451,7 @@ def _(spark, sf):
 
 @query("d60_size_bucket_ic", RANKED + ", b AS (SELECT sc.*, ntile(3) OVER (PARTITION BY sc.d ORDER BY bars.amount DESC, sc.sec) AS bucket FROM sc JOIN bars ON sc.sec = bars.sec AND sc.d = bars.d) SELECT bucket, count(*) AS n, round(corr(score, fwd), 4) AS ic FROM b GROUP BY 1")
 def _(spark, sf):
-    x = panel.xs_bucket(scored(spark, sf).join(bars(spark, sf).select("sec", "d", "amount"), ["sec", "d"]), "d", "amount", 3, "sec", "bucket")
+    x = panel.xs_bucket(scored(spark, sf, "amount"), "d", "amount", 3, "sec", "bucket")
     return x.groupBy(F.col("bucket").cast("long").alias("bucket")).agg(F.count("*").alias("n"), F.round(F.corr("score", "fwd"), 4).alias("ic"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import rounded, safe_divide
-from ..operators import joins, panel, quality, research
+from ..operators import joins, panel, quality, quantiles, research
 from ..sources.tables import table
 from .market import BARS, CAL, LABELS, NAV, RANKED, bars, calendar, labels, navs, query, scored
 
@@ -71,9 +71,9 @@ def _(spark, sf):
 
 @query("jn16_positional_zip", "SELECT s_nationkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS pos, s_suppkey, s_name FROM supplier")
 def _(spark, sf):
-    pairs = F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name")))
-    x = table(spark, sf, "supplier").groupBy("s_nationkey").agg(pairs.alias("p")).select("s_nationkey", F.posexplode(F.arrays_zip(F.col("p.s_suppkey").alias("k"), F.col("p.s_name").alias("v"))))
-    return x.select("s_nationkey", F.col("pos").cast("long").alias("pos"), F.col("col.k").alias("s_suppkey"), F.col("col.v").alias("s_name"))
+    """Two lists by nation, each numbered by its order, meet at equal places; no list is gathered."""
+    place = lambda c: table(spark, sf, "supplier").select("s_nationkey", (F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey")) - 1).cast("long").alias("pos"), c)
+    return place("s_suppkey").join(place("s_name"), ["s_nationkey", "pos"])
 
 
 @query("jn19_previous_observation", "SELECT o_orderkey, lag(o_totalprice) OVER w AS before, (lag(o_orderdate) OVER w)::DATE AS before_day FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)")
@@ -219,8 +219,9 @@ def _(spark, sf):
 
 @query("d71_score_distribution", "SELECT year(o_orderdate) AS y, count(*) AS n, round(quantile_cont(o_totalprice, 0.01), 2) AS p1, round(quantile_cont(o_totalprice, 0.5), 2) AS p50, round(quantile_cont(o_totalprice, 0.99), 2) AS p99, count(DISTINCT o_totalprice) AS kinds FROM orders GROUP BY 1")
 def _(spark, sf):
-    q = lambda p: F.round(F.percentile("o_totalprice", F.lit(p)), 2)
-    return table(spark, sf, "orders").groupBy(F.year("o_orderdate").cast("long").alias("y")).agg(F.count("*").alias("n"), q(0.01).alias("p1"), q(0.5).alias("p50"), q(0.99).alias("p99"), F.count_distinct("o_totalprice").alias("kinds"))
+    o = table(spark, sf, "orders").select(F.year("o_orderdate").cast("long").alias("y"), "o_totalprice")
+    counts = o.groupBy("y").agg(F.count("*").alias("n"), F.count_distinct("o_totalprice").alias("kinds"))
+    return counts.join(rounded(quantiles.exact_quantiles(o, ["y"], "o_totalprice", {"p1": 0.01, "p50": 0.5, "p99": 0.99}), 2), "y")
 
 
 @query("d73_label_safe_end", f"WITH {CAL} SELECT h, d FROM (VALUES (1), (5), (20)) t(h) JOIN cal ON cal.seq = (SELECT max(seq) FROM cal) - h")
@@ -255,7 +256,8 @@ def _(spark, sf):
 
 @query("qa7_unit_ratio", "SELECT l_returnflag, round(median(l_extendedprice / l_quantity), 4) AS ratio FROM lineitem GROUP BY 1")
 def _(spark, sf):
-    return table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.round(F.percentile(safe_divide("l_extendedprice", "l_quantity"), F.lit(0.5)), 4).alias("ratio"))
+    x = table(spark, sf, "lineitem").select("l_returnflag", safe_divide("l_extendedprice", "l_quantity").alias("ratio"))
+    return rounded(quantiles.exact_quantiles(x, ["l_returnflag"], "ratio", {"ratio": 0.5}))
 
 
 @query("qa9_ratio_floor_by_year", "SELECT year(o_orderdate) AS y, count(*) AS n, round(count(*) FILTER (o_orderstatus <> 'P') / count(*), 6) AS ratio FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderstatus <> 'P') / count(*) < 0.7")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import rounded, safe_divide
 from ..operators import calendar as cal_
-from ..operators import ledger, panel, research, runs
+from ..operators import ledger, panel, quantiles, research, runs
 from ..sources.tables import table
 from .market import BARS, CAL, CANDIDATES, LABELS, NAV, QUERIES, RANKED, bars, calendar, candidates, labels, ledger_rows, navs, query, scored
 
@@ -88,7 +88,7 @@ def _(spark, sf):
 def _(spark, sf):
     """One row a candidate, ranked over all."""
     x = scored(spark, sf).groupBy("sec").agg(F.round(safe_divide(F.covar_samp("score", "fwd"), F.stddev_samp("score") * F.stddev_samp("fwd")), 4).alias("ic"), F.count("*").alias("n"))
-    return x.withColumn("place", F.row_number().over(Window.orderBy(F.col("n") < 20, F.desc_nulls_last("ic"), "sec")).cast("long"))
+    return quantiles.place_overall(x, F.col("n") < 20, "ic", ["sec"], "place")
 
 
 @query("d42_signal_monitor", f"WITH {BARS}, {CAL}, s AS (SELECT sec, d, close FROM bars QUALIFY row_number() OVER (PARTITION BY d ORDER BY amount DESC, sec) <= 5) SELECT s.sec, s.d, CASE WHEN b.d IS NULL THEN 'no trading' WHEN b.close >= s.close * 1.1 THEN 'limit up' ELSE 'buyable' END AS state FROM s JOIN cal c ON c.d = s.d LEFT JOIN cal n ON n.seq = c.seq + 1 LEFT JOIN bars b ON b.sec = s.sec AND b.d = n.d")

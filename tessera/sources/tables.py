@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors see: spark.checkpoint.dir, or where that is unset, on one machine, one of our own."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        at = "file:" + tempfile.mkdtemp(prefix="tessera-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,10 +36,12 @@ def to_contract(df: DataFrame, contract: dict[str, str]) -> DataFrame:
     return df.select(*((F.col(c).try_cast(t) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in contract.items()))
 
 
-def staged_write(df: DataFrame, path: str, stage: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Written beside first; published only if what was written reads back with the same schema and rows."""
+def staged_write(df: DataFrame, path: str, stage: str, partition_by: tuple[str, ...] = (), rows: int | None = None) -> None:
+    """Written beside first; published only if what was written reads back with the same schema and, if given, number of rows."""
     df.write.mode("overwrite").parquet(stage)
     back = df.sparkSession.read.parquet(stage)
+    if rows is not None and back.count() != rows:
+        raise ValueError("the number of rows written isn't the one expected")
     if [(f.name, f.dataType) for f in back.schema] != [(f.name, f.dataType) for f in df.schema]:
         raise ValueError("the written schema differs from the one asked for")
     writer = back.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

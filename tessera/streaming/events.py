@@ -1,4 +1,4 @@
-"""Structured Streaming twins: windowed counts with a watermark, and missing followers."""
+"""Structured Streaming twins: windowed counts with a watermark, and events whose follower is missing."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
+from ..sources.tables import shared_dir, table
 
 
 def windowed_counts(events: DataFrame, minutes: int = 60, late: str = "2 days") -> DataFrame:
@@ -16,10 +16,11 @@ def windowed_counts(events: DataFrame, minutes: int = 60, late: str = "2 days")
 
 
 def windowed_counts_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stream run to its end over the events files, into a memory table."""
+    """The stream run to its end over the events files; each trigger's result replaces a table in the shared folder."""
     schema = table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
-    name = f"events_{uuid.uuid4().hex}"
-    query = windowed_counts(stream.withColumn("ts", F.col("ts").cast("timestamp"))).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(name)
+    at = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    counts = windowed_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")))
+    sink = counts.writeStream.outputMode("complete").option("checkpointLocation", f"{at}/state").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{at}/counts"))
+    sink.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/counts")

@@ -133,14 +133,16 @@ def test_ledger_keeps_its_invariants(spark):
 
 def ledger_rows():
     prices = {1: [23.0, 24.0, 12.5, 12.0, 13.0, 14.0], 2: [10.0, 11.0, 9.0, 9.5, 9.0, 8.0]}
-    rows = [(p, D(2020, 1, 1 + i), k, prices[k][i] + p, {0: 0.3, 3: 0.3 if k == 2 else None}.get(i), 2.0 if (k, i) == (1, 2) else None, 0.5 if (k, i) == (2, 4) else None) for p in (1, 2) for k in (1, 2) for i in range(6)]
+    rows = [(p, D(2020, 1, 1 + i), k, prices[k][i] + p, {0: 0.3, 3: 0.3 if k == 2 else None}.get(i), 1.0 if (k, i) == (1, 2) else None, 0.5 if (k, i) == (2, 4) else None) for p in (1, 2) for k in (1, 2) for i in range(6)]
     return pd.DataFrame(rows, columns=["portfolio", "d", "sec", "price", "target", "split", "dividend"])
 
 
-def test_corporate_actions_change_shares_and_cash():
-    book = ledger.Book(100.0, 100, {1: 301, 2: 200}, {1: 10.0, 2: 5.0})
-    book.corporate_action(1, 1.5, 1.0)
-    assert book.shares[1] == 451 and abs(book.cash - (100 + 301 * 0.9)) < 1e-9 and abs(book.last[1] - 10 / 1.5) < 1e-12
+def test_corporate_actions_count_shares_of_the_record_day():
+    book = ledger.Book(1000.0, 100, {1: 200}, {1: 15.0}, {1: 100})
+    book.corporate_action(1, 0.5, 1.0)
+    assert book.shares[1] == 250 and abs(book.cash - 1090) < 1e-9 and abs(book.last[1] - 10.0) < 1e-12
+    book.corporate_action(1, 0.01, None)  # no record day: what is held
+    assert book.shares[1] == 252
     book.corporate_action(3, 2.0, None)
     assert book.shares[3] == 0
 
@@ -159,3 +161,35 @@ def test_a_resumed_ledger_goes_on_as_if_never_stopped(spark):
         start = ledger.snapshot(rows.where("d <= '2020-01-03'"), 100_000.0, lot)
         again = sorted(map(tuple, ledger.run_ledger(rows.where("d > '2020-01-03'"), 100_000.0, lot, start).collect()))
         assert again == whole and len(whole) == 6
+
+
+def test_exact_quantiles_of_large_groups_and_frequent_values(spark, monkeypatch):
+    import numpy as np
+
+    from tessera.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "FEW", 10)
+    df = spark.range(60_000).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 2 == 0, (F.col("id") * 7919 % 60_013).cast("double")).when(F.col("id") % 3 > 0, 5.0).otherwise(F.col("id") % 11).alias("v"))
+    df = df.unionByName(spark.createDataFrame([(0, None), (3, 1.0), (3, 2.0), (4, None)], "g long, v double"))
+    ps = {"a": 0.001, "b": 0.25, "c": 0.5, "e": 0.999}
+    got = {r["g"]: tuple(r)[1:] for r in quantiles.exact_quantiles(df, ["g"], "v", ps).collect()}
+    rows = df.where("v is not null").toPandas()
+    assert set(got) == {0, 1, 3}
+    for g, x in rows.groupby("g"):
+        assert np.allclose(got[g], np.quantile(x["v"], list(ps.values())))
+    assert quantiles.exact_quantiles(df.limit(0), [], "v", ps).count() == 0
+
+
+def test_places_over_a_whole_table(spark):
+    from tessera.operators import quantiles
+
+    rows = [(i, i % 7 == 0, None if i % 5 == 0 else float(i * 37 % 50)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, late boolean, score double")
+    got = [r["id"] for r in quantiles.place_overall(df, F.col("late"), "score", ["id"], "place", 8).orderBy("place").collect()]
+    assert got == [r[0] for r in sorted(rows, key=lambda r: (r[1], r[2] is None, -(r[2] or 0), r[0]))]
+
+
+def test_last_writer_wins_and_null_keys_match(spark):
+    old = spark.createDataFrame([(1, 0, "a"), (None, 0, "b"), (2, 0, "c")], "k int, t int, v string")
+    new = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (None, 1, "z")], "k int, t int, v string")
+    assert sorted(map(tuple, joins.merge_upsert(old, new, ["k"], ["t"]).collect()), key=str) == [(1, 2, "y"), (2, 0, "c"), (None, 1, "z")]

@@ -74,8 +74,8 @@ def encode(batches, bits: int, bands: int):
             keys = band_keys(u, bits, bands)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel()))
             factor = np.abs(y).sum(1) / np.sqrt(d)
-            bits = np.packbits(y > 0, axis=1)
-            part = part.append_column("code", pa.array([x.tobytes() for x in bits], pa.binary())).append_column("factor", pa.array(factor)).append_column("keys", lists)
+            signs = np.packbits(y > 0, axis=1)
+            part = part.append_column("code", pa.array([x.tobytes() for x in signs], pa.binary())).append_column("factor", pa.array(factor)).append_column("keys", lists)
             yield from part.to_batches()
 
 

@@ -302,6 +302,7 @@ def pseudonyms(docs: DataFrame, key: bytes = KEY, counts: bool = True) -> DataFr
             if counts:
                 cols += [pa.array(n, pa.int64()), pa.array(kinds, pa.map_(pa.string(), pa.int64()))]
             yield pa.RecordBatch.from_arrays(cols, names=[*names, "n_found", "found"] if counts else names)
+            C.tidy()
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(run, kinds + (", n_found long, found map<string,long>" if counts else ""))

@@ -117,6 +117,7 @@ def features(batches):
             h = np.frombuffer(b"".join(full), np.int64).reshape(n, 2)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS), pa.int32()), pa.array(bands.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.first, n), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(count), lists, pa.array([x.tobytes() for x in short], pa.binary())], names=["doc_id", "h1", "h2", "shingles", "bands", "registers"])
+        C.tidy()
 
 
 def sets(batches):
@@ -129,6 +130,7 @@ def sets(batches):
             cut = np.r_[0, np.cumsum(np.bincount(doc, minlength=n))].tolist()
             parts = list(zip(cut[:-1], cut[1:], strict=True))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.first, n), pa.array([key[a:b].tobytes() for a, b in parts], pa.binary()), pa.array([weight[a:b].tobytes() for a, b in parts], pa.binary())], names=["doc", "keys", "counts"])
+        C.tidy()
 
 
 def probability_jaccard(a, b) -> float:
@@ -318,11 +320,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     feats = C.save(rows.mapInArrow(features, FEATURES), "features")
     known = feats.where("doc_id is not null and shingles > 0")
     reps = C.save(known.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "registers", "shingles"), "doc_id").alias("s")), "reps")
-    signed = reps.select(F.col("rep").alias("doc"), "s.registers", "s.bands")
     # buckets of one document are left out of everything that follows
-    banded = reps.select(F.col("rep").alias("doc"), "s.shingles", F.posexplode("s.bands").alias("band", "value"))
+    banded = reps.select(F.col("rep").alias("doc"), F.col("s.shingles").cast("int").alias("shingles"), F.posexplode("s.bands").alias("band", "value")).withColumn("band", F.col("band").cast("byte"))
     held = banded.groupBy("value").agg(F.count("*").alias("n"), F.min("doc").alias("center")).where("n > 1")
     banded = C.save(banded.join(held, "value"), "banded")
+    # registers are sent about for documents in these buckets only
+    met = C.save(banded.select("doc").distinct(), "met")
+    met = F.broadcast(met) if met.count() <= BROADCAST_IDS else met
+    signed = C.save(reps.select(F.col("rep").alias("doc"), "s.registers", "s.bands").join(met, "doc", "left_semi"), "signed")
     texts = rows.where("doc_id is not null")
 
     # first round: each member of a bucket of the first bands meets a part of it and its smallest document

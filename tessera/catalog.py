@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import market, research, runs, warehouse  # noqa: F401  the others add their queries to those of market
+from .plans import diagnosis, market, research, runs, warehouse  # noqa: F401  the others add their queries to those of market
 
 
 def queries() -> dict:

@@ -44,3 +44,25 @@ def log_positive(c) -> Column:
 def rounded(df, digits: int = 4):
     """Doubles rounded, so that another engine's order of summation doesn't show."""
     return df.select(*(F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+
+
+def required(c, ok) -> Column:
+    """True where ok holds; unknown counts as not met."""
+    return F.col(c).isNotNull() & F.coalesce(ok, F.lit(False)) if isinstance(c, str) else c.isNotNull() & F.coalesce(ok, F.lit(False))
+
+
+def gross_from_returns(r) -> Column:
+    """An aggregate: the product of 1 + r; null if any factor isn't positive or there is none."""
+    factor = 1 + (F.col(r) if isinstance(r, str) else r)
+    return F.when(F.min(factor) > 0, F.exp(F.sum(F.log(F.when(factor > 0, factor)))))
+
+
+def compound_annual(gross, periods, per_year: float = 252.0) -> Column:
+    g = F.col(gross) if isinstance(gross, str) else gross
+    return F.when(g > 0, F.pow(g, safe_divide(F.lit(per_year), periods)) - 1)
+
+
+def zero_safe_ratio(a, b) -> Column:
+    """a / b; where b is 0, infinity with the sign of a, or null for 0 / 0."""
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    return F.when(b != 0, safe_divide(a, b)).when(a > 0, F.lit(float("inf"))).when(a < 0, F.lit(float("-inf")))

@@ -117,9 +117,9 @@ def _(spark, sf):
     return rounded(contributions(spark, sf).join(of, "sec").groupBy("run", "n_name").agg(F.count("*").alias("names"), F.sum("contribution").alias("contribution")))
 
 
-@query("d76_common_crash_holdings", POOLS + " SELECT sec, count(*) AS runs, round(sum(contribution), 5) AS contribution FROM con WHERE contribution < 0 GROUP BY 1 HAVING count(*) >= 2")
+@query("d76_common_crash_holdings", POOLS + " SELECT sec, count(*) AS runs, round(sum(contribution), 6) AS contribution FROM con WHERE contribution < 0 GROUP BY 1 HAVING count(*) >= 2")
 def _(spark, sf):
-    return rounded(dx.common_losers(contributions(spark, sf), "run", "sec", 2), 5)
+    return rounded(dx.common_losers(contributions(spark, sf), "run", "sec", 2), 6)
 
 
 @query("d56_selected_against_pool", CANDIDATES + " SELECT d, count(*) AS pool, count(*) FILTER (rk <= 10) AS selected, round(avg(m.close) FILTER (rk <= 10) - avg(m.close), 4) AS close_gap, max(m.close) FILTER (rk <= 10) AS highest, min(m.close) FILTER (rk <= 10) AS lowest FROM cand JOIN m USING (sec, d) GROUP BY d")

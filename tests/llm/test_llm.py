@@ -95,17 +95,6 @@ def test_substring_dedup_of_nulls_and_repeats(spark):
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == recompression_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
-def test_level_family_finds_names_of_any_two_batches():
-    rng = np.random.default_rng(1)
-    batches = [np.unique(rng.integers(0, 5000, 300).astype(np.uint64)) for _ in range(13)]
-    family = suffix_dedup.LevelFamily()
-    for b in batches:
-        family.add(b)
-    n = collections.Counter(x for b in batches for x in b.tolist())
-    assert sorted(family.shared_names().tolist()) == sorted(x for x, k in n.items() if k > 1)
-    assert len(family.levels) == bin(len(batches)).count("1")
-
-
 def test_top_k_equals_sql(spark):
     c = duckdb.connect()
     c.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")

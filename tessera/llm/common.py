@@ -172,7 +172,8 @@ class Layout:
 
 def layout(docs: DataFrame, chunk_bytes: int = 4 << 20, bucket_bytes: int = 32 << 20) -> Layout:
     """Numbers of chunks and buckets for these texts: sizes grow with the square root beyond about 20 GB."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total, rows = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    total += 64 * rows  # so that many short texts aren't one chunk
     root = math.sqrt(700.0 * total)
     return Layout(max(1, math.ceil(total / max(chunk_bytes, root))), max(1, math.ceil(total / max(bucket_bytes, root))))
 

@@ -13,7 +13,8 @@ and takes further batches.
 Matches.  For shared prefixes the bytes around them travel: 26 before the suffix and 50 from it on, each content once
 a chunk.  They are sorted into a suffix array of whole suffixes and one of the reversed bytes before them; the lengths
 that neighbours have in common (bytes are compared, not fingerprints) tell which of the 27 strings around a suffix
-stand in a document of smaller id.
+stand in a document of smaller id.  A prefix that more than `hot` chunks hold might bring together too many contexts;
+there the strings themselves are dealt to tasks, each once a chunk, by 128-bit names that stand for their bytes.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ ENTRIES = "bucket long, holder long, names binary, holders binary, own boolean"
 SCANNED = "kind string, bucket long, holder long, names binary, holders binary, told binary"
 AROUND = "bucket long, holder long, own boolean, n long, contexts binary, docs binary"
 TOLD = "bucket long, holder long, told binary"
+HOT = 200  # chunks that may hold a prefix before its strings are dealt out one by one
 BATCH = 1 << 32  # holders are chunks: batch * BATCH + chunk
 
 
@@ -114,10 +116,10 @@ class Names:
         other = d != d[new][self.group] if len(s) else np.zeros(0, bool)
         self.here = np.bincount(self.group, weights=other, minlength=len(self.unique)) > 0  # in two documents of this chunk
 
-    def hits(self, shared: np.ndarray) -> np.ndarray:
-        """Which of all names are among the shared ones, given for each different name."""
-        out = np.zeros(len(self.order), bool)
-        out[self.order] = shared[self.group]
+    def all(self, each: np.ndarray) -> np.ndarray:
+        """What is given for each different name, for all names."""
+        out = np.zeros(len(self.order), each.dtype)
+        out[self.order] = each[self.group]
         return out
 
 
@@ -150,26 +152,28 @@ def level_row(bucket: int, names: np.ndarray, holders: np.ndarray) -> dict:
     return {"kind": "level", "bucket": bucket, "holder": None, "names": packed(names), "holders": packed(holders), "told": None}
 
 
-def scan(table: pa.Table) -> pa.Table:
+def scan(table: pa.Table, hot: int) -> pa.Table:
     """Merge-scan of a key range: the new batch's suffix array, and which of its names, and of the levels', are shared.
 
-    A chunk of the batch is told a byte for each of its names there, in order; a chunk of a level gets those of its
-    names that the batch has too.
+    A chunk of the batch is told a byte for each of its names there, in order: 1 shared, 2 shared by many; a chunk of a
+    level gets those of its names that the batch has too, with such bytes.
     """
     names, holders, own = merged(table)
     bucket = table["bucket"][0].as_py()
     new = np.r_[True, names[1:] != names[:-1]]
     group = np.cumsum(new) - 1
     mine = np.bincount(group, weights=own)[group]
-    shared = (np.bincount(group)[group] > 1) & (mine > 0)
+    held = np.bincount(group)[group]
+    shared = ((held > 1) & (mine > 0)).astype(np.uint8) * (1 + (held > hot).astype(np.uint8))
     out = [level_row(bucket, names[own], holders[own])]
     order = np.lexsort((names, holders))
     for a, b in runs(holders[order]):
         i = order[a:b]
         if own[i[0]]:
-            out.append({"kind": "own", "bucket": bucket, "holder": int(holders[i[0]]), "told": shared[i].astype(np.uint8).tobytes()})
+            out.append({"kind": "own", "bucket": bucket, "holder": int(holders[i[0]]), "told": shared[i].tobytes()})
         elif shared[i].any():
-            out.append({"kind": "old", "bucket": bucket, "holder": int(holders[i[0]]), "names": packed(names[i][shared[i]])})
+            i = i[shared[i] > 0]
+            out.append({"kind": "old", "bucket": bucket, "holder": int(holders[i[0]]), "names": packed(names[i]), "told": shared[i].tobytes()})
     return pa.Table.from_pylist(out, SCHEMA)
 
 
@@ -230,12 +234,25 @@ def repeated(contexts: np.ndarray, docs: np.ndarray, length: int, reach: int) ->
     return out
 
 
-def match(table: pa.Table, length: int, reach: int) -> pa.Table:
+def earlier(strings: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """1 for each named string that stands in a document of smaller id."""
+    order = np.lexsort((docs, *strings.T))
+    k, d = strings[order], docs[order]
+    new = np.r_[True, (k[1:] != k[:-1]).any(1)]
+    out = np.zeros(len(docs), np.uint8)
+    out[order] = d[new][np.cumsum(new) - 1] < d
+    return out
+
+
+def match(table: pa.Table, length: int, reach: int, buckets: int) -> pa.Table:
+    """Answers for the chunks of the batch: on contexts or, in buckets from `buckets` on, on strings."""
     rows = table.to_pylist()
-    width = reach + length + 2
-    contexts = np.concatenate([np.frombuffer(zstandard.decompress(r["contexts"]), np.uint8).reshape(-1, width) for r in rows])
+    raw = [zstandard.decompress(r["contexts"]) for r in rows]
     docs = np.concatenate([unpacked(r["docs"], np.int64) for r in rows])
-    told = repeated(contexts, docs, length, reach)
+    if rows[0]["bucket"] >= buckets:
+        told = earlier(np.concatenate([np.frombuffer(x, np.uint64).reshape(-1, 2) for x in raw]), docs)
+    else:
+        told = repeated(np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, reach + length + 2) for x in raw]), docs, length, reach)
     ends = np.cumsum([r["n"] for r in rows])
     own = [(r, told[e - r["n"] : e]) for r, e in zip(rows, ends.tolist(), strict=True) if r["own"]]
     return pa.table({"bucket": pa.array([r["bucket"] for r, _ in own], pa.int64()), "holder": pa.array([r["holder"] for r, _ in own], pa.int64()), "told": pa.array([x.tobytes() for _, x in own], pa.binary())})
@@ -253,14 +270,36 @@ class Chunk:
         self.known = Names(self.names, self.ids[self.rows])
 
     def told(self, replies: pa.Table) -> np.ndarray:
-        """Which indexed suffixes are shared, after the scan's answers."""
+        """For each indexed suffix 1 if it is shared, 2 if by many, after the scan's answers."""
         flags = b"".join(t for _, t in sorted(zip(replies["bucket"].to_pylist(), replies["told"].to_pylist(), strict=True)))
-        return self.known.hits(np.frombuffer(flags, bool) | self.known.here)
+        return self.known.all(np.maximum(np.frombuffer(flags, np.uint8), self.known.here))
+
+    def picked(self, hit: np.ndarray) -> list[np.ndarray]:
+        cut = np.cumsum([0, *(len(p.at) for p in self.parts)])
+        return [np.flatnonzero(hit[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+    def strings(self, hit: np.ndarray, buckets: int):
+        """Starts of the strings around these suffixes, and their names, each once with its least document, by bucket."""
+        starts, names, docs = [], [], []
+        for p, i in zip(self.parts, self.picked(hit), strict=True):
+            _, s = C.expand(p.at[i] - p.before[i], p.at[i] - np.maximum(p.length - p.behind[i], 0))
+            s = np.unique(s).astype(np.int64)
+            starts.append(s)
+            names.append(np.stack([C.ranges64(p.view, s, s + p.length, seed) for seed in (7, 6)], 1))
+            docs.append(self.ids[np.searchsorted(p.block.off, s, "right") - 1 + p.block.first])
+        if not hit.any():
+            return starts, None
+        names, docs = np.concatenate(names), np.concatenate(docs)
+        order = np.lexsort((docs, names[:, 1], names[:, 0]))
+        k, d = names[order], docs[order]
+        new = np.r_[True, (k[1:] != k[:-1]).any(1)]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.cumsum(new) - 1
+        return starts, (k[new], d[new], bucket_of(k[new][:, 0], buckets) + buckets, rank, docs)
 
     def around(self, hit: np.ndarray, buckets: int):
         """Contexts of shared suffixes, each once with its least document, by bucket; and which every suffix has."""
-        cut = np.cumsum([0, *(len(p.at) for p in self.parts)])
-        picks = [np.flatnonzero(hit[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        picks = self.picked(hit)
         if not hit.any():
             return picks, None
         contexts = np.concatenate([p.contexts(i) for p, i in zip(self.parts, picks, strict=True)])
@@ -276,6 +315,10 @@ class Chunk:
         return picks, (contexts[first[order]], least[order], buckets_of[first[order]], rank[of], docs)
 
 
+def asks(holder: int, chunk: Chunk, codes: np.ndarray, buckets: int, own: bool) -> pa.Table:
+    return pa.concat_tables([asked(holder, chunk.around(codes == 1, buckets), own), asked(holder, chunk.strings(codes == 2, buckets), own)])
+
+
 def asked(holder: int, got, own: bool) -> pa.Table:
     contexts, least, bucket = got[1][:3] if got[1] else ([], [], np.zeros(0, np.int64))
     spans = runs(bucket)
@@ -289,29 +332,37 @@ def asked(holder: int, got, own: bool) -> pa.Table:
     })
 
 
-def results(table: pa.Table, chunk: Chunk, got, answers: pa.Table, length: int, with_text: bool) -> pa.Table:
-    """Rows of OUT for the documents of a chunk, from its shared contexts and what was told about them."""
-    picks, of = got
-    span = np.zeros((0, 2), np.int64)
+def results(table: pa.Table, chunk: Chunk, codes: np.ndarray, answers: pa.Table, length: int, buckets: int, with_text: bool) -> pa.Table:
+    """Rows of OUT for the documents of a chunk, from what was told about its shared suffixes."""
+    rows = sorted(zip(answers["bucket"].to_pylist(), answers["told"].to_pylist(), strict=True))
+    told = lambda some: np.frombuffer(b"".join(t for k, t in rows if some(k)), np.uint8)
+    edges = [np.zeros(len(p.block.data) + 1, np.int32) for p in chunk.parts]
+    picks, of = chunk.around(codes == 1, buckets)
     if of:
         _, least, _, which, docs = of
-        told = np.frombuffer(b"".join(t for _, t in sorted(zip(answers["bucket"].to_pylist(), answers["told"].to_pylist(), strict=True))), np.uint8).reshape(-1, 2)
-        span = told[which].astype(np.int64)
+        span = told(lambda k: k < buckets).reshape(-1, 2)[which].astype(np.int64)
         # a context of a smaller document of this chunk repeats as a whole
         later = docs > least[which]
         behind = np.concatenate([p.behind[i] for p, i in zip(chunk.parts, picks, strict=True)])
         before = np.concatenate([p.before[i] for p, i in zip(chunk.parts, picks, strict=True)])
         span[later] = np.stack([np.maximum(length - behind, 0), before], 1)[later]
-    n_bytes, n_removed, n_spans, sha, kept, at = [], [], [], [], [], 0
-    for p, i in zip(chunk.parts, picks, strict=True):
-        few, most = span[at : at + len(i)].T if len(span) else np.zeros((2, 0), np.int64)
-        at += len(i)
-        hit = few <= most
-        edge = np.zeros(len(p.block.data) + 1, np.int32)
-        np.add.at(edge, p.at[i[hit]] - most[hit], 1)
-        np.add.at(edge, p.at[i[hit]] - few[hit] + length, -1)
-        cover = np.cumsum(edge[:-1]) > 0
-        b = p.block
+        at = np.cumsum([0, *(len(i) for i in picks)])
+        for p, i, edge, a, b in zip(chunk.parts, picks, edges, at[:-1], at[1:], strict=True):
+            few, most = span[a:b].T
+            hit = few <= most
+            np.add.at(edge, p.at[i[hit]] - most[hit], 1)
+            np.add.at(edge, p.at[i[hit]] - few[hit] + length, -1)
+    starts, of = chunk.strings(codes == 2, buckets)
+    if of:
+        _, least, _, which, docs = of
+        gone = (told(lambda k: k >= buckets)[which] > 0) | (docs > least[which])
+        at = np.cumsum([0, *(len(x) for x in starts)])
+        for x, edge, a, b in zip(starts, edges, at[:-1], at[1:], strict=True):
+            np.add.at(edge, x[gone[a:b]], 1)
+            np.add.at(edge, x[gone[a:b]] + length, -1)
+    n_bytes, n_removed, n_spans, sha, kept = [], [], [], [], []
+    for p, edge in zip(chunk.parts, edges, strict=True):
+        cover, b = np.cumsum(edge[:-1]) > 0, p.block
         for a, e in zip(b.off[:-1].tolist(), b.off[1:].tolist(), strict=True):
             gone = cover[a:e]
             k = int(gone.sum())
@@ -328,10 +379,10 @@ def results(table: pa.Table, chunk: Chunk, got, answers: pa.Table, length: int,
 class SuffixFamily:
     """A logarithmic family of suffix arrays in a folder that all executors see; batches of documents are added to it."""
 
-    def __init__(self, spark: SparkSession, folder: str, length: int = 50, prefix: int = 24) -> None:
+    def __init__(self, spark: SparkSession, folder: str, length: int = 50, prefix: int = 24, hot: int = HOT) -> None:
         if not 8 <= prefix < length <= 254:
             raise ValueError("prefix must be at least 8 and less than length, which may be 254")
-        self.spark, self.folder, self.length, self.prefix = spark, folder, length, prefix
+        self.spark, self.folder, self.length, self.prefix, self.hot = spark, folder, length, prefix, hot
         self.state: dict = {"version": 0, "buckets": 0, "batches": [], "levels": []}
         try:
             known = spark.read.text(f"{folder}/state-*").orderBy(F.desc(F.get_json_object("value", "$.version").cast("long"))).first()
@@ -352,7 +403,7 @@ class SuffixFamily:
 
         Earlier batches are known by the table at `path`, or by a copy in the folder; their results stand.
         """
-        length, prefix, reach = self.length, self.prefix, self.length - self.prefix
+        length, prefix, reach, hot = self.length, self.prefix, self.length - self.prefix, self.hot
         batch = len(self.state["batches"])
         size = C.layout(docs, bucket_bytes=24 << 20)
         buckets = self.state["buckets"] = self.state["buckets"] or size.buckets
@@ -368,33 +419,36 @@ class SuffixFamily:
 
         def step2(key, table, replies):
             chunk = Chunk(table, length, prefix)
-            return asked(key[0].as_py(), chunk.around(chunk.told(replies), buckets), True)
+            return asks(key[0].as_py(), chunk, chunk.told(replies), buckets, True)
 
         def of_old(key, table, replies):
             chunk = Chunk(table, length, prefix)
             shared = np.concatenate([unpacked(x) for x in replies["names"].to_pylist()])
-            return asked(key[0].as_py(), chunk.around(np.isin(chunk.names, shared), buckets), False)
+            flags = np.frombuffer(b"".join(replies["told"].to_pylist()), np.uint8)
+            each = np.zeros(len(chunk.known.unique), np.uint8)
+            each[np.searchsorted(chunk.known.unique, shared)] = flags
+            return asks(key[0].as_py(), chunk, chunk.known.all(each), buckets, False)
 
         def last(key, table, replies, answers):
             chunk = Chunk(table, length, prefix)
-            return results(table, chunk, chunk.around(chunk.told(replies), buckets), answers, length, with_text)
+            return results(table, chunk, chunk.told(replies), answers, length, buckets, with_text)
 
         entries = base.groupBy("holder").applyInArrow(step1, ENTRIES)
         for level in self.state["levels"]:
             entries = entries.unionByName(self.level(level["path"]))
-        scanned = self.write(entries.groupBy("bucket").applyInArrow(scan, SCANNED), "level")
+        scanned = self.write(entries.groupBy("bucket").applyInArrow(lambda t: scan(t, hot), SCANNED), "level")
         found = self.spark.read.parquet(scanned)
         own = found.where("kind = 'own'").select("bucket", "holder", "told")
         around = base.groupBy("holder").cogroup(own.groupBy("holder")).applyInArrow(step2, AROUND)
         if self.state["levels"]:
-            old = found.where("kind = 'old'").select("holder", "names")
+            old = found.where("kind = 'old'").select("holder", "names", "told")
             known = None
             for k, b in enumerate(self.state["batches"]):
                 rows = held(self.spark.read.parquet(b["path"]), k, b["chunks"])
                 known = rows if known is None else known.unionByName(rows)
             wanted = known.join(old.select("holder").distinct(), "holder", "left_semi")
             around = around.unionByName(wanted.groupBy("holder").cogroup(old.groupBy("holder")).applyInArrow(of_old, AROUND))
-        matched = around.groupBy("bucket").applyInArrow(lambda t: match(t, length, reach), TOLD)
+        matched = around.groupBy("bucket").applyInArrow(lambda t: match(t, length, reach, buckets), TOLD)
         both = own.withColumn("step", F.lit(1)).unionByName(matched.withColumn("step", F.lit(2)))
 
         def split(key, table, replies):
@@ -417,7 +471,7 @@ class SuffixFamily:
         self.spark.createDataFrame([(json.dumps(self.state),)], "value string").coalesce(1).write.text(f"{self.folder}/state-{self.state['version']:06d}")
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, prefix: int = 24, with_text: bool = False, path: str | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, prefix: int = 24, with_text: bool = False, path: str | None = None, hot: int = HOT) -> DataFrame:
     """Remove every byte covered by a string of `length` bytes that also starts in a document of smaller doc_id.
 
     Returns one row for each row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the
@@ -426,7 +480,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, prefix: int = 24, with_tex
     gives none.  The rows are the first batch of a new family in the shared folder.
     """
     folder = f"{C.shared_dir(docs.sparkSession)}/suffix-family-{uuid.uuid4().hex}"
-    return SuffixFamily(docs.sparkSession, folder, length, prefix).add(docs, path, with_text)
+    return SuffixFamily(docs.sparkSession, folder, length, prefix, hot).add(docs, path, with_text)
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -372,11 +372,20 @@ def test_many_empty_texts(spark):
     assert recompression_dedup.remove_repeats(df).where("n_removed = 0").count() == 3000
 
 
-def test_a_family_that_grows_equals_all_at_once(spark, tmp_path):
+def test_frequent_prefixes_equal_brute_force(spark, monkeypatch):
+    rows = odd_texts()
+    monkeypatch.setattr(common, "layout", lambda docs, **_: common.Layout(7, 3))
+    for hot in (1, 3):
+        got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(docs(spark, rows), hot=hot).collect()}
+        assert got == bytes_brute(rows)
+
+
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 1])
+def test_a_family_that_grows_equals_all_at_once(spark, tmp_path, hot):
     rows, folder = odd_texts(), f"file:{tmp_path}/family"
     want, got, ranks = bytes_brute(rows), {}, []
     for a in range(0, 110, 22):  # opened anew each time
-        family = suffix_dedup.SuffixFamily(spark, folder)
+        family = suffix_dedup.SuffixFamily(spark, folder, hot=hot)
         part = family.add(docs(spark, [r for r in rows if a <= r[0] < a + 22]))
         got |= {r.doc_id: tuple(r)[1:] for r in part.collect()}
         ranks.append([x["rank"] for x in family.state["levels"]])

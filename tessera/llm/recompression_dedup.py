@@ -12,7 +12,8 @@ symbol that occurs once is unique and done with.
 
 Verifying.  For a repeated symbol the words of all windows around it are compared first (by 128 bits beside the
 name), which settles copies; windows whose surroundings differ are compared themselves (by 128 bits), and so are the
-few windows, inside long runs, that hold no whole context.
+few windows, inside long runs, that hold no whole context, and those of a symbol that more than `hot` chunks hold:
+its surroundings might be too many for one task.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from . import common as C
 
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 ROUNDS = 2
+HOT = 200  # chunks that may hold a symbol before its windows are dealt out one by one
 RUN, PAIR, NAME, WIDE, WINDOW, *CLASS = (np.uint64(x) for x in range(11, 32))
 
 
@@ -188,12 +190,12 @@ def chunk_state(docs: pa.Table, replies: pa.Table | None, length: int, rounds: i
     if upto == 1:
         return s[new]
     group = np.cumsum(new) - 1
-    shared = C.told(replies, 1).astype(bool) | (np.bincount(group, minlength=int(new.sum())) > 1) if len(s) else np.zeros(0, bool)
-    hit = np.zeros(len(names), bool)
+    codes = np.zeros(len(names), np.uint8)  # 1 repeated, 2 in very many chunks
     if len(s):
-        hit[order] = shared[group]
+        codes[order] = np.maximum(C.told(replies, 1), np.bincount(group) > 1)[group]
     cut = np.cumsum([0, *(len(p.name) for p in parts)])
-    picks = [np.flatnonzero(hit[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    picks = [np.flatnonzero(codes[a:b] == 1) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    hots = [np.flatnonzero(codes[a:b] == 2) for a, b in zip(cut[:-1], cut[1:], strict=True)]
     key = np.concatenate([p.name[i] for p, i in zip(parts, picks, strict=True)])
     ctx = np.concatenate([p.around(i) for p, i in zip(parts, picks, strict=True)])
     row = np.concatenate([p.row[i] for p, i in zip(parts, picks, strict=True)])
@@ -209,8 +211,8 @@ def chunk_state(docs: pa.Table, replies: pa.Table | None, length: int, rounds: i
     open_ &= ~copied
     cut = np.cumsum([0, *(len(i) for i in picks)])
     lists = []
-    for p, i, a, b in zip(parts, picks, cut[:-1], cut[1:], strict=True):
-        j = i[open_[a:b]]
+    for p, i, hot, a, b in zip(parts, picks, hots, cut[:-1], cut[1:], strict=True):
+        j = np.r_[i[open_[a:b]], hot]
         _, start = C.expand(p.first[j], p.last[j])
         start = np.union1d(start, p.bare).astype(np.int64)
         lists.append((start, p.doc[start] + p.block.first if len(start) else start, p.windows(start)))
@@ -238,7 +240,7 @@ def chunk_state(docs: pa.Table, replies: pa.Table | None, length: int, rounds: i
     return parts, covers
 
 
-def remove_repeats(docs: DataFrame, length: int = 20, rounds: int = ROUNDS, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 20, rounds: int = ROUNDS, with_text: bool = False, hot: int = HOT) -> DataFrame:
     """Remove every word covered by a window of `length` words that also starts earlier.
 
     Earlier: in a document of smaller doc_id, or in the same document before.  Words are `[^\\x20\\x09-\\x0D]+`.
@@ -286,10 +288,10 @@ def remove_repeats(docs: DataFrame, length: int = 20, rounds: int = ROUNDS, with
         keys = np.concatenate(C.asked(table, "keys", "<u8"))
         order = np.argsort(keys, kind="stable")
         k = keys[order]
-        twice = np.zeros(len(k) + 1, bool)
-        twice[1:-1] = k[1:] == k[:-1]
+        group = np.cumsum(np.r_[True, k[1:] != k[:-1]]) - 1
+        held = np.bincount(group)[group]  # chunks, as each sends a name once
         flags = np.zeros(len(k), np.uint8)
-        flags[order] = twice[1:] | twice[:-1]
+        flags[order] = (held > 1).astype(np.uint8) + (held > hot)
         return C.tell(table, flags)
 
     pair = lambda replies, f, out: base.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(f, out)

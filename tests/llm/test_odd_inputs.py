@@ -378,6 +378,8 @@ def test_frequent_prefixes_equal_brute_force(spark, monkeypatch):
     for hot in (1, 3):
         got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(docs(spark, rows), hot=hot).collect()}
         assert got == bytes_brute(rows)
+        got = {r.doc_id: tuple(r)[1:] for r in recompression_dedup.remove_repeats(docs(spark, rows), hot=hot).collect()}
+        assert got == words_brute(rows)
 
 
 @pytest.mark.parametrize("hot", [suffix_dedup.HOT, 1])

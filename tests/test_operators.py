@@ -193,3 +193,81 @@ def test_last_writer_wins_and_null_keys_match(spark):
     old = spark.createDataFrame([(1, 0, "a"), (None, 0, "b"), (2, 0, "c")], "k int, t int, v string")
     new = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (None, 1, "z")], "k int, t int, v string")
     assert sorted(map(tuple, joins.merge_upsert(old, new, ["k"], ["t"]).collect()), key=str) == [(1, 2, "y"), (2, 0, "c"), (None, 1, "z")]
+
+
+def test_known_lot_decisions():
+    below = ledger.Book(10_000.0, 100, {}, {1: 10.0})
+    assert below.rebalance({1: 10.0}, {1: 0.0999}) == 0 and below.cash == 10_000.0
+    scaled = ledger.Book(4_000.0, 100, {}, {1: 50.0, 2: 50.0})
+    assert scaled.rebalance({1: 50.0, 2: 50.0}, {1: 2.25, 2: 2.25}) == 0 and scaled.cash == 4_000.0
+    dropped = ledger.Book(10_000.0, 100, {}, {1: 50.0, 2: 50.0})
+    assert dropped.rebalance({1: 50.0, 2: 50.0}, {1: 0.9, 2: 0.9}) == 1 and dropped.shares == {1: 100}
+    whole = ledger.Book(10_000.0, 100, {}, {1: 23.0})
+    whole.rebalance({1: 23.0}, {1: 1.0})
+    assert whole.shares == {1: 400} and abs(10_000 - whole.cash - 400 * 23 * 1.0005 * 1.0001) < 1e-6
+
+
+def test_performance_of_a_known_nav(spark):
+    from tessera.operators import diagnosis
+
+    rows = [(1, D(2021, 1, 1), 1.0), (1, D(2021, 1, 2), 1.1), (1, D(2021, 1, 3), 1.045), (2, D(2021, 1, 1), 1.0), (2, D(2021, 1, 2), 1.2), (2, D(2021, 1, 3), 1.2), (2, D(2021, 1, 4), 0.9), (3, D(2021, 1, 1), 1.0)]
+    df = spark.createDataFrame(rows, "k int, d date, nav double")
+    got = {r["k"]: r for r in diagnosis.performance(df, "k", "d", "nav").collect()}
+    assert got[1]["periods"] == 2 and abs(got[1]["total"] - 0.045) < 1e-12 and (got[1]["peak"], got[1]["trough"]) == (D(2021, 1, 2), D(2021, 1, 3))
+    assert abs(got[1]["drawdown"] + 0.05) < 1e-12 and abs(got[1]["calmar"] - got[1]["cagr"] / 0.05) < 1e-9 and got[3]["vol"] is None
+    first = {r["k"]: r["peak"] for r in diagnosis.performance(df, "k", "d", "nav", peak="first").collect()}
+    assert got[2]["peak"] == D(2021, 1, 3) and first[2] == D(2021, 1, 2)
+
+
+def test_reason_policies(spark):
+    from tessera.operators import diagnosis
+
+    df = spark.createDataFrame([(1, 1, "a;b"), (1, 2, ""), (1, 3, ""), (2, 4, "a"), (2, 5, "b"), (2, 6, "z")], "m int, k int, reasons string")
+    run = lambda p: {r["k"]: (r["groups"], r["blocked"]) for r in diagnosis.reason_policy(df, "m", "reasons", {"a": "shape", "b": "tail"}, p, 0.6).collect()}
+    assert run("none") == {1: ("shape;tail", False), 2: ("", False), 3: ("", False), 4: ("shape", False), 5: ("tail", False), 6: ("other", False)}
+    full = run("full")
+    assert full[1][1] and not full[2][1] and not any(full[k][1] for k in (4, 5, 6))  # all of month 2 would be: nothing is
+    shape = run("shape_only")
+    assert shape[1][1] and shape[4][1] and not shape[5][1]
+
+
+def test_schema_repair_and_window_refresh(spark, tmp_path):
+    from tessera.operators import warehouse
+
+    at = f"file:{tmp_path}/t"
+    spark.createDataFrame([(1, 2.0, "x"), (2, 3.0, None)], "k long, v double, s string").write.parquet(at)
+    warehouse.repair_schema(spark, at, {"k": "int", "v": "long", "note": "string"}, f"{at}-fixed")
+    fixed = spark.read.parquet(f"{at}-fixed")
+    assert fixed.dtypes == [("k", "int"), ("v", "bigint"), ("note", "string")] and sorted(map(tuple, fixed.collect())) == [(1, 2, None), (2, 3, None)]
+    spark.createDataFrame([(1, 2.5)], "k long, v double").write.parquet(f"{at}-lossy")
+    try:
+        warehouse.repair_schema(spark, f"{at}-lossy", {"k": "int", "v": "long"}, f"{at}-never")
+        raise AssertionError("a lossy cast went through")
+    except ValueError as e:
+        assert "('v', 1)" in str(e)
+    same = warehouse.manifest(spark.read.parquet(at).orderBy("k"), "t").first()
+    assert same == warehouse.manifest(spark.read.parquet(at).orderBy(F.desc("k")), "t").first() and same["rows"] == 2
+    assert same["sha256"] != warehouse.manifest(spark.read.parquet(at).limit(1), "t").first()["sha256"]
+
+
+def test_pit_features_prefer_the_latest_period(spark):
+    from tessera.operators import warehouse
+
+    facts = spark.createDataFrame([("s", 1, D(2020, 3, 1), D(2020, 4, 1), 1, 10.0), ("s", 1, D(2021, 3, 1), D(2021, 4, 1), 2, 15.0), ("s", 1, D(2020, 3, 1), D(2021, 5, 1), 3, 12.0), ("s", 1, D(2022, 3, 1), D(2022, 4, 1), 4, 99.0)], "source string, c int, period date, ann date, key int, value double")
+    grid = spark.createDataFrame([(1, D(2021, 4, 15)), (1, D(2021, 6, 1)), (2, D(2021, 6, 1))], "c int, d date")
+    got = {(r["c"], r["d"]): (r["s_value"], r["s_age"], r["s_growth"]) for r in warehouse.pit_features(grid, facts, ["s"]).collect()}
+    # a later restatement of an older period doesn't win, but is what growth is measured against once known
+    assert got == {(1, D(2021, 4, 15)): (15.0, 14, 0.5), (1, D(2021, 6, 1)): (15.0, 61, 0.25), (2, D(2021, 6, 1)): (None, None, None)}
+
+
+def test_one_to_one_and_rolling_drawdown(spark):
+    from tessera.operators import diagnosis, warehouse
+
+    a = spark.createDataFrame([(1, 2), (1, 3)], "k int, v int")
+    try:
+        warehouse.one_to_one(a, a, ["k"])
+        raise AssertionError("repeated keys went through")
+    except ValueError:
+        pass
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate([1.0, 2.0, 1.0, 1.5, 3.0])], "k int, d int, nav double")
+    assert [r["x"] for r in diagnosis.rolling_drawdown(df, "k", "d", "nav", 3, "x").orderBy("d").collect()] == [None, None, -0.5, -0.5, 0.0]

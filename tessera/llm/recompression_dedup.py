@@ -30,7 +30,7 @@ from . import common as C
 
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 ROUNDS = 2
-HOT = 200  # chunks that may hold a symbol before its windows are dealt out one by one
+HOT = 1000  # chunks that may hold a symbol before its windows are dealt out one by one; a quarter of them, if more
 RUN, PAIR, NAME, WIDE, WINDOW, *CLASS = (np.uint64(x) for x in range(11, 32))
 
 
@@ -240,7 +240,7 @@ def chunk_state(docs: pa.Table, replies: pa.Table | None, length: int, rounds: i
     return parts, covers
 
 
-def remove_repeats(docs: DataFrame, length: int = 20, rounds: int = ROUNDS, with_text: bool = False, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 20, rounds: int = ROUNDS, with_text: bool = False, hot: int | None = None) -> DataFrame:
     """Remove every word covered by a window of `length` words that also starts earlier.
 
     Earlier: in a document of smaller doc_id, or in the same document before.  Words are `[^\\x20\\x09-\\x0D]+`.
@@ -252,6 +252,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, rounds: int = ROUNDS, with
     size = C.layout(docs)
     base = C.in_chunks(docs, size.chunks)
     buckets = size.buckets
+    most = hot if hot is not None else max(HOT, size.chunks // 4)
     none = np.zeros(0, np.uint64)
 
     def step1(key, table):
@@ -291,7 +292,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, rounds: int = ROUNDS, with
         group = np.cumsum(np.r_[True, k[1:] != k[:-1]]) - 1
         held = np.bincount(group)[group]  # chunks, as each sends a name once
         flags = np.zeros(len(k), np.uint8)
-        flags[order] = (held > 1).astype(np.uint8) + (held > hot)
+        flags[order] = (held > 1).astype(np.uint8) + (held > most)
         return C.tell(table, flags)
 
     pair = lambda replies, f, out: base.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(f, out)

@@ -37,7 +37,7 @@ ENTRIES = "bucket long, holder long, names binary, holders binary, own boolean"
 SCANNED = "kind string, bucket long, holder long, names binary, holders binary, told binary"
 AROUND = "bucket long, holder long, own boolean, n long, contexts binary, docs binary"
 TOLD = "bucket long, holder long, told binary"
-HOT = 200  # chunks that may hold a prefix before its strings are dealt out one by one
+HOT = 1000  # chunks that may hold a prefix before its strings are dealt out one by one; a quarter of them, if more
 BATCH = 1 << 32  # holders are chunks: batch * BATCH + chunk
 
 
@@ -379,7 +379,7 @@ def results(table: pa.Table, chunk: Chunk, codes: np.ndarray, answers: pa.Table,
 class SuffixFamily:
     """A logarithmic family of suffix arrays in a folder that all executors see; batches of documents are added to it."""
 
-    def __init__(self, spark: SparkSession, folder: str, length: int = 50, prefix: int = 24, hot: int = HOT) -> None:
+    def __init__(self, spark: SparkSession, folder: str, length: int = 50, prefix: int = 24, hot: int | None = None) -> None:
         if not 8 <= prefix < length <= 254:
             raise ValueError("prefix must be at least 8 and less than length, which may be 254")
         self.spark, self.folder, self.length, self.prefix, self.hot = spark, folder, length, prefix, hot
@@ -403,10 +403,11 @@ class SuffixFamily:
 
         Earlier batches are known by the table at `path`, or by a copy in the folder; their results stand.
         """
-        length, prefix, reach, hot = self.length, self.prefix, self.length - self.prefix, self.hot
+        length, prefix, reach = self.length, self.prefix, self.length - self.prefix
         batch = len(self.state["batches"])
         size = C.layout(docs, bucket_bytes=24 << 20)
         buckets = self.state["buckets"] = self.state["buckets"] or size.buckets
+        hot = self.hot if self.hot is not None else max(HOT, size.chunks // 4)
         path = path or self.write(docs.select("doc_id", "text"), "documents")
         held = lambda docs, batch, chunks: C.in_chunks(docs, chunks).withColumn("holder", F.col("chunk") + batch * BATCH).drop("chunk")
         base = held(docs, batch, size.chunks)
@@ -471,7 +472,7 @@ class SuffixFamily:
         self.spark.createDataFrame([(json.dumps(self.state),)], "value string").coalesce(1).write.text(f"{self.folder}/state-{self.state['version']:06d}")
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, prefix: int = 24, with_text: bool = False, path: str | None = None, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, prefix: int = 24, with_text: bool = False, path: str | None = None, hot: int | None = None) -> DataFrame:
     """Remove every byte covered by a string of `length` bytes that also starts in a document of smaller doc_id.
 
     Returns one row for each row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the

@@ -132,14 +132,16 @@ def rivals(asked: DataFrame, shards: np.ndarray, low: np.ndarray, high: np.ndarr
     """asked once for each shard but its own whose bounds together reach theta."""
 
     def run(batches):
+        rows = max(1, (1 << 20) // len(shards))  # of bounds by shard that are held at once
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            q, theta, home = matrix(table["terms"], low.shape[1]), table["theta"].to_numpy(), table["shard"].to_numpy()
-            most = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
-            of, to = np.nonzero((most + np.abs(most) * 1e-9 >= theta[:, None]) & (shards[None] != home[:, None]))
-            for i in range(0, len(of), 1 << 14):
-                part = table.take(pa.array(of[i : i + (1 << 14)]))
-                yield from part.set_column(part.column_names.index("shard"), "shard", pa.array(shards[to[i : i + (1 << 14)]])).to_batches()
+            for at in range(0, batch.num_rows, rows):
+                table = pa.Table.from_batches([batch.slice(at, rows)])
+                q, theta, home = matrix(table["terms"], low.shape[1]), table["theta"].to_numpy(), table["shard"].to_numpy()
+                most = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+                of, to = np.nonzero((most + np.abs(most) * 1e-9 >= theta[:, None]) & (shards[None] != home[:, None]))
+                for i in range(0, len(of), 1 << 14):
+                    part = table.take(pa.array(of[i : i + (1 << 14)]))
+                    yield from part.set_column(part.column_names.index("shard"), "shard", pa.array(shards[to[i : i + (1 << 14)]])).to_batches()
 
     return asked.mapInArrow(run, asked.schema)
 

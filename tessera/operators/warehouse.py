@@ -155,3 +155,12 @@ def json_patch(col: str, changes: dict[str, str], remove: tuple[str, ...] = ())
     fields = F.from_json(col, "map<string,string>")
     kept = F.map_filter(fields, lambda k, _: ~k.isin(*changes, *remove))
     return F.to_json(F.map_concat(kept, F.create_map(*(F.lit(x) for kv in changes.items() for x in kv))))
+
+
+def canonical_dividends(events: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each of keys from event rows (cash, bonus, conversion, record, announced, id): amounts are added as
+    decimals, unknown ones counting nothing; the last record day stands; announcements are listed, each once, in order.
+    """
+    amount = lambda c: F.sum(F.coalesce(F.col(c).try_cast("decimal(18,4)"), F.lit(0).cast("decimal(18,4)"))).alias(c)
+    lead = F.min_by("id", F.struct("announced", "id")).alias("first_id")
+    return events.groupBy(*keys).agg(amount("cash"), amount("bonus"), amount("conversion"), F.count("*").alias("events"), F.max("record").alias("record"), F.array_join(F.sort_array(F.collect_set(F.col("announced").cast("string"))), ";").alias("announced"), lead)

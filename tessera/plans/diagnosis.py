@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from ..functions.scalar import compound_annual, gross_from_returns, log_positive, required, rounded, safe_corr, safe_divide, zero_safe_ratio
 from ..operators import diagnosis as dx
 from ..operators import panel, runs
+from ..operators import warehouse as wh
 from ..sources.tables import table
 from .market import BARS, CANDIDATES, NAV, RANKED, bars, candidates, navs, query, scored
 from .runs import FEATURES, model_rows
+from .warehouse import FIVE, five_masks
 
 BENCH = NAV + """, x AS (SELECT sec, d, nav, nav / lag(nav) OVER (PARTITION BY sec ORDER BY d) - 1 AS r, max(nav) OVER (PARTITION BY sec ORDER BY d) AS peak FROM nav), y AS (SELECT *, round(avg(r) OVER (PARTITION BY d), 8) AS bench, nav / peak - 1 AS dd FROM x)"""
 
@@ -269,3 +271,54 @@ def _(spark, sf):
     alert = lambda when, name, n: F.when(when, F.struct(F.lit(name).alias("alert"), n.cast("long").alias("n")))
     found = F.array(alert(F.col("failed") > 0, "failed", F.col("failed")), alert(F.col("last") < F.lit("2024-01-28").cast("timestamp_ntz"), "silent", F.col("n")), alert((F.col("bought") == 0) & (F.col("seen") > 0), "missing downstream", F.lit(0)))
     return u.select("user_id", F.inline(F.array_compact(found))).select("alert", "user_id", "n")
+
+
+@query(
+    "d9_canonical_dividends",
+    "SELECT o_custkey AS c, date_trunc('quarter', o_orderdate)::DATE AS period, sum(o_totalprice::DECIMAL(18, 4))::DOUBLE AS cash, sum(CASE WHEN o_orderstatus = 'F' THEN 0.5 ELSE 0 END)::DOUBLE AS bonus, 0::DOUBLE AS conversion, count(*) AS events, max(o_orderdate::DATE) AS record, string_agg(DISTINCT o_orderdate::DATE::VARCHAR, ';' ORDER BY o_orderdate::DATE::VARCHAR) AS announced, arg_min(o_orderkey, struct_pack(a := o_orderdate, k := o_orderkey)) AS first_id FROM orders GROUP BY 1, 2",
+)
+def _(spark, sf):
+    d = F.to_date("o_orderdate")
+    e = table(spark, sf, "orders").select(F.col("o_custkey").alias("c"), F.trunc("o_orderdate", "quarter").alias("period"), F.col("o_totalprice").cast("string").alias("cash"), F.when(F.col("o_orderstatus") == "F", "0.5").alias("bonus"), F.lit(None).cast("string").alias("conversion"), d.alias("record"), d.alias("announced"), F.col("o_orderkey").alias("id"))
+    x = wh.canonical_dividends(e, ["c", "period"])
+    return x.withColumns({k: F.col(k).cast("double") for k in ("cash", "bonus", "conversion")})
+
+
+@query(
+    "d31_guarded_candidates",
+    f"WITH {BARS}, {FIVE}, g AS (SELECT m.*, close / lag(close, 5) OVER (PARTITION BY m.sec ORDER BY m.d) - 1 AS ret_5 FROM m JOIN bars b USING (sec, d)), h AS (SELECT sec, d, b.close, concat_ws(';', CASE WHEN NOT pass_limit THEN 'limit' END, CASE WHEN NOT pass_board THEN 'board' END, CASE WHEN ret_5 > 0.5 THEN 'run-up' END) AS guards FROM g JOIN bars b USING (sec, d) WHERE pass_age AND pass_liquid) SELECT d, sec, guards, CASE WHEN guards = '' THEN row_number() OVER (PARTITION BY d, guards = '' ORDER BY close DESC, sec) END AS rk FROM h",
+)
+def _(spark, sf):
+    """Candidates of the universe with what guards against them; only those without are ranked."""
+    x = five_masks(spark, sf).withColumn("ret_5", safe_divide("close", F.lag("close", 5).over(Window.partitionBy("sec").orderBy("d"))) - 1)
+    why = F.array_compact(F.array(F.when(~F.col("pass_limit"), "limit"), F.when(~F.col("pass_board"), "board"), F.when(F.col("ret_5") > 0.5, "run-up")))
+    x = x.where("pass_age and pass_liquid").withColumn("guards", F.array_join(why, ";"))
+    free = F.col("guards") == ""
+    return x.select("d", "sec", "guards", F.when(free, F.row_number().over(Window.partitionBy("d", free).orderBy(F.desc("close"), "sec"))).cast("long").alias("rk"))
+
+
+@query(
+    "d55_exposure_with_fallback",
+    f"WITH {BARS}, r AS (SELECT sec, d, amount, close / lag(close) OVER (PARTITION BY sec ORDER BY d) - 1 AS own FROM bars), m AS (SELECT *, round(avg(own) OVER (PARTITION BY d), 6) AS market FROM r), f AS (SELECT *, coalesce(own, market) AS ret, CASE WHEN own IS NOT NULL THEN 'own' WHEN market IS NOT NULL THEN 'market' ELSE 'none' END AS source FROM m) SELECT year(d) AS y, source, count(*) AS n, count(*) FILTER (ret <= -0.095) AS down, round(coalesce(sum(amount) FILTER (ret <= -0.095), 0) / sum(amount), 5) AS exposure FROM f GROUP BY 1, 2",
+)
+def _(spark, sf):
+    """Falls by where the return was taken from: the name's own, the day's mean, or nowhere."""
+    x = panel.gap_return(bars(spark, sf), "sec", "d", "close").withColumn("market", F.round(F.avg("ret").over(Window.partitionBy("d")), 6))
+    source = F.when(F.col("ret").isNotNull(), "own").when(F.col("market").isNotNull(), "market").otherwise("none")
+    down = F.coalesce("ret", "market") <= -0.095
+    x = x.groupBy(F.year("d").cast("long").alias("y"), source.alias("source")).agg(F.count("*").alias("n"), F.count_if(down).alias("down"), safe_divide(F.sum(F.when(down, F.col("amount")).otherwise(0.0)), F.sum("amount")).alias("exposure"))
+    return rounded(x, 5)
+
+
+@query(
+    "d59_weighted_leak",
+    f"WITH {BARS}, f AS (SELECT sec, d, amount / sum(amount) OVER (PARTITION BY d) AS w, close, close * CASE WHEN d >= DATE '1998-01-01' THEN 1.1 ELSE 1 END::DOUBLE AS adj FROM bars), r AS (SELECT sec, d, lag(w) OVER o AS w, close / lag(close) OVER o - 1 AS raw, adj / lag(adj) OVER o - 1 AS adj FROM f WINDOW o AS (PARTITION BY sec ORDER BY d)) SELECT year(d) AS y, round(sum(w * raw), 4) AS raw, round(sum(w * adj), 4) AS adjusted, round(sum(w * (adj - raw)), 5) AS leak FROM r GROUP BY 1",
+)
+def _(spark, sf):
+    """What an adjustment adds to returns weighted by the share of the day before."""
+    w = Window.partitionBy("sec").orderBy("d")
+    x = bars(spark, sf).withColumns({"adj": F.col("close") * F.when(F.col("d") >= F.lit("1998-01-01").cast("date"), 1.1).otherwise(1.0), "w": F.col("amount") / F.sum("amount").over(Window.partitionBy("d"))})
+    back = lambda c: safe_divide(c, F.lag(c).over(w)) - 1
+    x = x.select(F.year("d").cast("long").alias("y"), F.lag("w").over(w).alias("w"), back("close").alias("raw"), back("adj").alias("adjusted"))
+    s = x.groupBy("y").agg(F.sum(F.col("w") * F.col("raw")).alias("raw"), F.sum(F.col("w") * F.col("adjusted")).alias("adjusted"), F.sum(F.col("w") * (F.col("adjusted") - F.col("raw"))).alias("leak"))
+    return s.select("y", F.round("raw", 4).alias("raw"), F.round("adjusted", 4).alias("adjusted"), F.round("leak", 5).alias("leak"))

@@ -271,3 +271,14 @@ def test_one_to_one_and_rolling_drawdown(spark):
         pass
     df = spark.createDataFrame([(1, i, v) for i, v in enumerate([1.0, 2.0, 1.0, 1.5, 3.0])], "k int, d int, nav double")
     assert [r["x"] for r in diagnosis.rolling_drawdown(df, "k", "d", "nav", 3, "x").orderBy("d").collect()] == [None, None, -0.5, -0.5, 0.0]
+
+
+def test_known_dividends(spark):
+    from decimal import Decimal
+
+    from tessera.operators import warehouse
+
+    rows = [("600188.SH", D(2023, 7, 17), "3.07", "0.5", None, D(2023, 7, 14), D(2023, 7, 8), 1), ("600188.SH", D(2023, 7, 17), "1.23", None, "", D(2023, 7, 14), D(2023, 7, 8), 2)]
+    df = spark.createDataFrame(rows, "sec string, ex date, cash string, bonus string, conversion string, record date, announced date, id int")
+    r = warehouse.canonical_dividends(df, ["sec", "ex"]).first()
+    assert (r["cash"], r["bonus"], r["conversion"], r["events"], r["record"], r["announced"], r["first_id"]) == (Decimal("4.3"), Decimal("0.5"), Decimal("0"), 2, D(2023, 7, 14), "2023-07-08", 1)

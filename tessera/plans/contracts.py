@@ -196,7 +196,7 @@ def _(spark, sf):
     return e.select("event_id", F.count("*").over(Window.partitionBy("user_id").orderBy("t").rangeBetween(-10 * hour, 30 * hour)).alias("around"))
 
 
-@query("str_daily_state", "WITH x AS (SELECT user_id, ts::DATE AS d, arg_max(event_type, struct_pack(ts, event_id)) AS last_type, count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1, 2) SELECT user_id, d, last_type, sum(errors) OVER w AS errors_so_far, row_number() OVER w > 3 AS warm FROM x WINDOW w AS (PARTITION BY user_id ORDER BY d)")
+@query("str_daily_state", "WITH x AS (SELECT user_id, ts::DATE AS d, arg_max(event_type, struct_pack(ts, event_id)) AS last_type, count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1, 2) SELECT user_id, d, last_type, (sum(errors) OVER w)::BIGINT AS errors_so_far, row_number() OVER w > 3 AS warm FROM x WINDOW w AS (PARTITION BY user_id ORDER BY d)")
 def _(spark, sf):
     """State at the end of each day: the last event, errors so far, and whether three days came before."""
     x = table(spark, sf, "events").groupBy("user_id", F.to_date("ts").alias("d")).agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("last_type"), F.count_if(F.col("event_type") == "error").alias("errors"))

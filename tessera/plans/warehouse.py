@@ -321,7 +321,7 @@ def _(spark, sf):
 @query("fn_strings_and_patterns", "SELECT p_partkey, lower(trim(concat('  ', p_name, ' '))) AS name, replace(p_brand, 'Brand#', 'B') AS brand, length(p_name) AS size, substr(p_type, 1, 3) AS head, p_name LIKE '%ring%' AS ring, regexp_matches(p_type, '^(ECONOMY|SMALL)') AS plain, regexp_extract(p_brand, '#([0-9]+)', 1) AS number, regexp_replace(p_name, '[aeiou]', '', 'g') AS bare FROM part")
 def _(spark, sf):
     p = table(spark, sf, "part")
-    return p.select("p_partkey", F.lower(F.trim(F.concat(F.lit("  "), "p_name", F.lit(" ")))).alias("name"), F.replace("p_brand", F.lit("Brand#"), F.lit("B")).alias("brand"), F.length("p_name").alias("size"), F.substring("p_type", 1, 3).alias("head"), F.col("p_name").like("%ring%").alias("ring"), F.col("p_type").rlike("^(ECONOMY|SMALL)").alias("plain"), F.regexp_extract("p_brand", "#([0-9]+)", 1).alias("number"), F.regexp_replace("p_name", "[aeiou]", "").alias("bare"))
+    return p.select("p_partkey", F.lower(F.trim(F.concat(F.lit("  "), "p_name", F.lit(" ")))).alias("name"), F.replace("p_brand", F.lit("Brand#"), F.lit("B")).alias("brand"), F.length("p_name").cast("long").alias("size"), F.substring("p_type", 1, 3).alias("head"), F.col("p_name").like("%ring%").alias("ring"), F.col("p_type").rlike("^(ECONOMY|SMALL)").alias("plain"), F.regexp_extract("p_brand", "#([0-9]+)", 1).alias("number"), F.regexp_replace("p_name", "[aeiou]", "").alias("bare"))
 
 
 @query("fn_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS text, try_strptime(strftime(o_orderdate, '%Y%m%d'), '%Y%m%d')::DATE AS parsed, (o_orderdate::DATE + 45) AS later, date_diff('day', DATE '1995-01-01', o_orderdate::DATE) AS days, date_trunc('quarter', o_orderdate)::DATE AS quarter, isoyear(o_orderdate) AS iso_year, weekofyear(o_orderdate) AS iso_week, (o_orderdate - INTERVAL 90 MINUTE)::VARCHAR AS before FROM orders")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_text, language_id, maxscore, mixing, packing, pii, probminhash_dedup, rabitq_dedup, recompression_dedup, suffix_dedup
+from . import html_text, language_id, maxscore, mixing, packing, pii, probminhash_dedup, rabitq_dedup, recompression_dedup, suffix_dedup, turn_repair, url_rules, whitening
 
 
 def queries() -> dict:
@@ -17,8 +17,11 @@ def queries() -> dict:
         "op8_embedding_near_dedup": rabitq_dedup.op8_embedding_near_dedup,
         "op9_mixing": mixing.op9_mixing,
         "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
+        "op11_whitening": whitening.op11_whitening,
+        "op12_url_filters": url_rules.op12_url_filters,
+        "op13_turn_repair": turn_repair.op13_turn_repair,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_maxscore_top_k": maxscore.SQL, "op9_mixing": mixing.SQL}
+    return {"op1_maxscore_top_k": maxscore.SQL, "op9_mixing": mixing.SQL, "op12_url_filters": url_rules.SQL, "op13_turn_repair": turn_repair.SQL}

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import safe_divide
 from ..sources.tables import staged_write
-from .joins import asof_join, latest_by, small
+from .joins import asof_join, latest_by
 from .panel import bounded_ffill, xs_minmax_weight
 
 
@@ -90,22 +90,6 @@ def training_panel(sample: DataFrame, key: str, date: str, label: str, features:
     return xs_minmax_weight(x.where(F.col(label).isNotNull()), date, weight_by, "weight")
 
 
-def refresh_window(new: DataFrame, path: str, date: str, start, end, partition: str) -> None:
-    """The rows of the table at path from start to end are replaced by those of new in that window.
-
-    Only partitions that the window touches are written, each at once; their rows outside the window stay.
-    """
-    spark = new.sparkSession
-    old = spark.read.parquet(path)
-    inside = F.col(date).between(F.lit(start), F.lit(end))
-    fresh = new.where(inside).select(*old.columns)
-    touched = fresh.select(partition).union(old.where(inside).select(partition)).distinct()
-    rest = old.where(~inside | F.col(date).isNull()).join(small(touched), partition, "left_semi").select(*old.columns)
-    stage = f"{path}-stage-{uuid.uuid4().hex}"
-    rest.unionByName(fresh).write.parquet(stage)  # a table can't be read and overwritten at once
-    spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-
-
 def manifest(df: DataFrame, name: str) -> DataFrame:
     """name, rows, columns (as JSON) and sha256 of the table's content, whatever its order; hashes are added, not gathered."""
     row = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)

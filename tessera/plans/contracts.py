@@ -74,24 +74,6 @@ def _(spark, sf):
     return spark.createDataFrame([(w.write_from, w.write_to, w.read_from, w.label_from)], "write_from date, write_to date, read_from date, label_from date")
 
 
-@query("qa24_refreshed_window", "SELECT 'duplicate keys' AS rule, 0::BIGINT AS bad UNION ALL SELECT 'source rows not written', 0 UNION ALL SELECT 'rows outside changed', 0")
-def _(spark, sf):
-    """After a window refresh: keys are unique, all rows of the source are there, those outside are as they were."""
-    at = folder(spark, "refreshed")
-    o = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"), F.col("o_totalprice").alias("v"), F.year("o_orderdate").alias("y"))
-    o.write.partitionBy("y").parquet(at)
-    inside = F.col("d").between(day("1998-03-10"), day("1998-05-20"))
-    new = o.where(inside & (F.col("o_orderkey") % 3 > 0)).withColumn("v", -F.col("v"))
-    wh.refresh_window(new, at, "d", "1998-03-10", "1998-05-20", "y")
-    now = spark.read.schema(o.schema).parquet(at)
-    bad = {"duplicate keys": quality.expect_unique(now, ["o_orderkey"]), "source rows not written": new.exceptAll(now.where(inside).select(*new.columns)), "rows outside changed": o.where(~inside).exceptAll(now.where(~inside).select(*o.columns))}
-    out = None
-    for rule, rows in bad.items():
-        one = rows.agg(F.count("*").alias("bad")).select(F.lit(rule).alias("rule"), "bad")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 @query("pr1_typed_parameters", "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice > 250000.5 AND o_orderdate >= DATE '1997-06-01' GROUP BY 1")
 def _(spark, sf):
     """Named, typed parameters of a SQL text, with defaults."""

@@ -253,17 +253,6 @@ def _(spark, sf):
     return e.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "event_type").withColumn("ts", F.regexp_replace(F.regexp_replace("ts", r"(\.\d*?)0+$", "$1"), r"\.$", ""))
 
 
-@query("snk4_window_refresh", "SELECT o_orderkey, o_orderdate::DATE AS d, CASE WHEN o_orderdate::DATE BETWEEN DATE '1998-03-10' AND DATE '1998-05-20' THEN o_totalprice * 2 ELSE o_totalprice END AS v, strftime(o_orderdate, '%Y-%m') AS m FROM orders WHERE o_orderdate >= DATE '1998-01-01' AND o_orderdate < DATE '1999-01-01' AND NOT (o_orderdate::DATE BETWEEN DATE '1998-03-10' AND DATE '1998-05-20' AND o_orderkey % 5 = 0)")
-def _(spark, sf):
-    """A year's table by month, of which a window is deleted and written anew, as one overwrite of the months it touches."""
-    o = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"), F.col("o_totalprice").alias("v")).withColumn("m", F.date_format("d", "yyyy-MM"))
-    path = f"{shared_dir(spark)}/orders-by-month-{uuid.uuid4().hex}"
-    o.where(F.col("d").between(day("1998-01-01"), day("1998-12-31"))).write.partitionBy("m").parquet(path)
-    new = o.where("o_orderkey % 5 <> 0").withColumn("v", F.col("v") * 2)
-    wh.refresh_window(new, path, "d", "1998-03-10", "1998-05-20", "m")
-    return spark.read.schema(o.schema).parquet(path).select("o_orderkey", "d", "v", "m")
-
-
 @query("snk6_merge_warnings", "WITH w AS (SELECT n_nationkey AS k, CASE WHEN count(c_custkey) < 3 THEN 'few' END AS warning FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1) SELECT n_nationkey AS k, CASE WHEN warning IS NULL THEN 'ok' ELSE warning END AS status FROM nation LEFT JOIN w ON k = n_nationkey")
 def _(spark, sf):
     status = table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), F.lit("ok").alias("status"))

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,16 @@ class Refresh:
     partition: str
 
 
+@dataclass(frozen=True)
+class Upsert:
+    """Rows that take the place of those of equal keys (nulls equal), or are added; keys are unique in them."""
+
+    table: str
+    rows: DataFrame
+    keys: tuple[str, ...]
+    partition: str
+
+
 class Store:
     """Versioned tables in a folder of any file system that Spark writes to."""
 
@@ -129,10 +140,10 @@ class Store:
         made = {t: self._entry(rows, p, self._write(t, rows, p)) for t, (rows, p) in tables.items()}
         return self._commit(base, base.tables | made, note or {})
 
-    def refresh(self, changes: list[Refresh], base: Version | None = None, note: dict | None = None) -> Version:
-        """Replaces a window of each table, all in one version or none.
+    def refresh(self, changes: list[Refresh | Upsert], base: Version | None = None, note: dict | None = None) -> Version:
+        """Replaces windows or rows of some tables, all in one version or none.
 
-        Only partitions that a window touches, in the old rows or the new, are written; one that is left without rows is
+        Only partitions that a change touches, in the old rows or the new, are written; one that is left without rows is
         in the record no more.  Rows of a null date are outside every window.
         """
         base = base or self.version()
@@ -140,17 +151,26 @@ class Store:
         for c in changes:
             entry, old = tables[c.table], self.read(c.table, Version(base.number, tables))
             schema = T.StructType.fromJson(entry["schema"])
-            inside = F.coalesce(F.col(c.date).between(F.lit(c.start), F.lit(c.end)), F.lit(False))
-            fresh = c.rows.where(inside).select(*(F.col(f.name).cast(f.dataType) for f in schema))
-            touched = [r[0] for r in old.where(inside).select(c.partition).union(fresh.select(c.partition)).distinct().collect()]  # a row a partition
+            fresh = c.rows.select(*(F.col(f.name).cast(f.dataType) for f in schema))
+            where = fresh.select(c.partition)
+            if isinstance(c, Refresh):
+                inside = F.coalesce(F.col(c.date).between(F.lit(c.start), F.lit(c.end)), F.lit(False))
+                fresh = fresh.where(inside)
+                where = old.where(inside).select(c.partition).union(fresh.select(c.partition))
+            touched = [r[0] for r in where.distinct().collect()]  # a row a partition
             if not touched:
                 continue
             p = F.col(c.partition)
-            among = p.isin([v for v in touched if v is not None]) | (p.isNull() if None in touched else F.lit(False))
-            there = old.where(among)
+            there = old.where(p.isin([v for v in touched if v is not None]) | (p.isNull() if None in touched else F.lit(False)))
             gone = {r[0] for r in there.select(F.element_at(F.split("_metadata.file_path", "/"), -2)).distinct().collect()} if entry["parts"] else set()
+            if isinstance(c, Refresh):
+                stay = there.where(~inside)
+            else:
+                names = {k: f"_new_{k}" for k in c.keys}
+                same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()))
+                stay = there.join(fresh.select(*(F.col(k).alias(n) for k, n in names.items())), same, "left_anti")
             parts = {n: w for n, w in entry["parts"].items() if n not in gone}
-            tables[c.table] = entry | {"parts": parts | self._write(c.table, there.where(~inside).unionByName(fresh), c.partition)}
+            tables[c.table] = entry | {"parts": parts | self._write(c.table, stay.unionByName(fresh), c.partition)}
         return self._commit(base, tables, note or {})
 
     def unreferenced(self, keep: int = 1) -> list[str]:

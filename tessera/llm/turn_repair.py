@@ -322,7 +322,7 @@ def repaired(rows: DataFrame, block: int = BLOCK, block_bytes: int = BLOCK_BYTES
 
     rows: conv_id, turn, role, text, gone, as from `damaged` or `whole`.  Turns are taken in order, null ones first; rows
     of one turn in the order of a hash of role and text, so that equal ones are neighbours.  Rows of a null conv_id are
-    one conversation; a null role or text is one space.  One without rows that aren't gone has zeros, an empty audit and
+    one conversation; a null role or text is one space; an empty role fits no place of the grammar.  One without rows that aren't gone has zeros, an empty audit and
     the hash of nothing.  Gaps beyond a long are the largest long.  An empty table gives none.
     """
     digest = F.unhex(F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text")), 256))

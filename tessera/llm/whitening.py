@@ -179,7 +179,7 @@ def decompose(table: pa.Table, model: dict, components: int) -> pa.Table:
     e, axes = np.linalg.eigh(v)
     e, axes = e[::-1][:components], axes[:, ::-1][:, :components]
     k = int((e > max(e[0], 0) * d * 2.0**-50).sum()) if e[0] > 0 else 0
-    return pa.table({"dim": pa.array([d] * k, pa.int32()), "component": pa.array(range(1, k + 1), pa.int32()), "e": pa.array(e[:k]), "trace": pa.array([float(np.trace(v))] * k), "axis": pa.array([axes[:, j].tolist() for j in range(k)], pa.list_(pa.float64()))})
+    return pa.table({"dim": pa.array([d] * k, pa.int32()), "component": pa.array(range(1, k + 1), pa.int32()), "e": pa.array(e[:k]), "trace": pa.array([float(np.trace(v))] * k, pa.float64()), "axis": pa.array([axes[:, j].tolist() for j in range(k)], pa.list_(pa.float64()))})
 
 
 def projected(batches, model: dict, axes: dict, scale: int, shift: int):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import contracts, diagnosis, market, publish, research, runs, streams, warehouse  # noqa: F401  the others add their queries to those of market
+from .plans import contracts, diagnosis, market, methods, publish, research, runs, streams, warehouse  # noqa: F401  the others add their queries to those of market
 
 
 def queries() -> dict:

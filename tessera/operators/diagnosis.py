@@ -116,14 +116,25 @@ def overlay_return(df: DataFrame, key: str, date: str, ret: str, exposure: str,
 
 
 def rolling_drawdown(df: DataFrame, key: str, date: str, nav: str, rows: int, out: str) -> DataFrame:
-    """The deepest drawdown inside the last `rows` rows; null until there are so many.  The window's values, `rows` of
-    them, are folded where they stand.
+    """The deepest drawdown inside the last `rows` rows; null until there are so many, or where one of them is null.
+
+    Stretches combine: the worst of two is the worse of both, or the second's low against the first's high.  A window is
+    the end of one block of `rows` rows and the beginning of the next, whose highs, lows and worsts are running ones, so
+    the work for a row doesn't grow with the window.
     """
-    w = Window.partitionBy(key).orderBy(date).rowsBetween(-(rows - 1), 0)
-    start = F.struct(F.lit(0.0).alias("peak"), F.lit(0.0).alias("worst"))
-    step = lambda s, v: F.struct(F.greatest(s["peak"], v).alias("peak"), F.least(s["worst"], v / F.greatest(s["peak"], v) - 1).alias("worst"))
-    x = df.withColumn("_v", F.collect_list(F.col(nav).cast("double")).over(w))
-    return x.withColumn(out, F.when(F.size("_v") == rows, F.aggregate("_v", start, step)["worst"])).drop("_v")
+    by = Window.partitionBy(key).orderBy(date)
+    x = df.withColumn("_v", F.col(nav).cast("double")).withColumn("_i", F.row_number().over(by) - 1).withColumn("_b", F.expr(f"_i div {rows}"))
+    to_here = Window.partitionBy(key, "_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    from_here = Window.partitionBy(key, "_b").orderBy(F.desc("_i")).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({"_high": F.max("_v").over(to_here), "_low": F.min("_v").over(to_here), "_known": F.count("_v").over(to_here)})
+    x = x.withColumn("_worst", F.min(F.col("_v") / F.col("_high") - 1).over(to_here))
+    x = x.withColumns({"_high_on": F.max("_v").over(from_here), "_low_on": F.min("_v").over(from_here), "_known_on": F.count("_v").over(from_here)})
+    x = x.withColumn("_worst_on", F.min(F.col("_low_on") / F.col("_v") - 1).over(from_here))
+    x = x.withColumn("_end", F.lag(F.struct("_high_on", "_worst_on", "_known_on"), rows - 1).over(by))
+    whole = (F.col("_i") + 1) % rows == 0  # the window is one block
+    worst = F.when(whole, F.col("_worst")).otherwise(F.least("_worst", "_end._worst_on", F.col("_low") / F.col("_end._high_on") - 1))
+    known = F.when(whole, F.col("_known")).otherwise(F.col("_known") + F.col("_end._known_on"))
+    return x.withColumn(out, F.when((F.col("_i") >= rows - 1) & (known == rows), worst)).select(*df.columns, out)
 
 
 def reason_policy(df: DataFrame, by: str, reasons: str, groups: dict[str, str], policy: str, saturation: float) -> DataFrame:

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import deque
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import safe_divide
 from ..sources.tables import staged_write
-from .joins import asof_join, latest_by
+from .joins import latest_by
 from .panel import bounded_ffill, xs_minmax_weight
 
 
@@ -58,20 +60,72 @@ def pit_latest(facts: DataFrame) -> DataFrame:
     return latest_by(facts, ["source", "c", "period"], [F.desc("ann"), F.desc("key")])
 
 
+class Visible:
+    """What is known of one source at a day: the queue of reports that may still be the best, and the last value of each period.
+
+    Reports come by the day of their announcement.  One that a later, higher-ranked one has overtaken can't be the best
+    again, so the queue falls in rank from its front, and days too long ago leave at the front.
+    """
+
+    def __init__(self):
+        self.queue: deque = deque()
+        self.last: dict = {}
+
+    def add(self, day: int, rank: tuple, period, prior, value) -> None:
+        while self.queue and self.queue[-1][1] <= rank:
+            self.queue.pop()
+        self.queue.append((day, rank, prior, value))
+        self.last[period] = value
+
+    def at(self, day: int, lookback: int) -> tuple:
+        """Value, age and the value of the period a year before, or nulls."""
+        while self.queue and self.queue[0][0] < day - lookback:
+            self.queue.popleft()
+        if not self.queue:
+            return None, None, None
+        since, _, prior, value = self.queue[0]
+        return value, day - since, self.last.get(prior) if prior is not None else None
+
+
+def as_known(batches, sources: list[str], lookback: int):
+    """Rows of the grid, with what each source shows, of rows sorted by entity and day, reports before grid rows."""
+    now, held, began = None, {}, False
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 8192):
+            cut = batch.slice(lo, 8192)
+            kept, found = [], {s: ([], [], []) for s in sources}
+            for i, (c, day, source, period, prior, key, value) in enumerate(zip(*(cut.column(n).to_pylist() for n in ("c", "_day", "source", "_period", "_prior", "key", "value")), strict=True)):
+                if not began or c != now:
+                    now, began, held = c, True, {s: Visible() for s in sources}
+                if source is not None:
+                    held[source].add(day, (period is not None, period or 0, day, key is not None, key or 0), period, prior, value)
+                    continue
+                kept.append(i)
+                for s in sources:
+                    for column, x in zip(found[s], held[s].at(day, lookback) if c is not None and day is not None else (None,) * 3, strict=True):
+                        column.append(x)
+            out = [cut.column("c").take(pa.array(kept, pa.int32())), cut.column("d").take(pa.array(kept, pa.int32()))]
+            for s in sources:
+                out += [pa.array(found[s][0], pa.float64()), pa.array(found[s][1], pa.int32()), pa.array(found[s][2], pa.float64())]
+            yield pa.RecordBatch.from_arrays(out, ["c", "d", *(f"{s}_{k}" for s in sources for k in ("value", "age", "before"))])
+
+
 def pit_features(grid: DataFrame, facts: DataFrame, sources: list[str], lookback_days: int = 900) -> DataFrame:
     """grid (c, d) with, for each source, the value of the latest period visible at d, its age in days, and its growth
     over the same period a year before as known then; the latest period wins over a later restatement of an older one.
+
+    Grid and facts are read once and merged by one sort of each entity's rows by day, whatever the number of sources; a
+    task holds one entity's open reports and its last value of each period.
     """
-    out = grid
-    for s in sources:
-        f = facts.where(F.col("source") == s).select("c", "period", "ann", "key", "value")
-        best = asof_join(grid, f, "c", "d", "ann", [F.desc("period"), F.desc("ann"), F.desc("key")], lookback_days, ["c", "d"])
-        prior = f.select(F.col("c").alias("_c"), F.col("period").alias("_p"), F.col("ann").alias("_a"), F.col("key").alias("_k"), F.col("value").alias("_v"))
-        before = best.join(prior, (F.col("c") == F.col("_c")) & (F.add_months("period", -12) == F.col("_p")) & (F.col("_a") <= F.col("d")))
-        before = latest_by(before, ["c", "d"], [F.desc("_a"), F.desc("_k")]).select("c", "d", "_v")
-        x = best.join(before, ["c", "d"], "left")
-        out = out.join(x.select("c", "d", F.col("value").alias(f"{s}_value"), F.datediff("d", "ann").alias(f"{s}_age"), (safe_divide("value", "_v") - 1).alias(f"{s}_growth")), ["c", "d"], "left")
-    return out
+    g = grid.select("c", "d", F.unix_date("d").alias("_day"), *(F.lit(None).cast(t).alias(n) for n, t in (("source", "string"), ("_period", "int"), ("_prior", "int"), ("key", "long"), ("value", "double"))))
+    f = facts.where(F.col("source").isin(*sources) & F.col("c").isNotNull() & F.col("ann").isNotNull())
+    f = f.select("c", F.lit(None).cast(grid.schema["d"].dataType).alias("d"), F.unix_date("ann").alias("_day"), "source", F.unix_date("period").alias("_period"), F.unix_date(F.add_months("period", -12)).alias("_prior"), F.col("key").cast("long").alias("key"), F.col("value").cast("double").alias("value"))
+    rows = g.unionByName(f).repartition("c").sortWithinPartitions("c", "_day", F.asc_nulls_last("source"), F.asc_nulls_first("key"))
+    kind = lambda n: grid.schema[n].dataType.simpleString()
+    schema = f"c {kind('c')}, d {kind('d')}, " + ", ".join(f"{s}_value double, {s}_age int, {s}_before double" for s in sources)
+    known = rows.mapInArrow(lambda batches: as_known(batches, sources, lookback_days), schema)
+    each = [x for s in sources for x in (F.col(f"{s}_value"), F.col(f"{s}_age"), (safe_divide(f"{s}_value", f"{s}_before") - 1).alias(f"{s}_growth"))]
+    return known.select("c", "d", *each)
 
 
 def sample_table(universe: DataFrame, parts: list[DataFrame], keys: list[str]) -> DataFrame:

@@ -162,7 +162,8 @@ class Store:
                 continue
             p = F.col(c.partition)
             there = old.where(p.isin([v for v in touched if v is not None]) | (p.isNull() if None in touched else F.lit(False)))
-            gone = {r[0] for r in there.select(F.element_at(F.split("_metadata.file_path", "/"), -2)).distinct().collect()} if entry["parts"] else set()
+            folder = F.url_decode(F.replace(F.element_at(F.split("_metadata.file_path", "/"), -2), F.lit("+"), F.lit("%2B")))  # a file's path is that of a URI
+            gone = {r[0] for r in there.select(folder).distinct().collect()} if entry["parts"] else set()
             if isinstance(c, Refresh):
                 stay = there.where(~inside)
             else:
@@ -174,10 +175,19 @@ class Store:
         return self._commit(base, tables, note or {})
 
     def unreferenced(self, keep: int = 1) -> list[str]:
-        """Folders of writes that none of the last `keep` versions reads: of failed or refused writers, or replaced since."""
-        used = {(t, w) for n in sorted(self.numbers())[-keep:] for t, e in self.version(n).tables.items() for w in e["parts"].values()}
-        tables = [n for n in self._names(self.root) if n != "commits"]
-        return [f"{self.root}/{t}/{w}" for t in tables for w in self._names(f"{self.root}/{t}") if w.startswith("_write=") and (t, w.removeprefix("_write=")) not in used]
+        """Folders that none of the last `keep` versions reads: of failed or refused writers, or replaced since."""
+        used: dict[tuple[str, str], set[str]] = {}
+        for n in sorted(self.numbers())[-keep:]:
+            for t, e in self.version(n).tables.items():
+                for part, w in e["parts"].items():
+                    used.setdefault((t, f"_write={w}"), set()).add(part)
+        found = []
+        for t in self._names(self.root):
+            for w in self._names(f"{self.root}/{t}"):
+                if w.startswith("_write="):
+                    at = f"{self.root}/{t}/{w}"
+                    found += [at] if (t, w) not in used else [f"{at}/{p}" for p in self._names(at) if "=" in p and p not in used[t, w]]
+        return found
 
     def vacuum(self, keep: int = 1) -> int:
         """Deletes them, and says how many; not while writers are at work, whose folders no version reads yet."""

@@ -199,3 +199,69 @@ def test_trees_find_what_differs_and_read_little_else(spark):
     assert ranges.count() == 3 and near < 40
     assert compare.compare(a, a.repartition(7, "v"), ["k"]).count() == 0
     assert compare.compare(a.limit(0), a.limit(0), ["k"]).count() == 0
+
+
+# ---------------------------------------------------------------- saved stages, plans, files
+
+
+def test_a_saved_stage_gives_what_the_fit_gave(spark):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from tessera.operators.research import WinsorZScore
+    from tessera.operators.stages import Winsor
+
+    rng = np.random.default_rng(2)
+    rows = [(float(x), None if i % 9 == 0 else float(y), None, 5.0) for i, (x, y) in enumerate(rng.normal(0, 3, (200, 2)))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double")
+    at = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    for z in (True, False):
+        Pipeline(stages=[Winsor(inputCols=["a", "b", "k"], lower=0.1, upper=0.9, zscore=z)]).fit(df).save(f"{at}-{z}")
+        got = PipelineModel.load(f"{at}-{z}").transform(df).toPandas()
+        want = WinsorZScore(("a", "b", "k"), 0.1, 0.9, z).fit(df).transform(df).toPandas()
+        for c in "abk":
+            assert np.allclose(np.sort(got[c]), np.sort(want[c]), equal_nan=True)
+    alone = Winsor(inputCols=["a"])
+    alone.save(f"{at}-alone")
+    assert Winsor.load(f"{at}-alone").getInputCols() == ["a"] and Winsor.load(f"{at}-alone").uid == alone.uid
+
+
+def test_unpruned_and_forbidden_scans_are_refused_before_they_run(spark):
+    from tessera.sources import scans
+
+    at = f"{shared_dir(spark)}/years-{uuid.uuid4().hex}"
+    spark.sql("select id k, id * 2 v, id % 5 y, id w from range(50)").write.partitionBy("y").parquet(at)
+    df = spark.read.parquet(at)
+    for bad in (df, df.where("v = 3"), df.where("y is not null"), spark.range(3).withColumnRenamed("id", "k").join(df.select("k"), "k"), df.where("y = 1").unionByName(df)):
+        with pytest.raises(scans.ForbiddenScan):
+            scans.guarded(bad)
+    assert scans.guarded(df.where("y in (1, 2) and v > 3")).count() == 19
+    (s,) = scans.scans(df.where("y = 1 and v > 3").select("v"))
+    assert s.columns == ("v",) and s.partitioned_by == ("y",) and any("v" in f for f in s.data_filters)
+    with pytest.raises(scans.ForbiddenScan, match="must not"):
+        scans.guarded(df.where("y = 1"), forbidden=s.paths)
+    with pytest.raises(scans.ForbiddenScan, match="columns"):
+        scans.guarded(df.where("y = 1"), columns_at_most=2)
+
+
+def test_only_files_that_differ_are_repaired(spark):
+    import hashlib
+    import pathlib
+
+    from tessera.sources import repair
+
+    at = pathlib.Path(shared_dir(spark).removeprefix("file:")) / f"mixed-{uuid.uuid4().hex}"
+    for name, query in {"long": "select id k, id v from range(100)", "double": "select id k, cast(id * 3 as double) v, 'x' extra from range(40)", "lossy": "select id k, id + 0.5d v from range(5)", "short": "select id k from range(7)"}.items():
+        spark.sql(query).coalesce(1).write.parquet(f"file:{at}/{name}")
+    files = {p.parent.name: p for p in at.rglob("*.parquet")}
+    sums = lambda: {n: hashlib.sha256(p.read_bytes()).hexdigest() for n, p in files.items()}
+    before = sums()
+    out = {r.path.rsplit("/", 2)[1]: (r.rows, r.state) for r in repair.repair_files(spark, f"file:{at}", {"k": "long", "v": "long"}, f"file:{at}-backup").collect()}
+    assert out == {"long": (100, "ok"), "double": (40, "repaired"), "lossy": (5, "lossy"), "short": (7, "repaired")}
+    after = sums()
+    assert {n for n in before if before[n] != after[n]} == {"double", "short"}
+    backed = {hashlib.sha256(p.read_bytes()).hexdigest() for p in pathlib.Path(f"{at}-backup").glob("*.parquet")}
+    assert backed == {before["double"], before["short"]}
+    assert [tuple(r) for r in spark.read.parquet(f"file:{files['double']}").collect()] == [(i, 3 * i, "x") for i in range(40)]
+    assert [tuple(r) for r in spark.read.parquet(f"file:{files['short']}").collect()] == [(i, None) for i in range(7)]
+    again = repair.repair_files(spark, f"file:{at}", {"k": "long", "v": "long"}, f"file:{at}-backup")
+    assert again.where("state = 'ok'").count() == 3 and sums() == after

@@ -34,6 +34,27 @@ def bounded_ffill(df: DataFrame, key: str, order: str, col: str, max_age: int) -
     return n.withColumn("_h", held).withColumn(f"{col}_ffill", F.when(F.col("_n") - F.col("_h.n") <= max_age, F.col("_h.v"))).drop("_n", "_h")
 
 
+def bounded_ffill_all(df: DataFrame, key: str, order: str, cols: list[str], max_age: int) -> DataFrame:
+    """bounded_ffill of many columns where they stand, by one sort and one window."""
+    w = Window.partitionBy(key).orderBy(order)
+    n = df.withColumn("_n", F.row_number().over(w))
+    back = w.rowsBetween(Window.unboundedPreceding, 0)
+    n = n.withColumns({f"_h_{c}": F.last(F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("_n").alias("n"))), True).over(back) for c in cols})
+    return n.withColumns({c: F.when(F.col("_n") - F.col(f"_h_{c}.n") <= max_age, F.col(f"_h_{c}.v")) for c in cols}).drop("_n", *(f"_h_{c}" for c in cols))
+
+
+def turnover(weights: DataFrame, book: str, name: str, date: str, weight: str) -> DataFrame:
+    """book, date, turnover: half the sum of changes of weights since the book's day before; a name that is gone has 0.
+
+    Each weight counts once on its day and, negative, on the book's next day, so no days are joined to each other; the
+    first day's is half its own weights.
+    """
+    days = weights.select(book, date).distinct().withColumn("_next", F.lead(date).over(Window.partitionBy(book).orderBy(date)))
+    each = weights.join(days, [book, date]).select(book, name, F.inline(F.array(F.struct(F.col(date).alias("_at"), F.col(weight).alias("_w")), F.struct(F.col("_next").alias("_at"), (-F.col(weight)).alias("_w")))))
+    moved = each.where("_at is not null").groupBy(book, name, "_at").agg(F.sum("_w").alias("_w"))
+    return moved.groupBy(book, F.col("_at").alias(date)).agg((F.sum(F.abs("_w")) / 2).alias("turnover"))
+
+
 def running_drawdown(df: DataFrame, key: str, order: str, nav: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn("peak", F.max(nav).over(w)).withColumn("drawdown", F.try_divide(nav, "peak") - 1)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..functions.scalar import safe_divide
 from ..sources.tables import staged_write
 from .joins import latest_by
-from .panel import bounded_ffill, xs_minmax_weight
+from .panel import bounded_ffill_all, xs_minmax_weight
 
 
 def security_master(snapshots: DataFrame, seen: DataFrame, last_open, grace_days: int = 30) -> DataFrame:
@@ -137,9 +137,7 @@ def training_panel(sample: DataFrame, key: str, date: str, label: str, features:
     """Labelled rows with features carried forward at most max_age rows, products of two of them, and a weight from 1 to 3
     by the place of weight_by in the day's range.
     """
-    x = sample
-    for c in features:
-        x = bounded_ffill(x, key, date, c, max_age).drop(c).withColumnRenamed(f"{c}_ffill", c)
+    x = bounded_ffill_all(sample, key, date, features, max_age)
     x = x.withColumns({out: F.col(a) * F.col(b) for out, (a, b) in interactions.items()})
     return xs_minmax_weight(x.where(F.col(label).isNotNull()), date, weight_by, "weight")
 
@@ -188,11 +186,16 @@ def one_to_one(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner")
     return a.join(b, keys, how)
 
 
-def json_patch(col: str, changes: dict[str, str], remove: tuple[str, ...] = ()) -> Column:
-    """A flat JSON object with fields set and removed; values become strings."""
-    fields = F.from_json(col, "map<string,string>")
+def json_patch(col: str, changes: dict, remove: tuple[str, ...] = ()) -> Column:
+    """A JSON object with fields set (to strings, numbers, lists, objects, null) and removed; other fields keep their types.
+
+    What is null, malformed or no object counts as an empty one, so that a patch is never lost.
+    """
+    nothing = F.expr("cast(map() as map<string, variant>)")
+    fields = F.coalesce(F.try_variant_get(F.try_parse_json(col), "$", "map<string,variant>"), nothing)
     kept = F.map_filter(fields, lambda k, _: ~k.isin(*changes, *remove))
-    return F.to_json(F.map_concat(kept, F.create_map(*(F.lit(x) for kv in changes.items() for x in kv))))
+    new = F.create_map(*(x for k, v in changes.items() for x in (F.lit(k), F.parse_json(F.lit(json.dumps(v)))))) if changes else nothing
+    return F.to_json(F.to_variant_object(F.map_concat(kept, new)))
 
 
 def canonical_dividends(events: DataFrame, keys: list[str]) -> DataFrame:

@@ -260,6 +260,27 @@ def _(spark, sf):
     return joins.merge_upsert(status, n.where("n < 3").select("k", F.lit("few").alias("status")), ["k"], ["status"])
 
 
+def _content(cols: str, table_: str) -> str:
+    """SQL of a table's content hash: hashes of its rows as JSON, added in eight parts, whatever their order."""
+    parts = ", ".join(f"sum(('0x' || substr(h, {1 + 8 * i}, 8))::BIGINT)::VARCHAR" for i in range(8))
+    return f"SELECT count(*) AS rows, sha256(concat_ws(',', {parts})) AS sha256 FROM (SELECT sha256({cols}) AS h FROM {table_})"
+
+
+_NATION = "'{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || ',\"n_regionkey\":' || n_regionkey || '}'"
+_ORDERS = "'{\"o_custkey\":' || o_custkey || ',\"o_orderkey\":' || o_orderkey || ',\"o_orderstatus\":\"' || o_orderstatus || '\"}'"
+
+
+@query("snk8_content_hashes", " UNION ALL ".join(f"SELECT '{n}' AS name, * FROM ({_content(c, t)})" for n, c, t in (("nation", _NATION, "nation"), ("orders", _ORDERS, "orders"), ("orders shuffled", _ORDERS, "orders"), ("one order changed", _ORDERS, "(SELECT * REPLACE (CASE WHEN o_orderkey = 1 THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM orders)"))))
+def _(spark, sf):
+    """The hash of a table's content follows from its rows alone: shuffled they give it again, one changed value another."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    changed = o.withColumn("o_orderstatus", F.when(F.col("o_orderkey") == 1, "X").otherwise(F.col("o_orderstatus")))
+    out = wh.manifest(table(spark, sf, "nation"), "nation")
+    for name, df in (("orders", o), ("orders shuffled", o.repartition(7, "o_custkey")), ("one order changed", changed)):
+        out = out.unionByName(wh.manifest(df, name))
+    return out.select("name", "rows", "sha256")
+
+
 @query("snk8_manifest", "SELECT 'orders' AS name, count(*) AS rows FROM orders UNION ALL SELECT 'nation', count(*) FROM nation")
 def _(spark, sf):
     return wh.manifest(table(spark, sf, "orders"), "orders").unionByName(wh.manifest(table(spark, sf, "nation"), "nation")).select("name", "rows")
@@ -270,7 +291,11 @@ def _(spark, sf):
     return wh.lossy_casts(table(spark, sf, "orders"), {"o_orderkey": "long", "o_custkey": "double", "o_totalprice": "long"})
 
 
-@query("qa10_schema_check", "SELECT * FROM (VALUES ('gone', 'string', NULL, 'missing'), ('n_name', 'string', 'string', 'ok'), ('n_nationkey', 'bigint', 'int', 'cast'), ('n_regionkey', NULL, 'int', 'extra')) t(\"column\", expected, actual, state)")
+@query(
+    "qa10_schema_check",
+    """WITH have AS (SELECT column_name AS c, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' ELSE column_type END AS t FROM (DESCRIBE nation)), want(c, t) AS (VALUES ('n_nationkey', 'bigint'), ('n_name', 'string'), ('gone', 'string'))
+    SELECT coalesce(have.c, want.c) AS "column", want.t AS expected, have.t AS actual, CASE WHEN have.c IS NULL THEN 'missing' WHEN want.c IS NULL THEN 'extra' WHEN have.t = want.t THEN 'ok' ELSE 'cast' END AS state FROM have FULL JOIN want ON have.c = want.c""",
+)
 def _(spark, sf):
     return wh.schema_diff(table(spark, sf, "nation"), {"n_nationkey": "long", "n_name": "string", "gone": "string"})
 

@@ -107,9 +107,30 @@ def classes(text: str, places: list[int], key: bytes, back: bool) -> str:
     return refilled(text, places, permuted([text[i] for i in places], alphabet, key, back))
 
 
+DOUBLED = [2 * d - 9 if d > 4 else 2 * d for d in range(10)]
+
+
 def luhn(digits: str) -> int:
     """Sum that a valid number makes a multiple of ten."""
-    return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(map(int, reversed(digits))))
+    plain = doubled = 0  # of what is read so far, its last digit counted once, or twice
+    for d in map(int, digits):
+        plain, doubled = doubled + d, plain + DOUBLED[d]
+    return plain
+
+
+def card_ends(text: str, start: int, end: int) -> list[int]:
+    """Ends of groups, the last first, up to which a card's digits pass its check; one pass for all of them."""
+    plain = doubled = n = 0
+    first, varied, out = text[start], False, []
+    for i in range(start, end):
+        c = text[i]
+        if c in " -":
+            continue
+        d = DIGITS.index(c)
+        plain, doubled, n, varied = doubled + d, plain + DOUBLED[d], n + 1, varied or c != first
+        if n > 12 and varied and plain % 10 == 0 and n < 20 and (i + 1 == end or text[i + 1] in " .-"):
+            out.append(i + 1)
+    return out[::-1]
 
 
 def email(s: str, key: bytes, back: bool) -> str | None:
@@ -128,9 +149,12 @@ def secret(s: str, key: bytes, back: bool) -> str | None:
     return "".join(permuted(list(s), [HEX] * len(s), key, back))
 
 
+LETTERS = {ord(c): str(int(c, 36)) for c in UPPER}
+
+
 def iban(s: str, key: bytes, back: bool) -> str | None:
     flat = s.replace(" ", "")
-    number = lambda t: int("".join(str(int(c, 36)) for c in t))
+    number = lambda t: int(t.translate(LETTERS))
     if not 15 <= len(flat) <= 34 or number(flat[4:] + flat[:4]) % 97 != 1:
         return None
     body = classes(flat, list(range(4, len(flat))), key, back)[4:]
@@ -206,6 +230,8 @@ def date(s: str, key: bytes, back: bool) -> str | None:
     """
     sep = next(c for c in s if not c.isdigit())
     parts = s.split(sep)
+    if len(parts) != 3:  # two kinds of separators
+        return None
     for order in [("y", "m", "d")] if len(parts[0]) == 4 else [("d", "m", "y"), ("m", "d", "y")]:
         v = dict(zip(order, map(int, parts), strict=True))
         try:
@@ -226,7 +252,9 @@ CHANGE = {"email": email, "secret": secret, "iban": iban, "card": card, "ssn": s
 
 def ends(kind: str, text: str, start: int, end: int) -> list[int]:
     """Where a candidate of kind at start may end: an IBAN by its country's length, then at end, then before each group."""
-    if kind not in ("iban", "card", "phone", "intl"):
+    if kind == "card":
+        return card_ends(text, start, end)
+    if kind not in ("iban", "phone", "intl"):
         return [end]
     out = [end, *sorted((start + m.start() for m in GROUP_END.finditer(text[start:end])), reverse=True)]
     if kind == "iban" and (n := IBAN_LENGTH.get(text[start : start + 2])):
@@ -235,9 +263,14 @@ def ends(kind: str, text: str, start: int, end: int) -> list[int]:
     return out
 
 
+@functools.lru_cache(maxsize=64)
+def key_of(kind: str, key: bytes) -> bytes:
+    return hashlib.blake2b(kind.replace("intl", "phone").encode(), key=key, digest_size=24).digest()
+
+
 def changed(kind: str, old: str, key: bytes, back: bool = False) -> str | None:
     """The pseudonym of a value, or with back the value of a pseudonym; None if the check of its kind fails."""
-    return CHANGE[kind](old, hashlib.blake2b(kind.replace("intl", "phone").encode(), key=key, digest_size=24).digest(), back)
+    return CHANGE[kind](old, key_of(kind, key), back)
 
 
 def decided(m: re.Match, key: bytes, within: bool) -> tuple[str, int, str] | None:
@@ -247,9 +280,11 @@ def decided(m: re.Match, key: bytes, within: bool) -> tuple[str, int, str] | Non
     """
     text, start, first = m.string, m.start(), list(PATTERNS).index(m.lastgroup)
     for kind in list(PATTERNS)[first:]:
-        found = m if kind == m.lastgroup else ALONE[kind].match(text, start)
         bare = kind == "phone" and not CLEAR_PHONE.match(text, start)
-        if not found or (bare and (within or kind != m.lastgroup)):
+        if (bare and (within or kind != m.lastgroup)) or (kind == "intl" and text[start] != "+"):
+            continue
+        found = m if kind == m.lastgroup else ALONE[kind].match(text, start)
+        if not found:
             continue
         for end in [found.end()] if bare else ends(kind, text, start, found.end()):
             if end == found.end() or ALONE[kind].fullmatch(text, start, end):

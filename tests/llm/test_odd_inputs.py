@@ -458,3 +458,18 @@ def test_pipeline_of_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         frame = common.save(stage(spark, frame, SF), "empty-" + name.replace(" ", "-"))
     assert corpus_pipeline.STAGES[-1][1](spark, frame, SF).count() == 0
+
+
+def test_number_tables_take_time_in_proportion_and_odd_dates_pass():
+    for s in ("25/4.5096", "1.2/2001 1/2.2001", "31.12/1999"):
+        assert pii.pseudonymise(s, KEY) == (s, {})
+    for unit in ("1 ", "12 345-6 ", "DE12 ", "4111 1111 1111 1112 "):
+        took = []
+        for size in (20_000, 80_000):
+            began = time.process_time()
+            pii.pseudonymise(unit * (size // len(unit)), KEY)
+            took.append(time.process_time() - began)
+        assert took[1] < 8 * took[0] + 0.2 and took[1] < 80_000 * 40e-6
+    digits = "4111111111111111"
+    assert [pii.card_ends(f"{digits} 1234", 0, e) for e in (16, 21)] == [[16], [16]]
+    assert pii.card_ends("1111 1111 1111 1111", 0, 19) == []

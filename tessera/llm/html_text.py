@@ -1,9 +1,11 @@
 """Main text of web pages: flat text blocks, classified by a decision tree on words and link density of neighbours.
 
 A page is cut at block-level tags into a flat list of text blocks.  Features of a block are its number of words and
-its share of linked words, the same of the blocks before and after, whether an element such as nav or footer holds
-it, and how far the class words of its own container speak of furniture ("sidebar") or of text ("content").  The
-tree is trained by Spark ML on a small labelled table, pages of many layouts below, and applied block by block.
+its share of linked words, the same of the blocks before and after, whether an element such as nav or footer, or an
+article, holds it, and how far the class words of its own container speak of furniture ("sidebar") or of text
+("content").  The tree is trained by Spark ML on a small labelled table, pages of many layouts below, and applied block
+by block.  A form is furniture unless most of the page's words are in it, and a headline in the page's header stands if
+the page has no other and it leads nowhere.
 """
 
 from __future__ import annotations
@@ -27,17 +29,19 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 IN_HEAD = set("meta link base basefont bgsound title noscript template noframes script style".split())
 OF_TEXT = set("p h1 h2 h3 h4 h5 h6 pre li dt dd figcaption caption legend summary option".split())
 #: Elements of furniture; words of class, id or role for furniture, for text, and that deny the next.
-FURNITURE = set("nav aside footer form dialog menu".split())
+FURNITURE = set("nav aside footer dialog menu".split())
 FURNITURE_WORDS = set("ad ads advert adverts advertisement advertisements advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside header masthead footer comment comments commentlist reply replies respond disqus cookie cookies consent notice alert popup modal overlay newsletter subscribe signup login share sharing social related recommended recommendations widget toolbar pagination pager tags copyright legal disclaimer search contentinfo complementary".split())
 TEXT_WORDS = set("article main content post entry story body text articlebody news".split())
 DENY = set("has with no without".split())
+#: Last words of class names that say how a page is built, or in what state it is, not what an element is.
+STATES = set("open opened page layout piece template theme enabled".split())
 
-NAMES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "class_words")
+NAMES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "class_words", "article")
 TAG_NAME = re.compile(r"[A-Za-z][^\s/>]*+")
 ATTRIBUTE = re.compile(r"""[\s/]*+(?:([^\s/>=]++)|=)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?""")
 TAG_END = re.compile(r"[\s/]*+>")
 SPACE = re.compile(r"\s+")
-MARKS = ("class", "id", "role", "data-main")
+MARKS = ("class", "id", "role", "href", "data-main")
 
 
 def tokens(page: str):
@@ -114,23 +118,29 @@ def skipped(toks: list) -> dict[int, int]:
 
 def class_words(found: dict[str, str]) -> float:
     """From -1, all words of class, id and role are those of text, to 1, all are those of furniture."""
-    words = [w for k in ("class", "id", "role") for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", found.get(k, "")).lower()) if w]
-    furniture = sum(w in FURNITURE_WORDS and not (i and words[i - 1] in DENY) for i, w in enumerate(words))
-    text = sum(w in TEXT_WORDS for w in words)
-    return furniture / len(words) if furniture else -text / len(words) if text else 0.0
+    furniture = text = n = 0
+    for name in " ".join(found.get(k, "") for k in ("class", "id", "role")).split():
+        words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+        n += len(words)
+        text += sum(w in TEXT_WORDS for w in words)
+        if not (len(words) > 1 and words[-1] in STATES):
+            furniture += sum(w in FURNITURE_WORDS and not (i and words[i - 1] in DENY) for i, w in enumerate(words))
+    return furniture / n if furniture else -text / n if text else 0.0
 
 
 class Blocks:
-    """The flat blocks of a page: text, words, linked words, in a furniture element?, class words, label."""
+    """The flat blocks of a page: text, words, linked words, in a furniture element?, class words, label, in an article?"""
 
     def __init__(self, page: str) -> None:
-        self.out: list[tuple[str, int, int, bool, float, bool]] = []
+        self.out: list[tuple[str, int, int, bool, float, bool, bool]] = []
+        self.held: list[tuple] = []
         self.parts: list[str] = []
         self.linked: list[str] = []
         self.stack: list[tuple] = []
         self.open: Counter = Counter()
-        # furniture element?, article or main?, class words of the container, of the text element, label
-        self.place = (False, False, 0.0, 0.0, False)
+        # furniture element (1: the page's header), article or main?, class words of the container, of the text element, label, form
+        self.place = (0, False, 0.0, 0.0, False, 0)
+        self.forms = 0
         toks = list(tokens(page))
         ends = skipped(toks)
         i, links, in_head = 0, 0, False
@@ -156,13 +166,25 @@ class Blocks:
             elif name == "br":
                 self.add(" ", 0)
             elif name == "a":
-                links = 0 if closing else 1
+                links = int(not closing and "href" in found)
             elif name in BLOCK or name == "span":
                 if closing:
                     self.leave(name)
                 elif name not in VOID and not (self_closed and name == "span"):
                     self.enter(name, found)
         self.end_block()
+        self.settle()
+
+    def settle(self) -> None:
+        """Decides on forms and on the header's headline, for which the whole page must be known."""
+        words = Counter()
+        for _, n, _, furniture, _, _, _, form, _ in self.held:
+            words[form] += n * (furniture < 2)
+        whole = {f for f, n in words.items() if f and 2 * n > sum(words.values())}
+        other = any(h1 and not furniture and (not form or form in whole) for _, _, _, furniture, _, _, _, form, h1 in self.held)
+        for text, n, linked, furniture, named, main, article, form, h1 in self.held:
+            headline = furniture == 1 and h1 and not other and not linked
+            self.out.append((text, n, linked, (furniture > 0 and not headline) or (form > 0 and form not in whole), named, main, article))
 
     def add(self, raw: str, links: int) -> None:
         self.parts.append(raw)
@@ -170,9 +192,12 @@ class Blocks:
             self.linked.append(raw)
 
     def enter(self, name: str, found: dict[str, str]) -> None:
-        furniture, article, container, own, main = self.place
+        furniture, article, container, own, main, form = self.place
         # an article's own header is part of it
-        inner = furniture or name in FURNITURE or (name == "header" and not article)
+        inner = max(furniture, 2 * (name in FURNITURE), int(name == "header" and not article))
+        if name == "form":
+            self.forms += 1
+            form = self.forms
         if name in OF_TEXT or name == "span":
             own = max(own, class_words(found)) if name != "span" else own
         elif name in ("html", "body", "main", "article"):
@@ -181,7 +206,7 @@ class Blocks:
             container, own = class_words(found) if found else container * (name in ("tr", "tbody", "thead")), 0.0
         self.stack.append((name, *self.place))
         self.open[name] += 1
-        self.place = (inner, article or name in ("article", "main"), container, own, main or "data-main" in found)
+        self.place = (inner, article or name in ("article", "main"), container, own, main or "data-main" in found, form)
 
     def pop(self) -> str:
         name, *place = self.stack.pop()
@@ -199,8 +224,8 @@ class Blocks:
             text = SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
             if text:
                 linked = SPACE.sub(" ", html.unescape(" ".join(self.linked))).split()
-                furniture, _, container, own, main = self.place
-                self.out.append((text, len(text.split()), len(linked), furniture, max(container, own) if own > 0 else container, main))
+                furniture, article, container, own, main, form = self.place
+                self.held.append((text, len(text.split()), len(linked), furniture, max(container, own) if own > 0 else container, main, article, form, self.open["h1"] > 0))
             self.parts, self.linked = [], []
         while self.stack and self.stack[-1][0] in ("p", "span"):
             self.pop()
@@ -210,13 +235,14 @@ def features(blocks: list[tuple]) -> list[list[float]]:
     """NAMES for each block."""
     own = [(float(min(n, 1000)), min(1.0, k / max(n, 1))) for _, n, k, *_ in blocks]
     edge = (0.0, 0.0)
-    return [[*own[i], *(own[i - 1] if i else edge), *(own[i + 1] if i + 1 < len(own) else edge), float(b[3]), float(b[4])] for i, b in enumerate(blocks)]
+    return [[*own[i], *(own[i - 1] if i else edge), *(own[i + 1] if i + 1 < len(own) else edge), float(b[3]), float(b[4]), float(b[6])] for i, b in enumerate(blocks)]
 
 
 # ---------------------------------------------------------------- the labelled table
 
 #: Layouts of pages.  A capital stands for blocks: H headline, M paragraphs, S a short and L a linked one, I items of
-#: the article; N links of a menu, Q a row of links, A a short notice, T a long one, C comments with links to reply.
+#: the article, R linked ones; N links of a menu, Q a row of links, A a short notice, T a long one, C comments with
+#: links to reply.
 LAYOUTS = (
     "<header><a>Home</a></header><nav><ul>N</ul></nav><div class='ad'>A</div><article>HMSML</article><footer>A</footer>",
     "<div class='ad'>A</div><article>HSM</article><footer>T</footer>",
@@ -242,6 +268,11 @@ LAYOUTS = (
     "<div class='post'>HMMI<section class='related'><h4>A</h4>Q</section></div><div class='newsletter'>T</div><div class='newsletter-box'>A</div>",
     "<div class='cookie-bar'>A</div><div class='top-banner'>A</div>HSMM<div class='site-footer'>T</div>",
     "<table><tr><td>Q</td><td>HMSM</td></tr></table><div class='page-footer'>A Q</div>",
+    "<nav>N</nav><article>HMMR</article><footer>A</footer>", "<main>HMR<div class='share'>Q</div></main><ul>N</ul>", "<ul>N</ul><main>HMSRM</main><div>Q</div>",
+    "<article>HM<nav>N</nav>MR</article>", "<article><div class='share'><ul>N</ul></div>HMR</article>", "<main>HM<aside><ul>N</ul></aside>RM</main>", "<main>HMM<div class='related'><ul>N</ul></div></main><footer>N</footer>",
+    "<article>HM<div class='share-links'><ul>N</ul></div>R</article>", "<article>HMMR<div class='related-links'>QQ</div></article>", "<main>HSR<section class='social'><ul>N</ul>Q</section>M</main>", "<article>HMR</article><div class='related'>Q<ul>N</ul></div>",
+    "<form><div>Q</div>HMMSMM<p>Q</p></form>", "<form><ul>N</ul><div class='content'>HMM</div></form><div>Q</div>", "<header><h1 data-main=1>word word</h1></header>MMSM<footer>Q</footer>",
+    "<div class='wrapper menu-open'>HMM</div>", "<div class='comment-piece'>MM</div><div class='comment-list'>C</div>", "<ul>N</ul><div>HMM</div><form><p>T</p><p>A</p></form>",
     "HSMSSM", "HM", "M", "S", "HISI", "<div>HMM</div><div>MS</div>",
 )
 #: How many words the blocks of each kind have, in turn.
@@ -271,6 +302,8 @@ def labelled_pages(rounds: int = 24) -> list[str]:
             return f"<p data-main=1>See{' it' * (turn['link'] % 4)} <a>this</a>.</p>"
         if k == "I":
             return "<ul>" + "".join(f"<li data-main=1>{words('S')}</li>" for _ in range(3)) + "</ul>"
+        if k == "R":
+            return "<ul>" + "".join(f"<li data-main=1><a>{words('S')}</a></li>" for _ in range(3)) + "</ul>"
         if k == "N":
             return "".join(f"<li><a>{'word ' * n}</a></li>" for n in (1, 2, 1, 3))
         if k == "Q":
@@ -280,7 +313,7 @@ def labelled_pages(rounds: int = 24) -> list[str]:
             return "".join(f"<p>{words('C')}</p><p><a>Reply</a></p>" for _ in range(2))
         return words(k)
 
-    return [re.sub(r"(?<![A-Za-z<])[A-Z](?![a-z])|(?<=[A-Z>])[A-Z](?![a-z])", blocks, x) for _ in range(rounds) for x in LAYOUTS]
+    return [re.sub(r"(?<![A-Za-z<])[A-Z](?![a-z])|(?<=[A-Z>])[A-Z](?![a-z])", blocks, x).replace("<a>", "<a href='/'>") for _ in range(rounds) for x in LAYOUTS]
 
 
 def table(pages: list[str]) -> list[tuple[bool, list[float]]]:

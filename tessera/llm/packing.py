@@ -100,17 +100,25 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
     return rows.mapInArrow(cut, PIECES + (", ids binary" if with_ids else ""))
 
 
+RESERVES = (1, 8, 16, 32, 48, 64, 96, 128, 192, 256)
+
+
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of lengths that fit one sequence, and how many sequences follow each; uses up all counts.
 
-    Short pieces that fill gaps exactly may be missed later by the best fit, so the plan with the fewest sequences is
-    taken of those with singles, with pairs too, and with triples too.
+    Short pieces that fill gaps exactly may be missed later by the best fit, so pairs and triples leave those below a
+    reserve alone; of some reserves, and of singles only, the plan with the fewest sequences is taken, and of equal ones
+    that which fills most sequences by pairs and triples.
     """
-    return min((complements(counts, capacity, k) for k in (3, 2, 1)), key=lambda p: sum(n for _, n in p))
+    tried = [complements(counts, capacity, k, least) for k in (3, 2) for least in RESERVES] + [complements(counts, capacity, 1)]
+    return min(tried, key=lambda p: (sum(n for _, n in p), -sum(n for x, n in p if len(x) > 2 and sum(x) == capacity)))
 
 
-def complements(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
-    """A plan whose gaps are filled exactly by up to `most` lengths where they can be, and best fit elsewhere."""
+def complements(counts: dict[int, int], capacity: int, most: int, least: int = 1) -> list[tuple[tuple[int, ...], int]]:
+    """A plan whose gaps are filled exactly by up to `most` lengths where they can be, and best fit elsewhere.
+
+    Pairs and triples hold no length below `least`; of those of one sum the most even ones come first.
+    """
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -127,10 +135,10 @@ def complements(counts: dict[int, int], capacity: int, most: int) -> list[tuple[
                 left[x] -= n * k
             out.append((tuple(lengths), n))
 
-    # by sum, the longer lengths of all pairs that are there; what counts have used up is struck off when met
+    # by sum, the longer lengths of all pairs that are there, the most even pair last; what counts have used up is struck off when met
     index: list[list[int]] = [[] for _ in range(capacity)]
-    for total in range(2, capacity):
-        a = np.arange((total + 1) // 2, total)
+    for total in range(2 * least, capacity if most > 1 else 0):
+        a = np.arange(total - least, (total + 1) // 2 - 1, -1)
         index[total] = a[(left[a] > 0) & (left[total - a] > 0)].tolist()
 
     def pairs(total: int):
@@ -151,7 +159,7 @@ def complements(counts: dict[int, int], capacity: int, most: int) -> list[tuple[
             if not left[anchor]:
                 break
         # triples: a length and a pair from the index
-        for a in range(min(gap - 2, anchor), 0, -1) if left[anchor] and most > 2 else ():
+        for a in range(min(gap - 2 * least, anchor), least - 1, -1) if left[anchor] and most > 2 else ():
             if left[a]:
                 for b in pairs(gap - a):
                     take(anchor, a, b, gap - a - b)

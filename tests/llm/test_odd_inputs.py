@@ -522,3 +522,20 @@ def test_number_tables_take_time_in_proportion_and_odd_dates_pass():
     digits = "4111111111111111"
     assert [pii.card_ends(f"{digits} 1234", 0, e) for e in (16, 21)] == [[16], [16]]
     assert pii.card_ends("1111 1111 1111 1111", 0, 19) == []
+
+
+def test_plans_with_combinations_are_never_above_the_best_fit():
+    rng = np.random.default_rng(7)
+    for lo, hi, better in ((1, 1024, False), (200, 700, True), (250, 520, True), (1, 512, False)):
+        counts = dict(collections.Counter(rng.integers(lo, hi + 1, 6000).tolist()))
+        plan, alone = packing.plan(counts, 1024), packing.complements(counts, 1024, 1)
+        assert sum(n for _, n in plan) <= sum(n for _, n in alone) - better
+        used = collections.Counter()
+        for pattern, n in plan:
+            assert sum(pattern) <= 1024
+            for x in pattern:
+                used[x] += n
+        assert used == counts
+        assert not better or sum(n for x, n in plan if len(x) > 2 and sum(x) == 1024) > 500
+    for least in (1, 100, 600, 2000):  # a reserve keeps short lengths out of pairs and triples, but all are packed
+        assert sum(len(x) * n for x, n in packing.complements({5: 9, 300: 7, 724: 3, 419: 4}, 1024, 3, least)) == 23

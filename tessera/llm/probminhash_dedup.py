@@ -254,7 +254,7 @@ def sets_of(wanted: DataFrame, docs: DataFrame, tag: str) -> DataFrame:
     """Shingle sets of the documents named by wanted's doc_id."""
     wanted = C.save(wanted.distinct(), f"{tag}-wanted")
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    texts = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
+    texts = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     return C.save(texts.mapInArrow(sets, SETS), f"{tag}-sets")
 
 
@@ -313,8 +313,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
     Classes are the components of links of probability Jaccard similarity >= `similarity`; equal word sequences are
     in one class.  Documents without words (null, empty, blank) are classes of their own; so are rows without a
-    doc_id, whose class is null.  Rows that repeat a doc_id are taken for the same document.  Other columns are
-    ignored; an empty table gives none.
+    doc_id, whose class is null.  Rows that repeat a doc_id are the same document: where their texts differ, all are in
+    one class, and the smallest text decides on its links.  Other columns are ignored; an empty table gives none.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     feats = C.save(rows.mapInArrow(features, FEATURES), "features")
@@ -340,6 +340,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     links = tested.unionByName(more).where("ok").select("a", "b")
     parts = C.connected_components(links, "near2-components")
     links = links.unionByName(last_links(mixed_cells(banded, parts, True, "near3"), signed, texts, similarity, "near3"))
+    hashes = F.struct("h1", "h2")
+    several = C.save(known.groupBy("doc_id").agg(F.min(hashes).alias("low"), F.max(hashes).alias("high")).where("low < high").select("doc_id"), "several-texts")
+    if not several.isEmpty():
+        own = known.join(several, "doc_id", "left_semi").select("doc_id", "h1", "h2").distinct().join(reps.select("h1", "h2", "rep"), ["h1", "h2"])
+        links = links.unionByName(own.join(own.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b"))
     parts = C.connected_components(links, "near3-components")
 
     told = known.select("doc_id", "h1", "h2", "shingles").join(reps.select("h1", "h2", "rep"), ["h1", "h2"]).join(parts.withColumnRenamed("node", "rep"), "rep", "left")
@@ -349,10 +354,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs that stand for their class; a doc_id that repeats stands once."""
+    """The rows of docs that stand for their class; a doc_id that repeats stands once, with its smallest text."""
     gone = C.save(near_duplicates(docs, similarity).where("not kept").select("doc_id"), "near-copies")
     left = docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    once = left.where("doc_id is not null").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), "text").alias("_row"), F.any_value(F.struct(*docs.columns)).alias("_any"))
+    once = once.select(F.coalesce("_row", "_any").alias("_row")).select("_row.*")  # min_by passes over null texts
+    return once.unionByName(left.where("doc_id is null"))
 
 
 def op7_probminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -539,3 +539,25 @@ def test_plans_with_combinations_are_never_above_the_best_fit():
         assert not better or sum(n for x, n in plan if len(x) > 2 and sum(x) == 1024) > 500
     for least in (1, 100, 600, 2000):  # a reserve keeps short lengths out of pairs and triples, but all are packed
         assert sum(len(x) * n for x, n in packing.complements({5: 9, 300: 7, 724: 3, 419: 4}, 1024, 3, least)) == 23
+
+
+def test_clashing_columns_and_doc_ids_of_several_texts(spark):
+    import corpus_pipeline
+
+    words = lambda a, n: " ".join(f"w{i % 97}{a}" for i in range(n))
+    more = {c: i for i, c in enumerate("piece length part rank rep h1 h2 shingles size rate taken start offset value band members component keys".split())}
+    texts = [(1, words("a", 60)), (2, words("a", 60)), (3, words("b", 70)), (3, words("a", 60)), (3, None), (4, None), (None, words("a", 60)), (5, ""), (6, words("b", 70) + " tail")]
+    plain = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    odd = spark.createDataFrame([(i, t, "en", "s", 0, *more.values()) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in more))
+    rows = lambda df: collections.Counter(map(str, map(tuple, df.collect())))
+    classes = probminhash_dedup.near_duplicates(odd)
+    assert rows(classes) == rows(probminhash_dedup.near_duplicates(plain.repartition(3)))
+    assert {(r.doc_id, r.class_id) for r in classes.collect() if r.doc_id in (1, 2, 4, 5)} == {(1, 1), (2, 1), (4, 4), (5, 5)}
+    kept = probminhash_dedup.one_of_each(odd)
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in classes.collect()} - {r.doc_id for r in classes.collect() if not r.kept}
+    assert rows(packing.pack_documents(odd).drop("sequence_id", "offset")) == rows(packing.pack_documents(plain).drop("sequence_id", "offset"))
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES[2:-1]:
+        docs = common.save(stage(spark, docs, SF), name)
+        assert set(docs.columns) >= set(plain.columns) and docs.where("doc_id = 1").count() <= 2
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0

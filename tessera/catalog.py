@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import contracts, diagnosis, guards, market, methods, publish, research, runs, streams, warehouse, wide  # noqa: F401  the others add their queries to those of market
+from .plans import contracts, diagnosis, direct, guards, market, methods, publish, research, runs, streams, warehouse, wide  # noqa: F401  the others add their queries to those of market
 
 
 def queries() -> dict:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import safe_corr, safe_divide
 from . import panel
+from .joins import small
 
 DAYS = 252.0
 
@@ -87,7 +88,7 @@ def drawdown_contribution(positions: DataFrame, windows: DataFrame, run: str, na
     """run, name, days, contribution: what each name added inside its run's own window (after the peak, to the trough)."""
     w = windows.select(F.col(run).alias("_run"), "peak_day", "trough")
     inside = (F.col(run) == F.col("_run")) & (F.col(date) > F.col("peak_day")) & (F.col(date) <= F.col("trough"))
-    return positions.join(F.broadcast(w), inside).groupBy(run, name).agg(F.count("*").alias("days"), F.sum(contribution).alias("contribution"))  # a row a run
+    return positions.join(small(w), inside).groupBy(run, name).agg(F.count("*").alias("days"), F.sum(contribution).alias("contribution"))
 
 
 def common_losers(contributions: DataFrame, run: str, name: str, runs: int) -> DataFrame:

@@ -37,12 +37,34 @@ def to_contract(df: DataFrame, contract: dict[str, str]) -> DataFrame:
 
 
 def staged_write(df: DataFrame, path: str, stage: str, partition_by: tuple[str, ...] = (), rows: int | None = None) -> None:
-    """Written beside first; published only if what was written reads back with the same schema and, if given, number of rows."""
-    df.write.mode("overwrite").parquet(stage)
-    back = df.sparkSession.read.parquet(stage)
+    """Written beside first; published only if what was written reads back with the same schema and, if given, number of rows.
+
+    Publishing moves folders: the whole table's, or those of the partitions that were written; rows are written once.
+    """
+    spark = df.sparkSession
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(stage)
+    back = spark.read.schema(df.schema).parquet(stage)
     if rows is not None and back.count() != rows:
         raise ValueError("the number of rows written isn't the one expected")
-    if [(f.name, f.dataType) for f in back.schema] != [(f.name, f.dataType) for f in df.schema]:
+    have = {f.name: f.dataType for f in spark.read.parquet(stage).schema if f.name not in partition_by}
+    if not back.isEmpty() and have != {f.name: f.dataType for f in df.schema if f.name not in partition_by}:
         raise ValueError("the written schema differs from the one asked for")
-    writer = back.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(stage).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def leaves(at: str, depth: int) -> list[str]:
+        if not depth:
+            return [at]
+        names = [s.getPath().getName() for s in fs.listStatus(hadoop.Path(f"{stage}/{at}" if at else stage))]
+        return [x for n in names if "=" in n for x in leaves(f"{at}/{n}" if at else n, depth - 1)]
+
+    for at in leaves("", len(partition_by)):
+        source, target, aside = (hadoop.Path(f"{base}/{at}" if at else base) for base in (stage, path, f"{stage}-before"))
+        for parent in (target.getParent(), aside.getParent()):
+            fs.mkdirs(parent)
+        was = fs.exists(target)
+        if (was and not fs.rename(target, aside)) or not fs.rename(source, target):
+            raise OSError(f"{target} couldn't be replaced; what was there is {aside}")
+    fs.delete(hadoop.Path(f"{stage}-before"), True)
+    fs.delete(hadoop.Path(stage), True)

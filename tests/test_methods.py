@@ -265,3 +265,50 @@ def test_only_files_that_differ_are_repaired(spark):
     assert [tuple(r) for r in spark.read.parquet(f"file:{files['short']}").collect()] == [(i, None) for i in range(7)]
     again = repair.repair_files(spark, f"file:{at}", {"k": "long", "v": "long"}, f"file:{at}-backup")
     assert again.where("state = 'ok'").count() == 3 and sums() == after
+
+
+def test_staged_partitions_replace_only_their_own(spark, tmp_path):
+    from tessera.sources import tables
+
+    df = spark.sql("select id k, id % 3 a, id % 2 b from range(30)")
+    at, stage = f"file:{tmp_path}/t", f"file:{tmp_path}/stage"
+    tables.staged_write(df, at, stage, ("a", "b"), rows=30)
+    tables.staged_write(df.where("a = 1 and b = 0").limit(2), at, stage, ("a", "b"), rows=2)
+    got = spark.read.parquet(at)
+    assert got.count() == 27 and got.where("a = 1 and b = 0").count() == 2 and not (tmp_path / "stage").exists() and not (tmp_path / "stage-before").exists()
+    with pytest.raises(ValueError):
+        tables.staged_write(df, at, stage, ("a", "b"), rows=31)
+    assert spark.read.parquet(at).count() == 27
+    tables.staged_write(df.limit(4), f"file:{tmp_path}/u", stage)
+    tables.staged_write(df.limit(3), f"file:{tmp_path}/u", stage)
+    assert spark.read.parquet(f"file:{tmp_path}/u").count() == 3
+
+
+# ---------------------------------------------------------------- models
+
+
+def test_fitted_weights_are_where_the_penalised_loss_is_flat(spark):
+    from tessera.operators import runs
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (400, 3)) * [1, 2, 0.5]
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x @ [1.0, -0.5, 0.0] + 0.3)))).astype(float)
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, c double, y double")
+    model = runs.fit_logistic(df, ["a", "b", "c"], "y", reg=0.05)
+    fitted = model.stages[-1] if hasattr(model, "stages") else model
+    w, b0 = np.array(fitted.coefficients), fitted.intercept
+    p = 1 / (1 + np.exp(-(x @ w + b0)))
+    std = x.std(0, ddof=1)
+    # the penalty is on weights of standardised columns
+    assert np.abs(((p - y) @ x) / 400 / std + 0.05 * w * std).max() < 1e-4 and abs((p - y).mean()) < 1e-4
+
+
+def test_a_planted_feature_is_the_most_important(spark):
+    from tessera.operators import runs
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (600, 4))
+    df = spark.createDataFrame([(*map(float, r), float(r[2] > 0.2)) for r in x], "a double, b double, c double, d double, y double")
+    rows = runs.importances(spark, runs.fit_trees(df, list("abcd"), "y"), list("abcd")).collect()
+    best = max(rows, key=lambda r: r["importance"])
+    assert best[0] == "c" and best["importance"] > 0.8

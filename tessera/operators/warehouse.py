@@ -6,7 +6,6 @@ import json
 import uuid
 from collections import deque
 from dataclasses import dataclass
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -128,11 +127,6 @@ def pit_features(grid: DataFrame, facts: DataFrame, sources: list[str], lookback
     return known.select("c", "d", *each)
 
 
-def sample_table(universe: DataFrame, parts: list[DataFrame], keys: list[str]) -> DataFrame:
-    """The universe's rows, left-joined to every part by keys; parts hold a row a key at most."""
-    return reduce(lambda x, p: x.join(p, keys, "left"), parts, universe)
-
-
 def training_panel(sample: DataFrame, key: str, date: str, label: str, features: list[str], interactions: dict[str, tuple[str, str]], weight_by: str, max_age: int = 5) -> DataFrame:
     """Labelled rows with features carried forward at most max_age rows, products of two of them, and a weight from 1 to 3
     by the place of weight_by in the day's range.

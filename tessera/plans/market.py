@@ -97,15 +97,19 @@ LABELS = f"""WITH {BARS}, {CAL}, x AS (SELECT b.sec, b.d, e.close AS entry, f.cl
   lab AS (SELECT sec, d, exit / NULLIF(entry, 0) - 1 AS fwd FROM x WHERE entry IS NOT NULL AND exit IS NOT NULL)"""
 
 
-def labels(spark, sf, h: int = 5, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Return from the close of the next open day to that of the h-th, where both are known, and columns of bars.
+def forward(spark, sf, x: DataFrame, h: int = 5) -> DataFrame:
+    """x (sec, d, close) with fwd, the return from the close of the next open day to that of the h-th, null where either is unknown.
 
-    Bars are read once: the bar of an open day k places on is found by a window over the days' ordinals.
+    The close of an open day k places on is found by a window over the days' ordinals.
     """
-    x = bars(spark, sf).join(joins.small(calendar(spark, sf).select("d", "seq")), "d")
+    x = x.join(joins.small(calendar(spark, sf).select("d", "seq")), "d")
     on = lambda k: F.max("close").over(Window.partitionBy("sec").orderBy("seq").rangeBetween(k, k))
-    x = x.withColumns({"entry": on(1), "exit": on(h)})
-    return x.where("entry is not null and exit is not null").select("sec", "d", (safe_divide("exit", "entry") - 1).alias("fwd"), *keep)
+    return x.withColumns({"entry": on(1), "exit": on(h)}).withColumn("fwd", F.when(F.col("entry").isNotNull() & F.col("exit").isNotNull(), safe_divide("exit", "entry") - 1))
+
+
+def labels(spark, sf, h: int = 5, keep: tuple[str, ...] = ()) -> DataFrame:
+    """fwd where it is known, and columns of bars, which are read once."""
+    return forward(spark, sf, bars(spark, sf), h).where("entry is not null and exit is not null").select("sec", "d", "fwd", *keep)
 
 
 @query("d13_forward_labels", LABELS + " SELECT sec, d, round(fwd, 4) AS fwd, round(fwd - avg(fwd) OVER (PARTITION BY d), 4) AS excess, fwd > median(fwd) OVER (PARTITION BY d) AS above FROM lab")

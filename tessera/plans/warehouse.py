@@ -12,7 +12,8 @@ from ..operators import calendar as cal_
 from ..operators import joins, panel
 from ..operators import warehouse as wh
 from ..sources.tables import shared_dir, table
-from .market import BARS, CAL, bars, calendar, labels, query
+from . import market
+from .market import BARS, CAL, bars, calendar, query
 
 
 def day(text: str):
@@ -166,9 +167,10 @@ SAMPLE = f"""{FIVE}, f AS (SELECT sec, d, close / lag(close, 5) OVER w - 1 AS re
 
 
 def sample(spark, sf):
-    f = panel.lags(bars(spark, sf), "sec", "d", "close", (5,)).select("sec", "d", F.when(F.col("amount") > 20000, safe_divide("close", "close_lag5") - 1).alias("ret_5"), log_positive("amount").alias("log_amount"), "amount")
-    u = five_masks(spark, sf).select("sec", "d", (F.col("pass_age") & F.col("pass_liquid")).alias("in_universe"))
-    return wh.sample_table(u, [f, labels(spark, sf)], ["sec", "d"])
+    """Masks, features and labels of each name and day, from bars that are read and dealt to names once."""
+    x = panel.lags(five_masks(spark, sf), "sec", "d", "close", (5,))
+    x = market.forward(spark, sf, x)
+    return x.select("sec", "d", (F.col("pass_age") & F.col("pass_liquid")).alias("in_universe"), F.when(F.col("amount") > 20000, safe_divide("close", "close_lag5") - 1).alias("ret_5"), log_positive("amount").alias("log_amount"), "amount", "fwd")
 
 
 @query("d14_sample_assembly", f"WITH {BARS}, {CAL}, {SAMPLE} SELECT sec, d, in_universe, round(ret_5, 6) AS ret_5, round(log_amount, 5) AS log_amount, amount, round(fwd, 6) AS fwd FROM sample")

@@ -14,7 +14,7 @@ from ..operators import joins, panel, runs
 from ..operators import warehouse as wh
 from ..sources.tables import table
 from .diagnosis import CANDIDATES, ICS, candidates, ics
-from .market import BARS, CAL, NAV, bars, calendar, labels, navs, query
+from .market import BARS, CAL, NAV, bars, calendar, forward, navs, query
 from .warehouse import FIVE, HORIZONS, five_masks
 
 # ---------------------------------------------------------------- labels and panels
@@ -54,7 +54,7 @@ def risk_features(spark, sf):
         "liq_20": enough(20, "amount", log_positive(F.avg("amount").over(last(20)))),
         "dd_60": enough(60, "close", safe_divide("close", F.max("close").over(last(60))) - 1),
     })
-    return b.select("sec", "d", "amount", *CARRIED)
+    return b.select("sec", "d", "amount", "close", *CARRIED)
 
 
 RISK = f"""WITH {BARS}, {CAL}, g AS (SELECT *, close / lag(close) OVER (PARTITION BY sec ORDER BY d) - 1 AS ret FROM bars),
@@ -69,7 +69,7 @@ RISK = f"""WITH {BARS}, {CAL}, g AS (SELECT *, close / lag(close) OVER (PARTITIO
 @query("d18_risk_panel", RISK + f" SELECT h.sec, h.d, {', '.join(f'round({c}, 5) AS {c}' for c in CARRIED)}, {', '.join(f'round({a} * {b}, 5) AS {n}' for n, (a, b) in INTERACTIONS.items())}, fwd <= -0.1 AS fell, round(1 + 2 * (amount - min(amount) OVER w) / NULLIF(max(amount) OVER w - min(amount) OVER w, 0), 4) AS weight FROM h JOIN l ON h.sec = l.sec AND h.d = l.d WINDOW w AS (PARTITION BY h.d)")
 def _(spark, sf):
     """The panel of the risk model: six features carried forward up to five rows, their products, and whether the name then fell."""
-    x = risk_features(spark, sf).join(labels(spark, sf).select("sec", "d", "fwd"), ["sec", "d"], "left")
+    x = forward(spark, sf, risk_features(spark, sf))
     x = wh.training_panel(x, "sec", "d", "fwd", list(CARRIED), INTERACTIONS, "amount")
     r = lambda c, n: F.round(c, n).alias(c)
     return x.select("sec", "d", *(r(c, 5) for c in (*CARRIED, *INTERACTIONS)), (F.col("fwd") <= -0.1).alias("fell"), r("weight", 4))

@@ -46,10 +46,26 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read again: lineage ends here, and lost executors lose nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    SAVED.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+SAVED: list[str] = []  # by this process
+
+
+def discard(spark: SparkSession, since: int = 0) -> int:
+    """Deletes the tables that `save` has written since so many were, and says how many; for when results are written.
+
+    What still reads them can't be run any more.  Tables of other processes, and of families of suffix arrays, stay.
+    """
+    gone, SAVED[since:] = SAVED[since:], []
+    for path in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return len(gone)
+
+
 def tidy() -> None:
     """Give memory that a batch has freed back to the system: Python workers are reused, and some batches are large."""
     gc.collect()

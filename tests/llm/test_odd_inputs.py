@@ -561,3 +561,16 @@ def test_clashing_columns_and_doc_ids_of_several_texts(spark):
         docs = common.save(stage(spark, docs, SF), name)
         assert set(docs.columns) >= set(plain.columns) and docs.where("doc_id = 1").count() <= 2
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
+def test_saved_tables_can_be_discarded(spark):
+    import pathlib
+
+    before = len(common.SAVED)
+    kept = common.save(spark.range(3), "kept")
+    since = len(common.SAVED)
+    out = [r.class_id for r in probminhash_dedup.near_duplicates(docs(spark, [(1, "a b c d e f g"), (2, "a b c d e f g")])).collect()]
+    paths = [pathlib.Path(p.removeprefix("file:")) for p in common.SAVED[since:]]
+    assert out == [1, 1] and len(paths) > 5 and all(p.exists() for p in paths)
+    assert common.discard(spark, since) == len(paths) and not any(p.exists() for p in paths)
+    assert kept.count() == 3 and len(common.SAVED) == before + 1

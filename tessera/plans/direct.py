@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import safe_corr
 from ..operators import panel
 from ..sources.tables import shared_dir, table
 from ..sources.versions import Refresh, Store
@@ -131,3 +132,41 @@ def _(spark, sf):
     s = scored(spark, sf).groupBy("d").agg(F.count("*").alias("scored"), F.count("fwd").alias("labelled"))
     share = lambda c: F.round(F.sum(F.coalesce(c, F.lit(0))) / F.sum("traded"), 5)
     return traded.join(s, "d", "left").groupBy(F.year("d").alias("y")).agg(F.count("*").alias("days"), F.count("scored").alias("scored_days"), share("scored").alias("coverage"), share("labelled").alias("labelled"))
+
+
+# ---------------------------------------------------------------- experiments
+
+
+@query(
+    "d80_experiments_with_registry",
+    f"""WITH {BARS}, runs AS (SELECT DISTINCT s_nationkey AS run FROM bars JOIN supplier ON s_suppkey = sec), b AS (SELECT s_nationkey AS run, year(d) AS y, sum(amount) AS amount, count(*) AS n FROM bars JOIN supplier ON s_suppkey = sec WHERE s_nationkey % 5 <> 2 GROUP BY 1, 2), m AS (SELECT run, count(*) AS years, sum(n)::BIGINT AS n, round(max(amount) / min(amount), 4) AS spread FROM b GROUP BY 1)
+    SELECT run, years, n, spread, coalesce(n_name, 'unregistered') AS name, CASE WHEN m.n IS NULL THEN 'no summary' WHEN n_name IS NULL THEN 'no registry' ELSE 'complete' END AS state, CASE WHEN spread IS NOT NULL THEN rank() OVER (ORDER BY spread NULLS LAST, run) END AS place FROM runs LEFT JOIN m USING (run) LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 7 <> 3) g ON g.n_nationkey = run""",
+)
+def _(spark, sf):
+    """Runs of a manifest beside their summary and their entry in a registry, where there are any; a row a run."""
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sec"), F.col("s_nationkey").alias("run"))
+    b = bars(spark, sf).join(s, "sec")
+    years = b.where("run % 5 <> 2").groupBy("run", F.year("d").alias("y")).agg(F.sum("amount").alias("amount"), F.count("*").alias("n"))
+    summary = years.groupBy("run").agg(F.count("*").alias("years"), F.sum("n").alias("n"), F.round(F.max("amount") / F.min("amount"), 4).alias("spread"))
+    registry = table(spark, sf, "nation").where("n_nationkey % 7 <> 3").select(F.col("n_nationkey").alias("run"), "n_name")
+    x = b.select("run").distinct().join(summary, "run", "left").join(registry, "run", "left")
+    state = F.when(F.col("n").isNull(), "no summary").when(F.col("n_name").isNull(), "no registry").otherwise("complete")
+    place = F.when(F.col("spread").isNotNull(), F.rank().over(Window.orderBy(F.asc_nulls_last("spread"), "run")).cast("long"))
+    return x.select("run", "years", "n", "spread", F.coalesce("n_name", F.lit("unregistered")).alias("name"), state.alias("state"), place.alias("place"))
+
+
+@query(
+    "qa25_reversed_scores",
+    RANKED + """, r AS (SELECT d, sec, fwd, score, rank() OVER (PARTITION BY d ORDER BY score) AS up, rank() OVER (PARTITION BY d ORDER BY -score) AS down, rank() OVER (PARTITION BY d ORDER BY fwd) AS f, ntile(5) OVER (PARTITION BY d ORDER BY score DESC, sec) AS q, ntile(5) OVER (PARTITION BY d ORDER BY -score DESC, sec DESC) AS p, count(*) OVER (PARTITION BY d) AS n FROM sc),
+    i AS (SELECT d, corr(up, f) AS ic, corr(down, f) AS rev, count(*) FILTER (n % 5 = 0 AND q <> 6 - p) AS moved FROM r GROUP BY d HAVING count(*) >= 5) SELECT count(*) AS days, count(*) FILTER (abs(ic + rev) > 0.2) AS unlike, sum(moved)::BIGINT AS moved FROM i""",
+)
+def _(spark, sf):
+    """A reversed score has the opposite rank correlation (up to ties), and its fifths are those of the score from the other end."""
+    w = lambda *by: Window.partitionBy("d").orderBy(*by)
+    x = scored(spark, sf).withColumn("other", -F.col("score")).withColumns({
+        "up": F.rank().over(w("score")), "down": F.rank().over(w("other")), "f": F.rank().over(w("fwd")),
+        "q": F.ntile(5).over(w(F.desc("score"), "sec")), "p": F.ntile(5).over(w(F.desc("other"), F.desc("sec"))), "n": F.count("*").over(Window.partitionBy("d")),
+    })
+    moved = F.count_if((F.col("n") % 5 == 0) & (F.col("q") != 6 - F.col("p")))
+    i = x.groupBy("d").agg(F.count("*").alias("k"), safe_corr("up", "f").alias("ic"), safe_corr("down", "f").alias("rev"), moved.alias("moved")).where("k >= 5")
+    return i.agg(F.count("*").alias("days"), F.count_if(F.abs(F.col("ic") + F.col("rev")) > 0.2).alias("unlike"), F.sum("moved").alias("moved"))

@@ -52,47 +52,55 @@ def differing(found: DataFrame, contract: dict[str, str]) -> DataFrame:
 
 
 def repair_files(spark: SparkSession, folder: str, contract: dict[str, str], backup: str) -> DataFrame:
-    """path, rows, state (ok, repaired, lossy) of every file of a folder.
+    """path, rows, state (ok, repaired, lossy, or empty: differs, but has no rows) of every file of a folder.
 
-    Files whose columns differ from the contract are read with their own schema, cast, and written to a staging folder
-    under their names, in their order of rows; a file of which a cast would lose a value stays as it is.  Only when all
-    are staged and their rows counted, each original is moved to `backup` and the staged file to its place, after a
-    manifest of the moves has been written there.  Files that are as they should be aren't touched.
+    Files whose columns differ from the contract are read with their own schema, cast, and written to a staging folder,
+    in their order of rows; a file of which a cast would lose a value stays as it is.  Only when all are staged and
+    their rows counted, each original is moved to `backup` and the staged file to its place, after a manifest of the
+    moves has been written there.  Files that are as they should be aren't touched.  Files are gone through by kind, of
+    which there are few; the names of those to be repaired pass through the driver.
     """
-    jvm, conf = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
     stage = f"{backup}/stage-{uuid.uuid4().hex}"
     footers(spark, folder).write.parquet(f"{stage}/footers")
     found = spark.read.parquet(f"{stage}/footers")
-    bad = differing(found, contract)
-    kinds = bad.select("path", F.to_json("columns").alias("columns")).distinct().groupBy("columns").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()  # names of files to be repaired
-    moves, lossy = [], []
-    for k in kinds:
-        have = json.loads(k["columns"])
-        own = spark.read.schema(", ".join(f"`{c}` {t}" for c, t in have.items())).parquet(*k.paths).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-        casts = [c for c, t in contract.items() if c in have and have[c] != T._parse_datatype_string(t).simpleString()]
-        lost = [F.col(c).isNotNull() & ~F.col(c).eqNullSafe(F.col(c).try_cast(contract[c]).try_cast(have[c])) for c in casts]
-        some = {r[0] for r in own.where(reduce(or_, lost)).select("_file").distinct().collect()} if lost else set()
-        lossy += sorted(some)
-        fixed = own.where(~F.col("_file").isin(sorted(some))) if some else own
-        cols = [(F.col(c).try_cast(t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in contract.items()]
-        extra = [F.col(c) for c in have if c not in contract]
-        at = f"{stage}/{uuid.uuid4().hex}"
-        fixed.select("_file", "_row", *cols, *extra).withColumn("_name", F.sha2("_file", 256)).repartition("_name").sortWithinPartitions("_name", "_row").drop("_row", "_file").write.partitionBy("_name").parquet(at)
-        names = {r["_name"]: r["_file"] for r in fixed.select("_file", F.sha2("_file", 256).alias("_name")).distinct().collect()}
-        fs = jvm.Path(at).getFileSystem(conf)
-        for name, path in names.items():
-            (made,) = [s.getPath().toString() for s in fs.listStatus(jvm.Path(f"{at}/_name={name}")) if s.getPath().getName().endswith(".parquet")]
-            moves.append((made, path))
-    rows = {r.path: r.rows for r in found.select("path", "rows").where(F.col("path").isin([p for _, p in moves])).collect()} if moves else {}
-    for made, path in moves:
-        if spark.read.parquet(made).count() != rows[path]:
+    kinds = differing(found, contract).select("path", F.to_json("columns").alias("columns")).distinct()
+    moves, lossy, differ = [], [], []
+    for kind in kinds.groupBy("columns").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect():
+        made, bad = _staged(spark, kind.paths, json.loads(kind["columns"]), contract, f"{stage}/{uuid.uuid4().hex}")
+        moves += made
+        lossy += bad
+        differ += kind.paths
+    rows = {r.path: r.rows for r in found.where(F.col("path").isin([p for _, p in moves])).collect()} if moves else {}
+    for staged, path in moves:
+        if spark.read.parquet(staged).count() != rows[path]:
             raise ValueError(f"{path}: staged rows aren't as many")
-    kept = [(made, path, f"{backup}/{uuid.uuid4().hex}-{path.rsplit('/', 1)[1]}") for made, path in moves]
+    kept = [(staged, path, f"{backup}/{uuid.uuid4().hex}-{path.rsplit('/', 1)[1]}") for staged, path in moves]
     if kept:
         spark.createDataFrame(kept, "staged string, path string, kept string").coalesce(1).write.json(f"{stage}/moves")
-    for made, path, old in kept:
-        fs = jvm.Path(path).getFileSystem(conf)
-        if not (fs.rename(jvm.Path(path), jvm.Path(old)) and fs.rename(jvm.Path(made), jvm.Path(path))):
+    for staged, path, old in kept:
+        fs = hadoop.Path(path).getFileSystem(conf)
+        if not (fs.rename(hadoop.Path(path), hadoop.Path(old)) and fs.rename(hadoop.Path(staged), hadoop.Path(path))):
             raise OSError(f"{path} couldn't be replaced; its original is {old}")
-    state = F.when(F.col("path").isin([p for _, p in moves]), "repaired").when(F.col("path").isin(lossy), "lossy").otherwise("ok")
+    state = F.when(F.col("path").isin([p for _, p in moves]), "repaired").when(F.col("path").isin(lossy), "lossy").when(F.col("path").isin(differ), "empty").otherwise("ok")
     return found.select("path", "rows", state.alias("state"))
+
+
+def _staged(spark: SparkSession, paths: list[str], have: dict[str, str], contract: dict[str, str], at: str) -> tuple[list[tuple[str, str]], list[str]]:
+    """Writes files of one kind as the contract says, one file each: (staged, original) of them, and those that would lose values."""
+    own = spark.read.schema(", ".join(f"`{c}` {t}" for c, t in have.items())).parquet(*paths)
+    own = own.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    casts = [c for c, t in contract.items() if c in have and have[c] != T._parse_datatype_string(t).simpleString()]
+    lost = [F.col(c).isNotNull() & ~F.col(c).eqNullSafe(F.col(c).try_cast(contract[c]).try_cast(have[c])) for c in casts]
+    lossy = sorted(r[0] for r in own.where(reduce(or_, lost)).select("_file").distinct().collect()) if lost else []
+    fixed = own.where(~F.col("_file").isin(lossy)) if lossy else own
+    cols = [(F.col(c).try_cast(t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in contract.items()]
+    cols += [F.col(c) for c in have if c not in contract]
+    named = fixed.select(F.sha2("_file", 256).alias("_name"), "_row", *cols)
+    named.repartition("_name").sortWithinPartitions("_name", "_row").drop("_row").write.partitionBy("_name").parquet(at)
+    fs = spark._jvm.org.apache.hadoop.fs.Path(at).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    made = []
+    for r in fixed.select("_file", F.sha2("_file", 256).alias("_name")).distinct().collect():
+        (one,) = (s.getPath().toString() for s in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{at}/_name={r['_name']}")) if s.getPath().getName().endswith(".parquet"))
+        made.append((one, r["_file"]))
+    return made, lossy

@@ -250,13 +250,13 @@ def test_only_files_that_differ_are_repaired(spark):
     from tessera.sources import repair
 
     at = pathlib.Path(shared_dir(spark).removeprefix("file:")) / f"mixed-{uuid.uuid4().hex}"
-    for name, query in {"long": "select id k, id v from range(100)", "double": "select id k, cast(id * 3 as double) v, 'x' extra from range(40)", "lossy": "select id k, id + 0.5d v from range(5)", "short": "select id k from range(7)"}.items():
+    for name, query in {"long": "select id k, id v from range(100)", "double": "select id k, cast(id * 3 as double) v, 'x' extra from range(40)", "lossy": "select id k, id + 0.5d v from range(5)", "short": "select id k from range(7)", "none": "select id k from range(7) where id > 9"}.items():
         spark.sql(query).coalesce(1).write.parquet(f"file:{at}/{name}")
     files = {p.parent.name: p for p in at.rglob("*.parquet")}
     sums = lambda: {n: hashlib.sha256(p.read_bytes()).hexdigest() for n, p in files.items()}
     before = sums()
     out = {r.path.rsplit("/", 2)[1]: (r.rows, r.state) for r in repair.repair_files(spark, f"file:{at}", {"k": "long", "v": "long"}, f"file:{at}-backup").collect()}
-    assert out == {"long": (100, "ok"), "double": (40, "repaired"), "lossy": (5, "lossy"), "short": (7, "repaired")}
+    assert out == {"long": (100, "ok"), "double": (40, "repaired"), "lossy": (5, "lossy"), "short": (7, "repaired"), "none": (0, "empty")}
     after = sums()
     assert {n for n in before if before[n] != after[n]} == {"double", "short"}
     backed = {hashlib.sha256(p.read_bytes()).hexdigest() for p in pathlib.Path(f"{at}-backup").glob("*.parquet")}

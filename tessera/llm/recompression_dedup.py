@@ -139,7 +139,7 @@ class Parse:
         first = np.maximum(self.off[:-1][of], hi - length)
         last = np.minimum(lo, self.off[1:][of] - length)
         some = first <= last
-        sym, lo, hi, first, last = sym[some], lo[some], hi[some], first[some], last[some]
+        sym, of, lo, hi, first, last = sym[some], of[some], lo[some], hi[some], first[some], last[some]
         name = C.fold(C.fold(sym, runs64(self.sums, lo, hi, NAME)), NAME)
         # contexts move to the right in order, so those inside a window are neighbours: from a to b, exclusive
         b = np.cumsum(np.bincount(first, minlength=n + 1)[: n + 1])

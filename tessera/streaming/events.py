@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -79,11 +79,15 @@ def without_follower(first: DataFrame, then: DataFrame, key: str, within: str, l
 # ---------------------------------------------------------------- state by user and day
 
 
+DAY = 86_400_000  # milliseconds
+
+
 class DailyState(StatefulProcessor):
     """A row for each user and day with events, when the day is over: last type, errors so far, whether `warm` days came before.
 
     A day is kept open until the watermark has passed its end, so that late events count in it; days are given out in
-    order, because what a day shows depends on those before.
+    order, because what a day shows depends on those before.  A user's state is one value, which a batch reads and
+    writes once however many days are open, and only the first open day has a timer: it gives out all that are over.
     """
 
     def __init__(self, warm: int = 3):
@@ -91,39 +95,38 @@ class DailyState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.days = handle.getMapState("days", "day long", "ts long, event_id long, event_type string, errors long")
-        self.past = handle.getValueState("past", "errors long, days long")
+        self.state = handle.getValueState("state", "errors long, days long, open array<struct<day: long, us: long, event_id: long, event_type: string, errors: long>>")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        row = initialState.iloc[0]
-        self.past.update((int(row["errors"]), int(row["days"])))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        import pandas as pd
-
-        for pdf in rows:
-            for day, part in pdf.groupby("day"):
-                top = part.sort_values(["us", "event_id"]).iloc[-1]
-                last = (int(top["us"]), int(top["event_id"]), str(top["event_type"]))
-                errors = int((part["event_type"] == "error").sum())
-                if self.days.containsKey((int(day),)):
-                    held = self.days.getValue((int(day),))
-                    last, errors = max(last, tuple(held[:3])), errors + held[3]
-                else:
-                    self.handle.registerTimer((int(day) + 1) * 86_400_000)
-                self.days.updateValue((int(day),), (*last, errors))
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        import pandas as pd
-
-        day = expiredTimerInfo.getExpiryTimeInMs() // 86_400_000 - 1
-        if self.days.containsKey((day,)):
-            _, _, kind, errors = self.days.getValue((day,))
-            self.days.removeKey((day,))
-            before, n = self.past.get() if self.past.exists() else (0, 0)
-            self.past.update((before + errors, n + 1))
-            yield pd.DataFrame({"user_id": [key[0]], "day": [day], "last_type": [kind], "errors_so_far": [before + errors], "warm": [n >= self.warm]})
+        self.state.update((initialState["errors"], initialState["days"], []))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        errors, n, held = self.state.get() or (0, 0, [])
+        open_ = {h[0]: tuple(h[1:]) for h in held}
+        first = min(open_, default=None)
+        for r in rows:
+            us, event_id, kind, bad = open_.get(r.day) or (r.us, r.event_id, r.event_type, 0)
+            if (r.us, r.event_id) > (us, event_id):
+                us, event_id, kind = r.us, r.event_id, r.event_type
+            open_[r.day] = us, event_id, kind, bad + (r.event_type == "error")
+        if open_ and (first is None or min(open_) < first):
+            self.handle.registerTimer((min(open_) + 1) * DAY)
+        self.state.update((errors, n, [(day, *open_[day]) for day in sorted(open_)]))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        errors, n, held = self.state.get() or (0, 0, [])
+        upto, out = timerValues.getCurrentWatermarkInMs(), []
+        over = [h for h in held if (h[0] + 1) * DAY <= upto]
+        for day, _, _, kind, bad in over:
+            errors += bad
+            out.append(Row(user_id=key[0], day=day, last_type=kind, errors_so_far=errors, warm=n >= self.warm))
+            n += 1
+        left = held[len(over) :]
+        self.state.update((errors, n, [tuple(h) for h in left]))
+        if over and left:
+            self.handle.registerTimer((left[0][0] + 1) * DAY)
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -137,4 +140,4 @@ def daily_state(events: DataFrame, history: DataFrame | None = None, late: str =
     """user_id, day (since 1970), last_type, errors_so_far, warm of a stream of events; history (user_id, errors, days) is the state to begin from."""
     x = events.select("user_id", "event_id", "event_type", "ts", F.unix_micros("ts").alias("us"), day_number(F.col("ts")).alias("day")).withWatermark("ts", late)
     begin = history.groupBy("user_id") if history is not None else None
-    return x.groupBy("user_id").transformWithStateInPandas(DailyState(warm), "user_id long, day long, last_type string, errors_so_far long, warm boolean", "append", "eventTime", begin)
+    return x.groupBy("user_id").transformWithState(DailyState(warm), "user_id long, day long, last_type string, errors_so_far long, warm boolean", "append", "eventTime", begin)

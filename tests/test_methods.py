@@ -312,3 +312,25 @@ def test_a_planted_feature_is_the_most_important(spark):
     rows = runs.importances(spark, runs.fit_trees(df, list("abcd"), "y"), list("abcd")).collect()
     best = max(rows, key=lambda r: r["importance"])
     assert best[0] == "c" and best["importance"] > 0.8
+
+
+def test_a_users_open_days_are_one_value_with_one_timer():
+    from types import SimpleNamespace
+
+    from tessera.streaming.events import DAY, DailyState
+
+    held, timers, calls = [], [], []
+    state = SimpleNamespace(get=lambda: calls.append("get") or (held[-1] if held else None), update=lambda v: calls.append("update") or held.append(v))
+    p = DailyState()
+    p.init(SimpleNamespace(getValueState=lambda name, schema: state, registerTimer=timers.append))
+    row = lambda day, us, i, kind: SimpleNamespace(day=day, us=us, event_id=i, event_type=kind)
+    rows = [row(d, d * 100 + k, d * 3 + k, "error" if k == 1 else "view") for d in range(30, 0, -1) for k in range(3)]
+    assert list(p.handleInputRows((7,), iter(rows), None)) == []
+    assert calls == ["get", "update"] and timers == [2 * DAY]  # of the first day alone
+    at = lambda day: SimpleNamespace(getCurrentWatermarkInMs=lambda: day * DAY)
+    out = list(p.handleExpiredTimer((7,), at(21), None))
+    assert [tuple(r) for r in out] == [(7, d, "view", d, d > 3) for d in range(1, 21)]
+    assert timers == [2 * DAY, 22 * DAY] and len(calls) == 4
+    assert list(p.handleInputRows((7,), iter([row(25, 2502, 99, "late"), row(25, 1, 1, "error")]), None)) == []  # an equal time: the larger id
+    out = list(p.handleExpiredTimer((7,), at(31), None))
+    assert [r.day for r in out] == list(range(21, 31)) and out[4].last_type == "late" and out[-1].errors_so_far == 31

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import joins
+
 ACCURACY, MARGIN, FEW = 10_000, 0.0005, 10_000  # of the sketch; ranks to either side that are kept; rows of a small group
 
 
@@ -22,7 +24,8 @@ def exact_quantiles(df: DataFrame, by: list[str], col: str, ps: dict[str, float]
     small = F.col("_n") <= FEW
     asked = [F.struct(F.lit(name).alias("_name"), (F.lit(p) * (F.col("_n") - 1)).alias("_at"), F.when(small, F.col("_min")).otherwise(F.col("_s")[2 * i]).alias("_lo"), F.when(small, F.col("_max")).otherwise(F.col("_s")[2 * i + 1]).alias("_hi")) for i, (name, p) in enumerate(points)]
     asked = stats.select(*keys, F.inline(F.array(*asked)))
-    met = rows.join(asked, keys)
+    # with a hint where there are few groups: rows dealt by group would be few large tasks
+    met = rows.join(joins.small(asked), keys)
     counted = met.groupBy(*keys, "_name", "_at", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_x")).agg(F.count_if(F.col("_v") <= F.col("_hi")).alias("_k"))
     # rows below a bracket have no value, and come first
     upto = F.sum("_k").over(Window.partitionBy(*keys, "_name").orderBy(F.asc_nulls_first("_x")))

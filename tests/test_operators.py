@@ -282,3 +282,18 @@ def test_known_dividends(spark):
     df = spark.createDataFrame(rows, "sec string, ex date, cash string, bonus string, conversion string, record date, announced date, id int")
     r = warehouse.canonical_dividends(df, ["sec", "ex"]).first()
     assert (r["cash"], r["bonus"], r["conversion"], r["events"], r["record"], r["announced"], r["first_id"]) == (Decimal("4.3"), Decimal("0.5"), Decimal("0"), 2, D(2023, 7, 14), "2023-07-08", 1)
+
+
+def test_large_groups_of_quantiles_are_not_dealt_by_group(spark, capsys):
+    from tessera.operators import quantiles
+
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(30_000).selectExpr("id % 2 AS g", "cast(id AS double) AS v")
+        x = quantiles.exact_quantiles(df, ["g"], "v", {"m": 0.5})
+        x.explain()
+        assert "SortMergeJoin" not in capsys.readouterr().out
+        assert sorted(map(tuple, x.collect())) == [(0, 14999.0), (1, 15000.0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)

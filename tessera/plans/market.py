@@ -25,10 +25,24 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def bars(spark: SparkSession, sf: str) -> DataFrame:
-    """sec, d, volume, amount, close (whole cents, cut), high, low for each supplier and ship date."""
+TASK_ROWS = 250_000  # of lineitem behind a task that sorts its rows several times
+
+
+def tasks(spark: SparkSession, sf: str) -> int:
+    """How many tasks to deal lineitem's rows to, so that one's share doesn't grow with the table; counted from footers."""
+    return max(spark.sparkContext.defaultParallelism, -(-table(spark, sf, "lineitem").count() // TASK_ROWS))
+
+
+def bars(spark: SparkSession, sf: str, by_sec: bool = False) -> DataFrame:
+    """sec, d, volume, amount, close (whole cents, cut), high, low for each supplier and ship date.
+
+    by_sec: lines are dealt by supplier, once, to tasks of bounded share, for what goes on by sec.
+    """
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    grouped = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("sec"), F.to_date("l_shipdate").alias("d"))
+    lines = table(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
+    if by_sec:
+        lines = lines.repartition(tasks(spark, sf), "l_suppkey")
+    grouped = lines.groupBy(F.col("l_suppkey").alias("sec"), F.to_date("l_shipdate").alias("d"))
     return grouped.agg(F.sum("l_quantity").alias("volume"), F.round(F.sum("l_extendedprice"), 2).alias("amount"), F.max(price).alias("high"), F.min(price).alias("low")).withColumn("close", F.expr("cast(round(amount * 100) as bigint) div cast(volume as bigint)") / F.lit(100.0))
 
 
@@ -177,7 +191,7 @@ NAV = f"""WITH {BARS}, r AS (SELECT sec, d, close / lag(close) OVER (PARTITION B
 
 def navs(spark, sf) -> DataFrame:
     """Compounded clipped returns of each supplier."""
-    x = panel.gap_return(bars(spark, sf), "sec", "d", "close").withColumn("ret", F.greatest(F.least(F.coalesce("ret", F.lit(0.0)), F.lit(0.1)), F.lit(-0.1)))
+    x = panel.gap_return(bars(spark, sf, by_sec=True), "sec", "d", "close").withColumn("ret", F.greatest(F.least(F.coalesce("ret", F.lit(0.0)), F.lit(0.1)), F.lit(-0.1)))
     w = Window.partitionBy("sec").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
     return x.select("sec", "d", F.round(F.exp(F.sum(F.log(1 + F.col("ret"))).over(w)), 8).alias("nav"))
 

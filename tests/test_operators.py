@@ -297,3 +297,13 @@ def test_large_groups_of_quantiles_are_not_dealt_by_group(spark, capsys):
         assert sorted(map(tuple, x.collect())) == [(0, 14999.0), (1, 15000.0)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_tasks_of_navs_grow_with_the_table(spark, monkeypatch):
+    from tessera.plans import market
+
+    sf = "/root/testdata/sf0.001"
+    n = market.table(spark, sf, "lineitem").count()
+    for rows in (500, 250):
+        monkeypatch.setattr(market, "TASK_ROWS", rows)
+        assert market.navs(spark, sf).rdd.getNumPartitions() == -(-n // rows)

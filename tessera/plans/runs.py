@@ -9,7 +9,7 @@ from ..functions.scalar import rounded, safe_divide
 from ..operators import calendar as cal_
 from ..operators import ledger, panel, quantiles, research, runs
 from ..sources.tables import table
-from .market import BARS, CAL, CANDIDATES, LABELS, NAV, QUERIES, RANKED, bars, calendar, candidates, labels, ledger_rows, navs, query, scored
+from .market import BARS, CAL, CANDIDATES, LABELS, NAV, QUERIES, RANKED, bars, calendar, candidates, forward, labels, ledger_rows, navs, query, scored
 
 FOLDS = research.cv_folds([1996, 1997, 1998, 1999, 2000])
 
@@ -43,11 +43,12 @@ FEATURES = ["ret_1", "ret_5", "rel"]
 
 
 def model_rows(spark, sf):
-    """Features of bars with the sign of their later return."""
-    x = panel.rolling(panel.lags(bars(spark, sf), "sec", "d", "close", (1, 5)), "sec", "d", {"m": ("avg", "amount", 20)})
+    """Features of bars, which are read once, with the sign of their later return."""
+    x = panel.rolling(panel.lags(bars(spark, sf, by_sec=True), "sec", "d", "close", (1, 5)), "sec", "d", {"m": ("avg", "amount", 20)})
     rets = [(safe_divide("close", f"close_lag{k}") - 1).alias(f"ret_{k}") for k in (1, 5)]
-    x = x.select("sec", "d", *rets, safe_divide("amount", "m").alias("rel")).dropna()
-    return x.join(labels(spark, sf), ["sec", "d"]).withColumn("up", (F.col("fwd") > 0).cast("double"))
+    x = x.select("sec", "d", "close", *rets, safe_divide("amount", "m").alias("rel"))
+    x = forward(spark, sf, x).where("entry is not null and exit is not null").select("sec", "d", *FEATURES, "fwd")
+    return x.dropna(subset=["sec", "d", *FEATURES]).withColumn("up", (F.col("fwd") > 0).cast("double"))
 
 
 @query("d23_logistic_scores")

@@ -307,3 +307,10 @@ def test_tasks_of_navs_grow_with_the_table(spark, monkeypatch):
     for rows in (500, 250):
         monkeypatch.setattr(market, "TASK_ROWS", rows)
         assert market.navs(spark, sf).rdd.getNumPartitions() == -(-n // rows)
+
+
+def test_model_rows_read_bars_once(spark, capsys):
+    from tessera.plans import runs
+
+    runs.model_rows(spark, "/root/testdata/sf0.001").explain()
+    assert capsys.readouterr().out.count("l_extendedprice:double") == 1  # of a scan's schema

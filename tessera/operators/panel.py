@@ -43,15 +43,18 @@ def bounded_ffill_all(df: DataFrame, key: str, order: str, cols: list[str], max_
     return n.withColumns({c: F.when(F.col("_n") - F.col(f"_h_{c}.n") <= max_age, F.col(f"_h_{c}.v")) for c in cols}).drop("_n", *(f"_h_{c}" for c in cols))
 
 
-def turnover(weights: DataFrame, book: str, name: str, date: str, weight: str) -> DataFrame:
+def turnover(weights: DataFrame, book: str, name: str, date: str, weight: str, tasks: int | None = None) -> DataFrame:
     """book, date, turnover: half the sum of changes of weights since the book's day before; a name that is gone has 0.
 
     Each weight counts once on its day and, negative, on the book's next day, so no days are joined to each other; the
-    first day's is half its own weights.
+    first day's is half its own weights.  Weights are dealt by book and name to so many tasks, where given.
     """
     days = weights.select(book, date).distinct().withColumn("_next", F.lead(date).over(Window.partitionBy(book).orderBy(date)))
     each = weights.join(days, [book, date]).select(book, name, F.inline(F.array(F.struct(F.col(date).alias("_at"), F.col(weight).alias("_w")), F.struct(F.col("_next").alias("_at"), (-F.col(weight)).alias("_w")))))
-    moved = each.where("_at is not null").groupBy(book, name, "_at").agg(F.sum("_w").alias("_w"))
+    each = each.where("_at is not null")
+    if tasks:
+        each = each.repartition(tasks, book, name)
+    moved = each.groupBy(book, name, "_at").agg(F.sum("_w").alias("_w"))
     return moved.groupBy(book, F.col("_at").alias(date)).agg((F.sum(F.abs("_w")) / 2).alias("turnover"))
 
 

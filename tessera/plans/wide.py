@@ -14,7 +14,7 @@ from ..operators import joins, panel, runs
 from ..operators import warehouse as wh
 from ..sources.tables import table
 from .diagnosis import CANDIDATES, ICS, candidates, ics
-from .market import BARS, CAL, NAV, bars, calendar, forward, navs, query
+from .market import BARS, CAL, NAV, bars, calendar, forward, navs, query, tasks
 from .warehouse import FIVE, HORIZONS, five_masks
 
 # ---------------------------------------------------------------- labels and panels
@@ -117,7 +117,7 @@ BOOKS = f"WITH {BARS}, w AS (SELECT s_nationkey AS nation, sec, d, amount, round
 
 def books(spark, sf):
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sec"), F.col("s_nationkey").alias("nation"))
-    x = bars(spark, sf).join(s, "sec")
+    x = bars(spark, sf).select("sec", "d", "amount").join(s, "sec").repartition(tasks(spark, sf), "nation", "d")
     return x.withColumn("w", F.round(F.col("amount") / F.sum("amount").over(Window.partitionBy("nation", "d")), 8)).select("nation", "sec", "d", "amount", "w")
 
 
@@ -130,7 +130,7 @@ def books(spark, sf):
 def _(spark, sf):
     """Turnover of books by day, and what it costs in commission, tax on sales, and slippage, apart."""
     b = books(spark, sf)
-    each = panel.turnover(b, "nation", "sec", "d", "w")
+    each = panel.turnover(b, "nation", "sec", "d", "w", tasks(spark, sf))
     total = b.groupBy("nation", "d").agg(F.sum("w").alias("held"))
     # sold = turnover less half of what the book has grown by
     grown = total.withColumn("grown", F.col("held") - F.lag("held", 1, 0.0).over(Window.partitionBy("nation").orderBy("d")))

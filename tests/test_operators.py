@@ -314,3 +314,11 @@ def test_model_rows_read_bars_once(spark, capsys):
 
     runs.model_rows(spark, "/root/testdata/sf0.001").explain()
     assert capsys.readouterr().out.count("l_extendedprice:double") == 1  # of a scan's schema
+
+
+def test_tasks_of_books_grow_with_the_table(spark, monkeypatch):
+    from tessera.plans import market, wide
+
+    monkeypatch.setattr(market, "TASK_ROWS", 500)
+    sf = "/root/testdata/sf0.001"
+    assert wide.books(spark, sf).rdd.getNumPartitions() == -(-market.table(spark, sf, "lineitem").count() // 500)

@@ -45,6 +45,7 @@ class Restated:
         if number <= base.note["batch"]:
             return
         new = batch.select(self.key, "d", self.value).withColumn("part", self.partition("d")).persist()
+        kept = [new]
         cal = small(self.calendar.select("d", "seq"))
         reach = new.join(cal, "d").groupBy(self.key).agg(F.min("seq").alias("_lo"), F.max("seq").alias("_hi"))
         ends = reach.agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).first()
@@ -58,9 +59,12 @@ class Restated:
             placed = lambda df: df.join(cal, "d").join(reach, self.key)
             near = placed(rows).where(seq.between(F.col("_lo") - self.days + 1, F.col("_hi") + self.days - 1)).select(self.key, "d", self.value)
             again = placed(self._featured(near)).where(seq.between(F.col("_lo"), F.col("_hi") + self.days - 1))
-            changes.append(Upsert("features", again.select(self.key, "d", *self.features).withColumn("part", self.partition("d")), (self.key, "d"), "part"))
+            # kept, as an upsert reads its rows for their partitions, for what they replace, and to write them
+            kept.append(again.select(self.key, "d", *self.features).withColumn("part", self.partition("d")).persist())
+            changes.append(Upsert("features", kept[-1], (self.key, "d"), "part"))
         self.store.refresh(changes, base, {"batch": number})
-        new.unpersist()
+        for df in kept:
+            df.unpersist()
 
     def run(self, stream: DataFrame, checkpoint: str) -> None:
         """All that has arrived, from where the checkpoint left off."""

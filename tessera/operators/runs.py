@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,18 +42,31 @@ def _assembled(df: DataFrame, cols: list[str], out: str = "_x") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=out).transform(df)
 
 
+def _fitted(estimator, train: DataFrame, cols: list[str], label: str):
+    """The model of rows that are made once.
+
+    A fit plans and reads its rows several times over, each time from the sources; it keeps its own blocks of them in
+    memory, so ours lie on disk, until it is done.
+    """
+    rows = train.select(*cols, label).persist(StorageLevel.DISK_ONLY)
+    try:
+        return estimator.fit(_assembled(rows, cols))
+    finally:
+        rows.unpersist()
+
+
 def fit_logistic(train: DataFrame, cols: list[str], label: str, reg: float = 0.01, elastic: float = 0.0):
     """A logistic regression with an L2 or elastic-net penalty; columns hold no nulls."""
     from pyspark.ml.classification import LogisticRegression
 
-    return LogisticRegression(featuresCol="_x", labelCol=label, regParam=reg, elasticNetParam=elastic).fit(_assembled(train, cols))
+    return _fitted(LogisticRegression(featuresCol="_x", labelCol=label, regParam=reg, elasticNetParam=elastic), train, cols, label)
 
 
 def fit_trees(train: DataFrame, cols: list[str], label: str, rounds: int = 10, depth: int = 3, seed: int = 42):
     """Gradient-boosted regression trees; columns hold no nulls."""
     from pyspark.ml.regression import GBTRegressor
 
-    return GBTRegressor(featuresCol="_x", labelCol=label, maxIter=rounds, maxDepth=depth, seed=seed).fit(_assembled(train, cols))
+    return _fitted(GBTRegressor(featuresCol="_x", labelCol=label, maxIter=rounds, maxDepth=depth, seed=seed), train, cols, label)
 
 
 def predict(model, df: DataFrame, cols: list[str], out: str = "score") -> DataFrame:

@@ -314,6 +314,24 @@ def test_a_planted_feature_is_the_most_important(spark):
     assert best[0] == "c" and best["importance"] > 0.8
 
 
+def test_a_fit_makes_its_rows_once_and_keeps_none(spark):
+    from tessera.operators import runs
+
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for x in batches:
+            made.add(len(x))
+            yield x
+
+    df = spark.range(400).selectExpr("id % 7 * 1.0D as a", "id % 5 * 1.0D as b", "double(id % 3 = 0) as y").mapInPandas(counted, "a double, b double, y double")
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for fit in (runs.fit_logistic, runs.fit_trees):
+        made.value = 0
+        fit(df, ["a", "b"], "y")
+        assert made.value == 400 and spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+
+
 def test_a_users_open_days_are_one_value_with_one_timer():
     from types import SimpleNamespace
 
